@@ -39,7 +39,7 @@ class Bursts(StatefulProcessor):
             kept = kept[-(self.n - 1):] if self.n > 1 else []
         self.recent.update((kept,))
         for at in sorted(alerts):
-            yield Row(key[0], at)
+            yield Row(user_id=key[0], at=at)
 
     def close(self) -> None:
         pass
@@ -81,7 +81,9 @@ class LatestOpened(StatefulProcessor):
                 if current is None or current[0] < at:
                     current = (at, event_id)
             elif current is not None and at - current[0] <= self.span:
-                yield Row(key[0], event_id, current[1], at, current[0])
+                yield Row(
+                    user_id=key[0], closed_id=event_id, opened_id=current[1], closed_us=at, opened_us=current[0]
+                )
         if current is not None:
             self.latest.update(current)
 

@@ -29,13 +29,14 @@ class TtlDedup(StatefulProcessor):
     def __init__(self, columns: list[str], ttl_micros: int):
         self.columns = columns
         self.ttl = ttl_micros
+        self.result = Row(*columns, "admitted")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.admitted = handle.getValueState("admitted", "at bigint")
 
     def _emit(self, row: Row, won: bool) -> Row:
-        return Row(*[row[c] for c in self.columns], won)
+        return self.result(*[row[c] for c in self.columns], won)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         stored = self.admitted.get()
