@@ -8,7 +8,7 @@ from weirgate import fixed_values as fv
 from weirgate.catalog.registry import AS_OF, as_of, events, outcomes, query, wire
 from weirgate.catalog.sql import checked_sql, outcome_sql
 from weirgate.operators import totals as t
-from weirgate.operators.histogram import DEFAULT_BOUNDS, histogram_quantile, latency_histogram
+from weirgate.operators.histogram import DEFAULT_BOUNDS, histogram_quantile, latency_histogram, rolling_histogram_quantile
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.percentiles import approx_percentiles, exact_percentiles
 from weirgate.operators.rates import rolling_success
@@ -128,6 +128,27 @@ def a10(spark, sf_dir):
     return histogram_quantile(buckets, ["event_type"], 0.99).select("event_type", F.round("result", 6).alias("result"))
 
 
+@query(
+    "a10_rolling_p99",
+    f"""WITH bounds AS (SELECT unnest([{_BOUNDS}, CAST('Infinity' AS DOUBLE)]) AS le), spread AS (
+  SELECT value, time_bucket(INTERVAL 15 SECOND, ts) - i * INTERVAL 15 SECOND AS window_start FROM events, range(20) r(i)
+), hist AS (
+  SELECT window_start, le, count(*) FILTER (WHERE value <= le) AS cumulative FROM spread, bounds GROUP BY window_start, le
+), ranked AS (
+  SELECT *, lag(cumulative, 1, 0) OVER w AS below, lag(le, 1, 0.0) OVER w AS floor_le,
+    0.99 * max(cumulative) OVER (PARTITION BY window_start) AS rank
+  FROM hist WINDOW w AS (PARTITION BY window_start ORDER BY le)
+), hit AS (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY le) AS pick FROM ranked WHERE cumulative >= rank)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+  round(CASE WHEN le = CAST('Infinity' AS DOUBLE) THEN floor_le
+  ELSE floor_le + (le - floor_le) * (rank - below) / (cumulative - below) END, 6) AS result FROM hit WHERE pick = 1""",
+)
+def a10_rolling(spark, sf_dir):
+    p99 = rolling_histogram_quantile(events(spark, sf_dir), "value", 0.99, at="ts")
+    return p99.withColumn("result", F.round("result", 6))
+
+
 @query(
     "a11_hourly_metrics",
     outcome_sql("""SELECT date_trunc('hour', received_at) AS hour_bucket, event_type, count(*) AS total_count,

@@ -113,7 +113,7 @@ _REPAIRED = "CASE WHEN n % 2 = 0 THEN 'user.login' END"
 
 @query(
     "r6_reprocess",
-    outcome_sql(f"""SELECT event_id, {_REPAIRED} AS event_type, CASE n % 3 WHEN 2 THEN 3 ELSE n % 3 + 1 END AS retry_count,
+    outcome_sql(f"""SELECT event_id, {_REPAIRED} AS event_type, CAST(CASE n % 3 WHEN 2 THEN 3 ELSE n % 3 + 1 END AS INTEGER) AS retry_count,
   CASE WHEN n % 3 = 2 THEN 'exhausted' WHEN n % 2 = 0 THEN 'recovered' ELSE 'failed' END AS status,
   CASE WHEN n % 3 <> 2 AND n % 2 = 0 THEN 'events.user' END AS topic FROM outcomes WHERE outcome = 'failed'"""),
 )

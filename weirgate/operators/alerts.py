@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 
 from weirgate.functions.envelope import is_critical
 from weirgate.functions.timeaxis import micros
+from weirgate.operators.nearest import slice_of
 
 
 def critical_bursts(df: DataFrame, n: int = 3, within: int = 600, at: str = "received_at") -> DataFrame:
@@ -23,9 +24,9 @@ def critical_bursts(df: DataFrame, n: int = 3, within: int = 600, at: str = "rec
         .groupBy("user_id", micros(F.col(at)).alias("_at"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    home = F.floor(F.col("_at") / F.lit(span))
+    home = slice_of(F.col("_at"), span)
     copies = instants.withColumn("_home", home).withColumn(
-        "_block", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
+        "_block", F.explode(F.array(F.col("_home"), F.col("_home") + F.lit(span)))
     )
     back = W.partitionBy("user_id", "_block").orderBy("_at").rangeBetween(-span, 0)
     return (

@@ -4,14 +4,16 @@ The first arrival of an id is admitted and opens a window of ``ttl``; arrivals i
 duplicates and do not extend it; the first arrival at or after its end is admitted and opens
 the next one.
 
-Which way an id takes depends on its arrivals:
-
-* all arrivals within one window: the first one, a plain minimum combined before the shuffle,
-  so any number of copies of one id costs one row per input partition;
-* arrivals over more than one window, up to ``fold_limit`` of them: an array fold per id;
-* more arrivals than that: every instant points to the first instant at least ``ttl`` later,
-  and the chain from the first arrival is followed by pointer doubling. The joins are on
-  (id, instant), so the hot id is spread over the cluster.
+Ids that arrive once, nearly all of them, need nothing but a count. For the others it depends
+on their arrivals:
+
+* up to ``fold_limit``: an array fold per id, bounded by that limit;
+* more, but all within one window: everything after the first arrival is a duplicate;
+* more, over several windows: every instant points to the first instant at least ``ttl``
+  later, and the chain from the first arrival is followed by pointer doubling. Its joins are
+  on (id, instant), so the hot id is spread over the cluster.
+
+The result is built from the duplicates, the smaller side, and not from the admissions.
 """
 
 from __future__ import annotations
@@ -30,58 +32,70 @@ from weirgate.settings import DEFAULTS, Settings
 SLICE_MICROS = 60_000_000
 
 
-def _spans(df: DataFrame) -> DataFrame:
-    return df.groupBy("event_id").agg(
-        F.min(F.struct("at", "seq")).alias("first"),
-        F.max("at").alias("last"),
-        F.count(F.lit(1)).alias("arrivals"),
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Ids with more than one arrival. Whole numbers only, so the aggregate hashes."""
+    return (
+        rows.groupBy("event_id")
+        .agg(
+            F.min("at").alias("first_at"),
+            F.max("at").alias("last_at"),
+            F.count(F.lit(1)).alias("arrivals"),
+        )
+        .filter(F.col("arrivals") > 1)
     )
 
 
-def _fold(arrivals: Column, ttl: int) -> Column:
-    """Keep the arrivals that are at least ``ttl`` after the last kept one."""
+def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    return rows.join(ids.select("event_id"), "event_id", "left_semi")
+
+
+def _kept(arrivals: Column, ttl: int) -> Column:
+    """The arrivals that are at least ``ttl`` after the last kept one."""
     none = F.filter(arrivals, lambda x: F.lit(False))
 
     def step(kept: Column, x: Column) -> Column:
         due = F.element_at(kept, -1)["at"] + F.lit(ttl)
         return F.when((F.size(kept) == 0) | (x["at"] >= due), F.concat(kept, F.array(x))).otherwise(kept)
 
-    return F.aggregate(F.sort_array(arrivals), none, step)
+    return F.aggregate(arrivals, none, step)
 
 
-def _fold_admissions(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
-    return (
-        rows.join(ids.select("event_id"), "event_id", "left_semi")
-        .groupBy("event_id")
-        .agg(F.collect_list(F.struct("at", "seq")).alias("arrivals"))
-        .select("event_id", F.explode(_fold(F.col("arrivals"), ttl)).alias("x"))
-        .select("event_id", "x.at", "x.seq")
+def _fold_duplicates(rows: DataFrame, ttl: int) -> DataFrame:
+    lined = rows.groupBy("event_id").agg(
+        F.sort_array(F.collect_list(F.struct("at", "seq"))).alias("arrivals")
     )
+    return lined.select(
+        "event_id", F.explode(F.array_except("arrivals", _kept(F.col("arrivals"), ttl))).alias("x")
+    ).select("event_id", "x.at", "x.seq")
 
 
-def _walk_admissions(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
-    """Admissions of the ids with very many arrivals, by pointer doubling."""
-    instants = cut_lineage(
-        rows.join(ids.select("event_id"), "event_id", "left_semi")
-        .groupBy("event_id", "at")
-        .agg(F.min("seq").alias("seq"))
+def _first_arrivals(rows: DataFrame) -> DataFrame:
+    """One row per id, combined before the shuffle however many arrivals it has."""
+    return rows.groupBy("event_id").agg(F.min(F.struct("at", "seq")).alias("x")).select(
+        "event_id", "x.at", "x.seq"
     )
+
+
+def _walk_admissions(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
+    """Admissions of ids with very many arrivals over several windows, by pointer doubling."""
+    instants = cut_lineage(rows.groupBy("event_id", "at").agg(F.min("seq").alias("seq")))
     # "First at or after" is "latest at or before" on the mirrored axis.
+    sides = F.array(
+        F.struct((-F.col("at")).alias("axis"), F.lit(True).alias("is_point")),
+        F.struct((-(F.col("at") + F.lit(ttl))).alias("axis"), F.lit(False).alias("is_point")),
+    )
+    marks = instants.select("event_id", F.explode(sides).alias("m")).select("event_id", "m.axis", "m.is_point")
     mirrored = nearest_at_or_before(
-        probes=instants.select("event_id", (-(F.col("at") + F.lit(ttl))).alias("axis")),
-        points=instants.select("event_id", (-F.col("at")).alias("axis")),
-        keys=["event_id"],
-        axis="axis",
-        slice_width=SLICE_MICROS,
+        marks, ["event_id"], "axis", F.col("is_point"), ~F.col("is_point"), SLICE_MICROS
     )
     hops = cut_lineage(
         mirrored.filter("found IS NOT NULL").select(
             "event_id", (-F.col("axis") - F.lit(ttl)).alias("at"), (-F.col("found")).alias("next_at")
         )
     )
-    longest = ids.agg(F.max(F.col("last") - F.col("first.at"))).first()[0]
-    rounds = math.ceil(math.log2(longest // ttl + 1)) if longest >= ttl else 0
-    reached = ids.select("event_id", F.col("first.at").alias("at"))
+    longest = ids.agg(F.max(F.col("last_at") - F.col("first_at"))).first()[0]
+    rounds = math.ceil(math.log2(longest // ttl + 1))
+    reached = ids.select("event_id", F.col("first_at").alias("at"))
     for done in range(rounds):
         step = reached.join(hops, ["event_id", "at"]).select("event_id", F.col("next_at").alias("at"))
         reached = cut_lineage(reached.unionByName(step))
@@ -95,39 +109,45 @@ def _walk_admissions(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
     return reached.join(instants, ["event_id", "at"]).select("event_id", "at", "seq")
 
 
-def ttl_admissions(
+def _hot_duplicates(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
+    one_window = F.col("last_at") - F.col("first_at") < ttl
+    burst, long = ids.filter(one_window), ids.filter(~one_window)
+    admitted = _first_arrivals(_of(rows, burst))
+    if not long.isEmpty():
+        admitted = admitted.unionByName(_walk_admissions(_of(rows, long), long, ttl))
+    return _of(rows, ids).join(admitted, ["event_id", "at", "seq"], "left_anti").select("event_id", "at", "seq")
+
+
+def ttl_duplicates(
     df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
 ) -> DataFrame:
-    """(event_id, at, seq) of every admitted arrival; ``at`` in epoch microseconds.
+    """(event_id, at, seq) of every arrival that is not admitted; ``at`` in epoch microseconds.
 
-    (event_id, at, seq) must identify a row. The per-id summary is materialised once, because
-    its result decides whether the walk is needed.
+    (event_id, at, seq) must identify a row. The ids with repeats are materialised once,
+    because what they look like decides which ways are needed.
     """
     ttl = settings.ttl_micros
     rows = df.select("event_id", micros(F.col(at)).alias("at"), F.col(seq).alias("seq"))
-    spans = cut_lineage(_spans(rows))
-    first = spans.select("event_id", "first.at", "first.seq", (F.col("last") - F.col("first.at")).alias("span"))
-    once = first.filter(F.col("span") < ttl).drop("span")
-    returning = spans.filter(F.col("last") - F.col("first.at") >= ttl)
-    few = returning.filter(F.col("arrivals") <= settings.fold_limit)
-    many = returning.filter(F.col("arrivals") > settings.fold_limit)
-    admitted = once.unionByName(_fold_admissions(rows, few, ttl))
+    repeated = cut_lineage(_repeated(rows))
+    few = repeated.filter(F.col("arrivals") <= settings.fold_limit)
+    many = repeated.filter(F.col("arrivals") > settings.fold_limit)
+    duplicates = _fold_duplicates(_of(rows, few), ttl)
     if not many.isEmpty():
-        admitted = admitted.unionByName(_walk_admissions(rows, many, ttl))
-    return admitted
+        duplicates = duplicates.unionByName(_hot_duplicates(rows, many, ttl))
+    return duplicates
 
 
 def mark_admitted(
     df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
 ) -> DataFrame:
     """All rows plus ``admitted``. The join key is one row wide, so no id is hot in it."""
-    winners = ttl_admissions(df, settings, at, seq).select(
-        "event_id", F.col("at").alias("_at"), F.col("seq").alias(seq), F.lit(True).alias("_won")
+    repeats = ttl_duplicates(df, settings, at, seq).select(
+        "event_id", F.col("at").alias("_at"), F.col("seq").alias(seq), F.lit(True).alias("_repeat")
     )
     return (
         df.withColumn("_at", micros(F.col(at)))
-        .join(winners, ["event_id", "_at", seq], "left")
-        .select(*[F.col(c) for c in df.columns], F.coalesce("_won", F.lit(False)).alias("admitted"))
+        .join(repeats, ["event_id", "_at", seq], "left")
+        .select(*[F.col(c) for c in df.columns], F.col("_repeat").isNull().alias("admitted"))
     )
 
 

@@ -29,17 +29,22 @@ def match_transactions(
 
     One row per closed event: a user with very many events gives no pairs beyond that.
     """
-    slim = df.select("event_id", "event_type", "user_id", micros(F.col(at)).alias("axis"))
-    closing = slim.filter(F.col("event_type") == closed)
-    opening = slim.filter(F.col("event_type") == opened)
-    span = bound * 1_000_000
-    nearest = nearest_at_or_before(closing, opening, ["user_id"], "axis", span, "opened_axis").filter(
-        F.col("axis") - F.col("opened_axis") <= span
+    slim = df.filter(F.col("event_type").isin(opened, closed)).select(
+        "event_id", "user_id", micros(F.col(at)).alias("axis"), (F.col("event_type") == closed).alias("closing")
     )
+    span = bound * 1_000_000
+    nearest = nearest_at_or_before(
+        slim, ["user_id"], "axis", ~F.col("closing"), F.col("closing"), span, "opened_axis"
+    ).filter(F.col("axis") - F.col("opened_axis") <= span)
     # Of several opened events at one instant the smallest id stands for them.
-    starts = opening.groupBy("user_id", F.col("axis").alias("opened_axis")).agg(F.min("event_id").alias("opened_id"))
+    starts = (
+        slim.filter("NOT closing")
+        .groupBy("user_id", F.col("axis").alias("opened_axis"))
+        .agg(F.min("event_id").alias("opened_id"))
+    )
     return (
-        closing.join(nearest, ["user_id", "axis"])
+        slim.filter("closing")
+        .join(nearest, ["user_id", "axis"])
         .join(starts, ["user_id", "opened_axis"])
         .select(
             "user_id", F.col("event_id").alias("closed_id"), "opened_id",

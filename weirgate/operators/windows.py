@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from weirgate.functions.timeaxis import micros
+from weirgate.operators.nearest import slice_of
 from weirgate.operators.rates import sliding_counts
 
 HOUR = 3600
@@ -28,7 +29,7 @@ def sessions(df: DataFrame, key: str, gap: int = 1800, at: str = "received_at")
     """
     width = gap * 1_000_000
     t = micros(F.col(at))
-    cells = df.groupBy(key, F.floor(t / F.lit(width)).alias("_cell")).agg(
+    cells = df.groupBy(key, slice_of(t, width).alias("_cell")).agg(
         F.min(t).alias("_from"), F.max(t).alias("_to"), F.count(F.lit(1)).alias("_n")
     )
     line = W.partitionBy(key).orderBy("_cell")

@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirgate.functions.envelope import topic_for
 from weirgate.operators.batches import guard_batches
 from weirgate.operators.dedup import mark_admitted, mark_admitted_with_state
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.outcome import acknowledgements, rejections, with_outcome
 from weirgate.operators.validation import invalid_rows, valid_rows, validate
+from weirgate.session import cut_lineage
 from weirgate.settings import DEFAULTS, Settings
 from weirgate.sinks.tables import dead_letter_rows
 from weirgate.sinks.topics import dead_letter_records, published_records
@@ -22,7 +24,7 @@ ENTRY_MODES = {"single": "full", "batch": "annotations", "stream": "full"}
 
 @dataclass(frozen=True)
 class Ingested:
-    """Every output is lazy; nothing is lost between them."""
+    """Every row of the input is in exactly one of ``outcomes`` and ``invalid``."""
 
     outcomes: DataFrame
     invalid: DataFrame
@@ -49,6 +51,23 @@ class Ingested:
         return dead_letter_records(self.outcomes, self.settings)
 
 
+def check(
+    events: DataFrame, entry: str = "single", mode: str | None = None, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Defaults and rules: every row of an accepted request plus its ``errors``."""
+    rows = guard_batches(events, settings).accepted if entry == "batch" else events
+    return validate(fill_defaults(rows), mode or ENTRY_MODES[entry], settings)
+
+
+def admit(checked: DataFrame, state: DataFrame | None = None, settings: Settings = DEFAULTS) -> Ingested:
+    """Dedup, outcome and routing of checked rows."""
+    good = valid_rows(checked).drop("errors")
+    marked = (
+        mark_admitted(good, settings) if state is None else mark_admitted_with_state(good, state, settings)
+    )
+    return Ingested(with_outcome(marked), invalid_rows(checked), settings)
+
+
 def ingest(
     events: DataFrame,
     entry: str = "single",
@@ -59,23 +78,15 @@ def ingest(
     """Run the flow over decoded events.
 
     ``events`` needs event_id, event_type, user_id, event_ts, received_at and seq; a batch also
-    needs batch_id. ``state`` holds the admissions of earlier increments.
+    needs batch_id. ``state`` holds the admissions of earlier increments. Checked rows are
+    written once: dedup reads three narrow columns of them several times, and JSON and rules
+    are not worked through again.
     """
-    rows = events
-    if entry == "batch":
-        rows = guard_batches(events, settings).accepted
-    checked = validate(fill_defaults(rows), mode or ENTRY_MODES[entry], settings)
-    good = valid_rows(checked).drop("errors")
-    marked = (
-        mark_admitted(good, settings) if state is None else mark_admitted_with_state(good, state, settings)
-    )
-    return Ingested(with_outcome(marked), invalid_rows(checked), settings)
+    return admit(cut_lineage(check(events, entry, mode, settings)), state, settings)
 
 
 def route_counts(events: DataFrame) -> DataFrame:
     """Events per routed topic; rows without a type have none."""
-    from weirgate.functions.envelope import topic_for
-
     return (
         events.filter("event_type IS NOT NULL")
         .groupBy(topic_for(F.col("event_type")).alias("topic"))

@@ -60,9 +60,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise once on reliable storage; survives the loss of executors."""
+    """Materialise once as a table in the shared folder and go on from there.
+
+    It survives the loss of executors, it is computed once (an RDD checkpoint computes its last
+    stage twice), and the planner sees its real size.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_dir(spark)}/weirgate/checkpoints")
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

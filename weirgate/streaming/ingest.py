@@ -7,16 +7,14 @@ pruned by day; there is no state to rewrite.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirgate.operators.batches import malformed_requests, well_formed
-from weirgate.operators.outcome import rejections
-from weirgate.operators.validation import invalid_rows
-from weirgate.plans.ingest import ingest
+from weirgate.plans.ingest import admit, check
 from weirgate.session import tune_streaming
 from weirgate.settings import DEFAULTS, Settings
 from weirgate.sinks.tables import table_exists, upsert_hourly
@@ -60,19 +58,19 @@ def _earlier_admissions(spark: SparkSession, sink: IngestStream, batch: int, fir
 def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
     """All outputs of one micro-batch."""
     spark = decoded.sparkSession
-    # Arrival numbers are fixed here, once; everything later reads them back.
-    _write(decoded.withColumn("seq", F.monotonically_increasing_id()), sink.of_batch("decoded", batch))
-    rows = spark.read.parquet(sink.of_batch("decoded", batch))
+    # Arrival numbers are fixed here, once; everything later reads the checked rows back.
+    numbered = decoded.withColumn("seq", F.monotonically_increasing_id())
+    _write(check(numbered, "stream", settings=sink.settings), sink.of_batch("checked", batch))
+    rows = spark.read.parquet(sink.of_batch("checked", batch))
     first_at = rows.agg(F.min("received_at")).first()[0]
     if first_at is None:
         return
     _write(malformed_requests(rows), sink.of_batch("malformed", batch))
-    state = _earlier_admissions(spark, sink, batch, first_at)
-    flow = ingest(well_formed(rows), "stream", state=state, settings=sink.settings)
+    flow = admit(well_formed(rows), _earlier_admissions(spark, sink, batch, first_at), sink.settings)
     _write(flow.outcomes, sink.of_batch("outcomes", batch))
+    _write(flow.rejects, sink.of_batch("rejects", batch))
     outcomes = spark.read.parquet(sink.of_batch("outcomes", batch))
-    done = type(flow)(outcomes, flow.invalid, sink.settings)
-    _write(rejections(invalid_rows(flow.invalid)), sink.of_batch("rejects", batch))
+    done = replace(flow, outcomes=outcomes)
     _write(done.dead_letters, sink.of_batch("dead_letters", batch))
     records = done.published.unionByName(done.dead_letter_records)
     _write(in_key_order(records), sink.of_batch("topics", batch), by="topic")
