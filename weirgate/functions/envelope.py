@@ -59,13 +59,16 @@ def headers(correlation_id: Column, event_type: Column, source: Column, version:
         ("source", source),
         ("schemaVersion", version),
     ]
-    entries = F.array(
+    none = F.array().cast("array<struct<key:string,value:binary>>")
+    return F.concat(
         *[
-            F.struct(F.lit(name).alias("key"), F.encode(value, "UTF-8").alias("value"))
+            F.when(
+                value.isNotNull(),
+                F.array(F.struct(F.lit(name).alias("key"), F.encode(value, "UTF-8").alias("value"))),
+            ).otherwise(none)
             for name, value in pairs
         ]
     )
-    return F.filter(entries, lambda h: h["value"].isNotNull())
 
 
 def wire_value(

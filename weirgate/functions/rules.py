@@ -16,14 +16,19 @@ def event_id_rule(event_id: Column) -> Column:
 
 
 def event_type_rule(event_type: Column) -> Column:
-    return F.when(is_blank(event_type), F.lit(fv.EVENT_TYPE_REQUIRED)).when(
-        ~matches_whole(event_type, fv.EVENT_TYPE_PATTERN), F.lit(fv.EVENT_TYPE_FORMAT)
+    # The good case first: one pattern per good row.
+    return (
+        F.when(matches_whole(event_type, fv.EVENT_TYPE_PATTERN), F.lit(None).cast("string"))
+        .when(is_blank(event_type), F.lit(fv.EVENT_TYPE_REQUIRED))
+        .otherwise(F.lit(fv.EVENT_TYPE_FORMAT))
     )
 
 
 def user_id_rule(user_id: Column) -> Column:
-    return F.when(is_blank(user_id), F.lit(fv.USER_ID_REQUIRED)).when(
-        ~matches_whole(user_id, fv.USER_ID_PATTERN), F.lit(fv.USER_ID_FORMAT)
+    return (
+        F.when(matches_whole(user_id, fv.USER_ID_PATTERN), F.lit(None).cast("string"))
+        .when(is_blank(user_id), F.lit(fv.USER_ID_REQUIRED))
+        .otherwise(F.lit(fv.USER_ID_FORMAT))
     )
 
 
@@ -48,15 +53,23 @@ def payload_rule(data: Column, keys: Column) -> Column:
     return F.when(has_payload(data) & keys.isNull(), F.lit(fv.DATA_NOT_OBJECT))
 
 
-def instant_text(value: Column) -> Column:
-    """ISO text with as many fraction digits (0, 3 or 6) as the instant needs."""
+def instant_length(value: Column) -> Column:
+    """Length of the ISO text, which has as many fraction digits (0, 3 or 6) as it needs."""
     at = F.unix_micros(instant(value))
-    pattern = (
-        F.when(at % 1_000_000 == 0, F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(at % 1_000 == 0, F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    return F.when(value.isNull(), F.lit(4)).when(at % 1_000_000 == 0, F.lit(20)).when(
+        at % 1_000 == 0, F.lit(24)
+    ).otherwise(F.lit(27))
+
+
+def metadata_length(metadata: Column) -> Column:
+    """Length of ``{key=value, ...}``, or of ``null``."""
+    pairs = F.transform(
+        F.map_entries(metadata),
+        lambda e: F.octet_length(e["key"]) + 1 + F.coalesce(F.octet_length(e["value"]), F.lit(4)),
     )
-    return pattern
+    entries = F.aggregate(pairs, F.lit(0), lambda a, n: a + n)
+    text = 2 + entries + 2 * F.greatest(F.size(metadata) - 1, F.lit(0))
+    return F.when(metadata.isNull(), F.lit(4)).otherwise(text)
 
 
 def event_bytes(
@@ -69,24 +82,21 @@ def event_bytes(
     correlation_id: Column,
     source: Column,
     version: Column,
+    map_length: Column | None = None,
 ) -> Column:
     """UTF-8 size of the record's text form ``Event[name=value, ...]``.
 
-    Only the lengths are added up, so no copy of a large payload is made.
+    Only the lengths are added up, so no copy of a large payload is made. ``map_length`` may
+    carry the length of the metadata text when it was computed before.
     """
-    pairs = F.transform(
-        F.map_entries(metadata),
-        lambda e: F.octet_length(e["key"]) + 1 + F.coalesce(F.octet_length(e["value"]), F.lit(4)),
-    )
-    entries = F.aggregate(pairs, F.lit(0), lambda a, n: a + n)
-    separators = 2 * F.greatest(F.size(metadata) - 1, F.lit(0))
-    metadata_length = F.when(metadata.isNull(), F.lit(4)).otherwise(2 + entries + separators)
+    if map_length is None:
+        map_length = metadata_length(metadata)
     labels = (
         "Event[eventId=, eventType=, userId=, timestamp=, data=, metadata=, "
         "correlationId=, source=, version=]"
     )
-    total = F.lit(len(labels)) + metadata_length
-    for text in (event_id, event_type, user_id, instant_text(event_ts), data, correlation_id, source, version):
+    total = F.lit(len(labels)) + instant_length(event_ts) + map_length
+    for text in (event_id, event_type, user_id, data, correlation_id, source, version):
         total = total + F.coalesce(F.octet_length(text), F.lit(4))
     return total
 
@@ -99,26 +109,24 @@ def is_known_type(event_type: Column) -> Column:
     return F.coalesce(event_type.isin(*fv.KNOWN_TYPES), F.lit(False))
 
 
+def collected(*messages: Column) -> Column:
+    """The messages that are not null, in order. Plain expressions, so it compiles to Java."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(m.isNotNull(), F.array(m)).otherwise(none) for m in messages])
+
+
 def business_rules(event_type: Column, data: Column, keys: Column) -> Column:
     """Array of messages for the payload fields the event type needs."""
-    needed = F.lit(None).cast("array<string>")
+    none = F.array().cast("array<string>")
+    found = F.when(~has_payload(data), F.array(F.concat(event_type, F.lit(" requires a data payload"))))
     for fields in dict.fromkeys(f for f in fv.KNOWN_TYPES.values() if f):
         types = [t for t, f in fv.KNOWN_TYPES.items() if f == fields]
-        needed = F.when(
-            event_type.isin(*types), F.array(*[F.lit(f) for f in fields])
-        ).otherwise(needed)
-    missing = F.filter(needed, lambda f: ~F.array_contains(keys, f))
-    none = F.array().cast("array<string>")
-    return (
-        F.when(needed.isNull(), none)
-        .when(
-            ~has_payload(data),
-            F.array(F.concat(event_type, F.lit(" requires a data payload"))),
-        )
-        .otherwise(
-            F.transform(missing, lambda f: F.concat(event_type, F.lit(" requires data."), f))
-        )
-    )
+        missing = [
+            F.when(~F.array_contains(keys, f), F.concat(event_type, F.lit(f" requires data.{f}"))) for f in fields
+        ]
+        found = found.when(event_type.isin(*types), collected(*missing))
+    needing = [t for t, f in fv.KNOWN_TYPES.items() if f]
+    return F.when(event_type.isin(*needing), found).otherwise(none)
 
 
 def annotation_rules(event_id: Column, event_type: Column, user_id: Column, event_ts: Column) -> Column:
@@ -128,24 +136,12 @@ def annotation_rules(event_id: Column, event_type: Column, user_id: Column, even
         "user_id": is_blank(user_id),
         "event_ts": event_ts.isNull(),
     }
-    messages = F.array(
-        *[F.when(values[name], F.lit(text)) for name, text in fv.FIELD_ANNOTATIONS.items()]
-    )
-    return F.filter(messages, lambda m: m.isNotNull())
+    return collected(*[F.when(values[name], F.lit(text)) for name, text in fv.FIELD_ANNOTATIONS.items()])
 
 
-def base_rules(columns: dict[str, Column], keys: Column, settings: Settings = DEFAULTS) -> Column:
+def base_rules(columns: dict[str, Column], keys: Column, size: Column, settings: Settings = DEFAULTS) -> Column:
     """All field rules in order; none hides another."""
-    size = event_bytes(
-        **{
-            name: columns[name]
-            for name in (
-                "event_id", "event_type", "user_id", "event_ts", "data",
-                "metadata", "correlation_id", "source", "version",
-            )
-        }
-    )
-    messages = F.array(
+    return collected(
         event_id_rule(columns["event_id"]),
         event_type_rule(columns["event_type"]),
         user_id_rule(columns["user_id"]),
@@ -153,4 +149,3 @@ def base_rules(columns: dict[str, Column], keys: Column, settings: Settings = DE
         payload_rule(columns["data"], keys),
         size_rule(size, settings.max_event_bytes),
     )
-    return F.filter(messages, lambda m: m.isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weirgate import fixed_values as fv
 from weirgate.functions import rules
 from weirgate.operators.normalise import with_optional_columns
+from weirgate.operators.once import computed_once
 from weirgate.settings import DEFAULTS, Settings
 
 MODES = ("full", "annotations", "none")
@@ -33,13 +34,17 @@ def validate(df: DataFrame, mode: str = "full", settings: Settings = DEFAULTS) -
         )
     full = with_optional_columns(df)
     columns = {name: F.col(name) for name in _COLUMNS}
-    # The payload's keys and the field errors are computed once, in their own projections.
-    staged = full.withColumn("_keys", F.json_object_keys("data"))
-    staged = staged.withColumn("_base", rules.base_rules(columns, F.col("_keys"), settings))
+    # The payload is parsed once, and the metadata map is measured in a projection of its own,
+    # because its lambda cannot be compiled and would slow the rules down with it.
+    staged = full.withColumn("_map", rules.metadata_length(F.col("metadata")))
+    staged = staged.withColumn("_keys", F.json_object_keys("data"))
+    fields = {name: column for name, column in columns.items() if name != "received_at"}
+    size = rules.event_bytes(**fields, map_length=F.col("_map"))
+    staged = staged.withColumn("_base", rules.base_rules(columns, F.col("_keys"), size, settings))
     errors = F.when(F.size("_base") > 0, F.col("_base")).otherwise(
         rules.business_rules(F.col("event_type"), F.col("data"), F.col("_keys"))
     )
-    return staged.select(*[F.col(c) for c in df.columns], errors.alias("errors"))
+    return computed_once(staged, errors=errors).select(*df.columns, "errors")
 
 
 def valid_rows(df: DataFrame) -> DataFrame:

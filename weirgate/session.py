@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM does not compile methods above this size; Spark then splits the stage instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A hot event id or user is split at run time, also below an aggregate on the same key.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

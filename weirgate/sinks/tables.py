@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from weirgate import fixed_values as fv
 from weirgate.functions.envelope import wire_value
+from weirgate.functions.rules import collected
 from weirgate.operators.normalise import with_optional_columns
 from weirgate.operators.outcome import FAILED, PROCESSED, failure_reason
 from weirgate.operators.totals import hourly_metrics
@@ -25,8 +26,7 @@ HOURLY = "hour_bucket timestamp, event_type string, total_count bigint, success_
 
 def too_long(limits: dict[str, int]) -> Column:
     """Names of the columns whose text exceeds its width."""
-    names = F.array(*[F.when(F.char_length(F.col(c)) > n, F.lit(c)) for c, n in limits.items()])
-    return F.filter(names, lambda c: c.isNotNull())
+    return collected(*[F.when(F.char_length(F.col(c)) > n, F.lit(c)) for c, n in limits.items()])
 
 
 def within_limits(df: DataFrame, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> DataFrame:

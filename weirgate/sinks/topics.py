@@ -14,44 +14,52 @@ from weirgate.settings import DEFAULTS, Settings
 RECORD = "topic string, partition int, key string, value string, headers array<struct<key:string,value:binary>>, received_at timestamp, seq bigint"
 
 
-def _record(df: DataFrame, key: str, settings: Settings) -> DataFrame:
-    full = with_optional_columns(df)
+ORDER = ("topic", "partition", "key", "received_at", "seq")
+
+
+def in_key_order(rows: DataFrame) -> DataFrame:
+    """Per-key order in and across files.
+
+    Ranges over (topic, partition, key, time) keep each key's records consecutive and in order
+    and still let a hot key span several tasks, which a hash of the key would not.
+    """
+    return rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+
+
+def _records(df: DataFrame, key: str, settings: Settings, ordered: bool) -> DataFrame:
+    placed = with_optional_columns(df).withColumns(
+        {
+            "partition": partition_for(F.col("topic"), F.col(key)),
+            "key": F.col(key),
+            "received_at": F.col("received_at").cast("timestamp"),
+            "seq": F.col("seq").cast("bigint"),
+        }
+    )
+    # Ordered before encoding: finding the ranges reads the rows once more.
+    full = in_key_order(placed) if ordered else placed
     names = ("event_id", "event_type", "user_id", "event_ts", "data", "metadata", "correlation_id", "source", "version")
     return full.select(
-        "topic",
-        partition_for(F.col("topic"), F.col(key)).alias("partition"),
-        F.col(key).alias("key"),
+        "topic", "partition", "key",
         wire_value(*[F.col(n) for n in names], omit_nulls=settings.omit_null_fields).alias("value"),
         headers(F.col("correlation_id"), F.col("event_type"), F.col("source"), F.col("version")).alias("headers"),
-        F.col("received_at").cast("timestamp").alias("received_at"),
-        F.col("seq").cast("bigint").alias("seq"),
+        "received_at", "seq",
     )
 
 
-def published_records(outcomes: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Records of the processed events, keyed by user."""
-    return _record(outcomes.filter(F.col("outcome") == PROCESSED), "user_id", settings)
+def published_records(outcomes: DataFrame, settings: Settings = DEFAULTS, ordered: bool = True) -> DataFrame:
+    """Records of the processed events, keyed by user, in key order."""
+    return _records(outcomes.filter(F.col("outcome") == PROCESSED), "user_id", settings, ordered)
 
 
-def dead_letter_records(outcomes: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Records of the failed events, keyed by event id."""
+def dead_letter_records(outcomes: DataFrame, settings: Settings = DEFAULTS, ordered: bool = True) -> DataFrame:
+    """Records of the failed events, keyed by event id, in key order."""
     failed = outcomes.filter(F.col("outcome") == FAILED).withColumn("topic", F.lit(fv.DEAD_LETTER_TOPIC))
-    return _record(failed, "event_id", settings)
-
-
-def in_key_order(records: DataFrame) -> DataFrame:
-    """Per-key order in and across files.
-
-    Ranges over (topic, partition, key, time) keep each key's records consecutive and in order
-    and still let a hot key span several tasks, which a hash of the key would not.
-    """
-    order = ("topic", "partition", "key", "received_at", "seq")
-    return records.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _records(failed, "event_id", settings, ordered)
 
 
 def publish(records: DataFrame, path: str, mode: str = "append") -> None:
     """Write the records below one folder per topic; returns once they are committed."""
-    in_key_order(records).write.mode(mode).partitionBy("topic").parquet(path)
+    records.write.mode(mode).partitionBy("topic").parquet(path)
 
 
 def publish_sync(records: DataFrame, path: str, mode: str = "append") -> DataFrame:

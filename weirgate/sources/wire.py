@@ -36,11 +36,11 @@ CASE WHEN n % 61 = 0 THEN '[1,2]'
      ELSE '{}' END
 """
 _ATTEMPTS = """
-filter(array(
-  named_struct('attempt', 0, 'hours', 0),
-  IF(n % 10 = 0, named_struct('attempt', 1, 'hours', 20), NULL),
-  IF(n % 20 = 0, named_struct('attempt', 2, 'hours', 30), NULL),
-  IF(n % 50 = 7, named_struct('attempt', 3, 'hours', 24), NULL)), x -> x IS NOT NULL)
+concat(array(0), IF(n % 10 = 0, array(1), array()), IF(n % 20 = 0, array(2), array()), IF(n % 50 = 7, array(3), array()))
+"""
+_ARRIVAL = """
+CASE attempt WHEN 0 THEN ts WHEN 1 THEN ts + INTERVAL '20' HOUR WHEN 2 THEN ts + INTERVAL '30' HOUR
+             ELSE ts + INTERVAL '24' HOUR END
 """
 
 
@@ -56,13 +56,13 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CASE WHEN n % 79 = 0 THEN 'bad user!' ELSE concat('user_', cast(user_id AS string)) END").alias("user_id"),
         F.expr(_TYPE).alias("event_type"),
     )
-    sent = typed.select("*", F.expr(_DATA).alias("data"), F.explode(F.expr(_ATTEMPTS)).alias("a"))
-    arrived = sent.withColumn("received_at", F.expr("ts + make_dt_interval(0, a.hours, 0, 0)"))
+    sent = typed.select("*", F.expr(_DATA).alias("data"), F.explode(F.expr(_ATTEMPTS)).alias("attempt"))
+    arrived = sent.withColumn("received_at", F.expr(_ARRIVAL))
     return arrived.select(
         "event_id", "event_type", "user_id",
         F.expr(
             "CASE WHEN n % 73 = 0 THEN received_at - INTERVAL '25' HOUR "
             "WHEN n % 71 = 0 THEN received_at - INTERVAL '1499' MINUTE ELSE received_at END"
         ).alias("event_ts"),
-        "data", F.col("a.attempt").alias("attempt"), "received_at", "n",
+        "data", "attempt", "received_at", "n",
     )

@@ -18,7 +18,6 @@ from weirgate.plans.ingest import admit, check
 from weirgate.session import tune_streaming
 from weirgate.settings import DEFAULTS, Settings
 from weirgate.sinks.tables import table_exists, upsert_hourly
-from weirgate.sinks.topics import in_key_order
 from weirgate.sources.json_events import stream_events
 
 ADMISSIONS = "event_id string, admitted_at timestamp, admitted_on date, batch bigint"
@@ -73,7 +72,7 @@ def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
     done = replace(flow, outcomes=outcomes)
     _write(done.dead_letters, sink.of_batch("dead_letters", batch))
     records = done.published.unionByName(done.dead_letter_records)
-    _write(in_key_order(records), sink.of_batch("topics", batch), by="topic")
+    _write(records, sink.of_batch("topics", batch), by="topic")
     upsert_hourly(outcomes, sink.path("hourly"), batch)
     # Last: the admissions make the batch visible to the next one.
     admitted = outcomes.filter("admitted").select(
