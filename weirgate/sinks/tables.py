@@ -120,19 +120,30 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Largest committed ``v=N`` folder, optionally below a given one."""
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed ``v=N`` folders, oldest first."""
     fs, target = _filesystem(spark, root)
     if not fs.exists(target):
-        return None
+        return []
     found = []
     for status in fs.listStatus(target):
         folder = status.getPath()
         name = folder.getName()
         if name.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
             found.append(int(name[2:]))
-    usable = [v for v in found if below is None or v < below]
-    return max(usable, default=None)
+    return sorted(found)
+
+
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    usable = [v for v in _versions(spark, root) if below is None or v < below]
+    return usable[-1] if usable else None
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the newest committed versions."""
+    fs, _ = _filesystem(spark, root)
+    for version in _versions(spark, root)[:-keep]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}"), True)
 
 
 def current_hourly(spark: SparkSession, root: str) -> DataFrame:

@@ -2,26 +2,31 @@
 
 Every output of micro-batch N lives in its own ``batch=N`` folder that a replay overwrites, so
 a restart neither loses nor repeats rows. The seen-set is the admissions of earlier batches,
-pruned by day; there is no state to rewrite.
+kept by day; there is no state to rewrite.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from weirgate.functions.timeaxis import shift
 from weirgate.operators.batches import malformed_requests, well_formed
 from weirgate.plans.ingest import admit, check
 from weirgate.session import tune_streaming
 from weirgate.settings import DEFAULTS, Settings
-from weirgate.sinks.tables import table_exists, upsert_hourly
+from weirgate.sinks.tables import prune_versions, table_exists, upsert_hourly
 from weirgate.sources.json_events import stream_events
 
 ADMISSIONS = "event_id string, admitted_at timestamp, admitted_on date, batch bigint"
 
+# Older copies of the hourly table stay for readers that are still at them.
+KEPT_VERSIONS = 5
+
 
 @dataclass(frozen=True)
 class IngestStream:
@@ -42,16 +47,17 @@ def _write(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
-def _earlier_admissions(spark: SparkSession, sink: IngestStream, batch: int, first_at: object) -> DataFrame | None:
-    if not table_exists(spark, sink.path("admissions")):
+def _earlier_admissions(
+    spark: SparkSession, sink: IngestStream, batch: int, first_day: date, last_day: date
+) -> DataFrame | None:
+    """Admissions of earlier batches that can still matter; only their day folders are listed."""
+    root = sink.path("admissions")
+    days = [first_day + timedelta(days=i) for i in range((last_day - first_day).days + 1)]
+    folders = [f for f in (f"{root}/admitted_on={day}" for day in days) if table_exists(spark, f)]
+    if not folders:
         return None
-    since = F.date_sub(F.to_date(F.lit(first_at)), (sink.settings.ttl_hours + 23) // 24)
-    return (
-        spark.read.schema(ADMISSIONS)
-        .parquet(sink.path("admissions"))
-        .filter((F.col("batch") < batch) & (F.col("admitted_on") >= since))
-        .select("event_id", "admitted_at")
-    )
+    stored = spark.read.schema(ADMISSIONS).option("basePath", root).parquet(*folders)
+    return stored.filter(F.col("batch") < batch).select("event_id", "admitted_at")
 
 
 def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
@@ -61,11 +67,12 @@ def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
     numbered = decoded.withColumn("seq", F.monotonically_increasing_id())
     _write(check(numbered, "stream", settings=sink.settings), sink.of_batch("checked", batch))
     rows = spark.read.parquet(sink.of_batch("checked", batch))
-    first_at = rows.agg(F.min("received_at")).first()[0]
-    if first_at is None:
+    reach = shift(F.min("received_at"), -3600 * sink.settings.ttl_hours)
+    first_day, last_day = rows.agg(F.to_date(reach), F.to_date(F.max("received_at"))).first()
+    if first_day is None:
         return
     _write(malformed_requests(rows), sink.of_batch("malformed", batch))
-    flow = admit(well_formed(rows), _earlier_admissions(spark, sink, batch, first_at), sink.settings)
+    flow = admit(well_formed(rows), _earlier_admissions(spark, sink, batch, first_day, last_day), sink.settings)
     _write(flow.outcomes, sink.of_batch("outcomes", batch))
     _write(flow.rejects, sink.of_batch("rejects", batch))
     outcomes = spark.read.parquet(sink.of_batch("outcomes", batch))
@@ -74,11 +81,16 @@ def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
     records = done.published.unionByName(done.dead_letter_records)
     _write(records, sink.of_batch("topics", batch), by="topic")
     upsert_hourly(outcomes, sink.path("hourly"), batch)
+    prune_versions(spark, sink.path("hourly"), keep=KEPT_VERSIONS)
     # Last: the admissions make the batch visible to the next one.
     admitted = outcomes.filter("admitted").select(
-        "event_id", F.col("received_at").alias("admitted_at"), F.to_date("received_at").alias("admitted_on")
+        "event_id", F.col("received_at").alias("admitted_at"), F.to_date("received_at").alias("admitted_on"),
+        F.lit(batch).cast("bigint").alias("batch"),
     )
-    _write(admitted, sink.of_batch("admissions", batch), by="admitted_on")
+    # By day first, so that a batch lists only the days it needs. A replay finds the same days.
+    admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "admitted_on", "batch"
+    ).parquet(sink.path("admissions"))
 
 
 def start_ingest(
