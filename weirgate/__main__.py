@@ -18,7 +18,7 @@ from weirgate.operators.batches import guard_batches, malformed_requests, well_f
 from weirgate.operators.totals import stats_snapshot
 from weirgate.plans.ingest import ingest
 from weirgate.plans.reprocess import reprocess
-from weirgate.session import tune
+from weirgate.session import cut_lineage, tune
 from weirgate.sinks import tables, topics
 from weirgate.sources.generator import generate_events
 from weirgate.sources.json_events import read_batch_files
@@ -30,19 +30,27 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Malformed and oversized requests, rejects, events, dead letters, topics and metrics."""
-    decoded = read_batch_files(spark, args.source)
-    malformed_requests(decoded).write.mode("append").parquet(f"{args.out}/malformed")
+    """Malformed and oversized requests, rejects, events, dead letters, topics and metrics.
+
+    A run is numbered by the metrics version it commits last. A run that was lost before that
+    is repeated under its number and overwrites what it left; events are unique by id anyway.
+    """
+    last = tables.latest_version(spark, f"{args.out}/hourly")
+    run = 0 if last is None else last + 1
+
+    def path(name: str) -> str:
+        return f"{args.out}/{name}/run={run}"
+
+    decoded = cut_lineage(read_batch_files(spark, args.source))
+    malformed_requests(decoded).write.mode("overwrite").parquet(path("malformed"))
     rows = well_formed(decoded)
-    guard_batches(rows).rejected.write.mode("append").parquet(f"{args.out}/oversized")
-    done = ingest(rows, "batch", args.validate)
-    done.outcomes.write.mode("append").parquet(f"{args.out}/outcomes")
-    done.rejects.write.mode("append").parquet(f"{args.out}/rejects")
+    guard_batches(rows).rejected.write.mode("overwrite").parquet(path("oversized"))
+    done = ingest(rows, "batch", args.validate).stored(path("outcomes"))
+    done.rejects.write.mode("overwrite").parquet(path("rejects"))
     tables.insert_events(tables.event_rows(done.outcomes), f"{args.out}/events")
-    tables.append_dead_letters(done.dead_letters, f"{args.out}/dead_letters")
-    topics.publish(done.published.unionByName(done.dead_letter_records), f"{args.out}/topics")
-    last = tables.latest_version(spark, f"{args.out}/hourly")
-    tables.upsert_hourly(done.outcomes, f"{args.out}/hourly", 0 if last is None else last + 1)
+    tables.write_dead_letters(done.dead_letters, path("dead_letters"), "overwrite")
+    topics.publish(done.published.unionByName(done.dead_letter_records), path("topics"), "overwrite")
+    tables.upsert_hourly(done.outcomes, f"{args.out}/hourly", run)
 
 
 def run_stats(spark: SparkSession, args: argparse.Namespace) -> None:

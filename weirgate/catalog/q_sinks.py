@@ -104,7 +104,7 @@ def k07(spark, sf_dir):
 )
 def k08(spark, sf_dir):
     path = scratch_path(spark, "k08")
-    tables.append_dead_letters(tables.dead_letter_rows(outcomes(spark, sf_dir)), path)
+    tables.write_dead_letters(tables.dead_letter_rows(outcomes(spark, sf_dir)), path)
     return tables.read_table(spark, path, tables.DEAD_LETTERS).drop("last_retried_at")
 
 

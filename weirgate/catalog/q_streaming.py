@@ -1,15 +1,19 @@
-"""Streaming: d02, t1-t6. The results of the streams, as they wrote them."""
+"""Streaming: d02, t1-t6 and the stream forms of r1, r3, r5. The results of the streams, as they wrote them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from weirgate.catalog.q_sources import wire_json
-from weirgate.catalog.registry import query, wire
-from weirgate.catalog.sql import ERRORS, checked_sql, outcome_sql
+from weirgate.catalog.registry import events, query, wire
+from weirgate.catalog.sql import ERRORS, checked_sql, outcome_sql, wire_sql
+from weirgate.operators.enrich import enrich
 from weirgate.session import scratch_path, tune_streaming
+from weirgate.sources.tables import table
 from weirgate.streaming.ingest import IngestStream, start_ingest
+from weirgate.streaming.patterns import stream_bursts, stream_matches
 from weirgate.streaming.ttl_state import stream_ttl_dedup
+from weirgate.streaming.windows import stream_windowed
 
 _VALID = (ERRORS, "good AS (SELECT * EXCLUDE (base, errors) FROM checked WHERE len(errors) = 0)")
 
@@ -125,3 +129,78 @@ def t6(spark, sf_dir):
     pushes = spark.read.parquet(pushed)
     last = pushes.groupBy().agg(F.max_by(F.struct("total_received", "total_processed"), "sequence").alias("x"))
     return last.select("x.total_received", "x.total_processed")
+
+
+def _drained(spark, rows, build, label: str):
+    """Rows written as a stream source, run through ``build`` to the end, and read back."""
+    tune_streaming(spark)
+    source, out, marks = (scratch_path(spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
+    rows.write.parquet(source)
+    result = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100_000).parquet(source))
+    run = (
+        result.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks)
+        .trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(result.schema).parquet(out)
+
+
+@query(
+    "r1_stream_tumbling",
+    """SELECT event_type, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS events
+FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events) GROUP BY event_type, window_start
+HAVING window_start + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""",
+)
+def r1_stream_tumbling(spark, sf_dir):
+    """Windows the watermark (one hour behind the newest event) has closed."""
+    rows = events(spark, sf_dir).select("event_type", F.col("ts").cast("timestamp").alias("received_at"))
+    return _drained(spark, rows, lambda s: stream_windowed(s, "tumbling", ["event_type"], "1 hour"), "r1t")
+
+
+@query(
+    "r1_stream_sessions",
+    """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g)
+SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS events FROM s GROUP BY user_id, no
+HAVING max(ts) + INTERVAL 90 MINUTE <= (SELECT max(ts) FROM events)""",
+)
+def r1_stream_sessions(spark, sf_dir):
+    rows = events(spark, sf_dir).select("user_id", F.col("ts").cast("timestamp").alias("received_at"))
+    return _drained(spark, rows, lambda s: stream_windowed(s, "session", ["user_id"], "30 minutes"), "r1s")
+
+
+@query(
+    "r3_stream_enrichment",
+    "SELECT event_id, event_type, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey",
+)
+def r3_stream_enrichment(spark, sf_dir):
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = events(spark, sf_dir).select("event_id", "event_type", "user_id")
+    joined = _drained(spark, rows, lambda s: enrich(s, people, F.col("user_id") == F.col("c_custkey")), "r3e")
+    return joined.drop("c_custkey")
+
+
+@query(
+    "r3_stream_match",
+    wire_sql("""SELECT c.user_id, c.event_id AS closed_id, o.event_id AS opened_id, c.received_at AS closed_at, o.received_at AS opened_at
+FROM (SELECT * FROM wire WHERE event_type = 'transaction.completed') c
+ASOF JOIN (SELECT * FROM wire WHERE event_type = 'transaction.created') o
+  ON c.user_id = o.user_id AND c.received_at >= o.received_at
+WHERE c.received_at - o.received_at <= INTERVAL 1 HOUR"""),
+)
+def r3_stream_match(spark, sf_dir):
+    rows = wire(spark, sf_dir).select("event_id", "event_type", "user_id", "received_at")
+    return _drained(spark, rows, stream_matches, "r3m")
+
+
+@query(
+    "r5_stream_alerts",
+    wire_sql("""SELECT DISTINCT user_id, received_at AS alert_at FROM (
+  SELECT user_id, received_at, count(*) OVER (PARTITION BY user_id ORDER BY received_at
+    RANGE BETWEEN INTERVAL 4 HOUR PRECEDING AND CURRENT ROW) AS n_in
+  FROM wire WHERE event_type LIKE 'error.%' OR event_type LIKE 'security.%' OR event_type LIKE 'fraud.%') WHERE n_in >= 3"""),
+)
+def r5_stream_alerts(spark, sf_dir):
+    rows = wire(spark, sf_dir).select("event_type", "user_id", "received_at")
+    return _drained(spark, rows, lambda s: stream_bursts(s, n=3, within=4 * 3600), "r5a")

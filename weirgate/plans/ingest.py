@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +24,17 @@ ENTRY_MODES = {"single": "full", "batch": "annotations", "stream": "full"}
 
 @dataclass(frozen=True)
 class Ingested:
-    """Every row of the input is in exactly one of ``outcomes`` and ``invalid``."""
+    """Every row of the input is in exactly one of ``outcomes`` and ``invalid``; both are lazy."""
 
     outcomes: DataFrame
     invalid: DataFrame
     settings: Settings
 
+    def stored(self, path: str) -> Ingested:
+        """The same with the outcomes written to ``path`` and read back, for several outputs."""
+        self.outcomes.write.mode("overwrite").parquet(path)
+        return replace(self, outcomes=self.outcomes.sparkSession.read.schema(self.outcomes.schema).parquet(path))
+
     @property
     def acks(self) -> DataFrame:
         return acknowledgements(self.outcomes)

@@ -84,8 +84,8 @@ def dead_letter_rows(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def append_dead_letters(rows: DataFrame, path: str) -> None:
-    within_limits(rows, fv.DEAD_LETTER_COLUMN_LIMITS).write.mode("append").parquet(path)
+def write_dead_letters(rows: DataFrame, path: str, mode: str = "append") -> None:
+    within_limits(rows, fv.DEAD_LETTER_COLUMN_LIMITS).write.mode(mode).parquet(path)
 
 
 def merge_hourly(stored: DataFrame, increment: DataFrame) -> DataFrame:
