@@ -95,9 +95,30 @@ def a08(spark, sf_dir):
     return p.select("event_type", "quantile", F.round("result", 6).alias("result"))
 
 
-@query("a08_latency_percentiles_approx")
+@query(
+    "a08_latency_percentiles_approx",
+    f"SELECT event_type, unnest({_Q}) AS quantile, TRUE AS within_error FROM events GROUP BY event_type",
+)
 def a08_approx(spark, sf_dir):
-    return approx_percentiles(events(spark, sf_dir), ["event_type"], "value", fv.LATENCY_QUANTILES)
+    """The sketch's answers, with their true ranks checked against its error bound."""
+    rows = events(spark, sf_dir)
+    answers = approx_percentiles(rows, ["event_type"], "value", fv.LATENCY_QUANTILES, accuracy=10_000)
+    wide = answers.groupBy("event_type").pivot("quantile", list(fv.LATENCY_QUANTILES)).agg(F.first("result"))
+    named = wide.toDF("event_type", *[f"r{i}" for i in range(len(fv.LATENCY_QUANTILES))])
+    counts = [F.count(F.lit(1)).alias("n")]
+    for i in range(len(fv.LATENCY_QUANTILES)):
+        counts.append(F.count_if(F.col("value") < F.col(f"r{i}")).alias(f"below{i}"))
+        counts.append(F.count_if(F.col("value") <= F.col(f"r{i}")).alias(f"upto{i}"))
+    ranked = rows.select("event_type", "value").join(named, "event_type").groupBy("event_type").agg(*counts)
+    slack = F.col("n") / F.lit(10_000.0) + F.lit(1)
+    checks = [
+        F.struct(
+            F.lit(q).alias("quantile"),
+            ((F.col(f"below{i}") <= q * F.col("n") + slack) & (F.col(f"upto{i}") >= q * F.col("n") - slack)).alias("within_error"),
+        )
+        for i, q in enumerate(fv.LATENCY_QUANTILES)
+    ]
+    return ranked.select("event_type", F.inline(F.array(*checks)))
 
 
 _BOUNDS = ", ".join(str(b) for b in DEFAULT_BOUNDS)

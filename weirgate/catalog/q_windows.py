@@ -10,7 +10,7 @@ from weirgate.operators.listing import chart_points, day_over_day, newest_first
 from weirgate.operators.rates import counter_rate, event_rate
 from weirgate.operators.running import running_total
 from weirgate.operators.totals import last_non_null
-from weirgate.sources.counters import counter_samples
+from weirgate.sources.counters import counter_samples, metric_samples
 
 
 def _rate_sql(keys: str, width: int, copies: int) -> str:
@@ -52,6 +52,24 @@ def s06(spark, sf_dir):
     return _samples(spark, sf_dir)
 
 
+@query(
+    "s06_metric_samples",
+    outcome_sql("""SELECT ts, metric, round(CASE metric WHEN 'events.ingested' THEN p WHEN 'events.failed' THEN f WHEN 'events.duplicates' THEN d
+  ELSE p * 100.0 / (p + f + d) END, 6) AS value
+FROM (SELECT g.ts, coalesce(sum(p) OVER w, 0) AS p, coalesce(sum(f) OVER w, 0) AS f, coalesce(sum(d) OVER w, 0) AS d FROM grid g LEFT JOIN cells c ON g.ts = c.ts
+      WINDOW w AS (ORDER BY g.ts)),
+  (VALUES ('events.ingested'), ('events.failed'), ('events.duplicates'), ('success.rate')) m(metric)""",
+    """cells AS (SELECT time_bucket(INTERVAL 10 MINUTE, received_at) + INTERVAL 10 MINUTE AS ts,
+  CAST(count(*) FILTER (WHERE outcome = 'processed') AS DOUBLE) AS p, CAST(count(*) FILTER (WHERE outcome = 'failed') AS DOUBLE) AS f,
+  CAST(count(*) FILTER (WHERE outcome = 'duplicate') AS DOUBLE) AS d FROM outcomes GROUP BY 1),
+grid AS (SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 10 MINUTE)) AS ts FROM cells)"""),
+)
+def s06_metrics(spark, sf_dir):
+    """Sampled every ten minutes."""
+    samples = metric_samples(outcomes(spark, sf_dir), interval=600)
+    return samples.select("ts", "metric", F.round("value", 6).alias("value"))
+
+
 @query(
     "w03_counter_rate",
     f"""WITH {_SAMPLES}, restarted AS (
