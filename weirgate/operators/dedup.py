@@ -118,16 +118,13 @@ def _hot_duplicates(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
     return _of(rows, ids).join(admitted, ["event_id", "at", "seq"], "left_anti").select("event_id", "at", "seq")
 
 
-def ttl_duplicates(
-    df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
-) -> DataFrame:
-    """(event_id, at, seq) of every arrival that is not admitted; ``at`` in epoch microseconds.
+def _rows(df: DataFrame, at: str, seq: str) -> DataFrame:
+    return df.select("event_id", micros(F.col(at)).alias("at"), F.col(seq).alias("seq"))
 
-    (event_id, at, seq) must identify a row. The ids with repeats are materialised once,
-    because what they look like decides which ways are needed.
-    """
+
+def _duplicates(rows: DataFrame, settings: Settings) -> DataFrame:
+    """The ids with repeats are materialised once: what they look like decides which ways are needed."""
     ttl = settings.ttl_micros
-    rows = df.select("event_id", micros(F.col(at)).alias("at"), F.col(seq).alias("seq"))
     repeated = cut_lineage(_repeated(rows))
     few = repeated.filter(F.col("arrivals") <= settings.fold_limit)
     many = repeated.filter(F.col("arrivals") > settings.fold_limit)
@@ -137,11 +134,19 @@ def ttl_duplicates(
     return duplicates
 
 
-def mark_admitted(
+def ttl_duplicates(
     df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
 ) -> DataFrame:
+    """(event_id, at, seq) of every arrival that is not admitted; ``at`` in epoch microseconds.
+
+    (event_id, at, seq) must identify a row.
+    """
+    return _duplicates(_rows(df, at, seq), settings)
+
+
+def _mark(df: DataFrame, duplicates: DataFrame, at: str, seq: str) -> DataFrame:
     """All rows plus ``admitted``. The join key is one row wide, so no id is hot in it."""
-    repeats = ttl_duplicates(df, settings, at, seq).select(
+    repeats = duplicates.select(
         "event_id", F.col("at").alias("_at"), F.col("seq").alias(seq), F.lit(True).alias("_repeat")
     )
     return (
@@ -151,6 +156,13 @@ def mark_admitted(
     )
 
 
+def mark_admitted(
+    df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
+) -> DataFrame:
+    """All rows plus ``admitted``."""
+    return _mark(df, ttl_duplicates(df, settings, at, seq), at, seq)
+
+
 def seen_before(df: DataFrame, state: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at") -> DataFrame:
     """Rows whose id has a stored admission that is still alive (or lies ahead) at arrival."""
     alive = _latest_admissions(state)
@@ -175,14 +187,19 @@ def mark_admitted_with_state(
     at: str = "received_at",
     seq: str = "seq",
 ) -> DataFrame:
-    """`mark_admitted` for one increment, given the stored ``(event_id, admitted_at)``."""
-    alive = _latest_admissions(state)
+    """`mark_admitted` for one increment, given the stored ``(event_id, admitted_at)``.
+
+    The stored admissions are looked up once, for the three narrow columns dedup works on.
+    """
     due = F.col("admitted_at") + F.lit(settings.ttl_micros)
-    known = df.join(alive, "event_id", "left").withColumn(
-        "_known", F.coalesce(micros(F.col(at)) < due, F.lit(False))
-    ).drop("admitted_at")
-    repeats = known.filter("_known").drop("_known").withColumn("admitted", F.lit(False))
-    return mark_admitted(known.filter("NOT _known").drop("_known"), settings, at, seq).unionByName(repeats)
+    looked_up = cut_lineage(
+        _rows(df, at, seq)
+        .join(_latest_admissions(state), "event_id", "left")
+        .select("event_id", "at", "seq", F.coalesce(F.col("at") < due, F.lit(False)).alias("known"))
+    )
+    repeats = looked_up.filter("known").drop("known")
+    fresh = looked_up.filter("NOT known").drop("known")
+    return _mark(df, _duplicates(fresh, settings).unionByName(repeats), at, seq)
 
 
 def next_state(state: DataFrame, marked: DataFrame, as_of: Column, settings: Settings = DEFAULTS, at: str = "received_at") -> DataFrame:

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # A hot event id or user is split at run time, also below an aggregate on the same key.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rank limits up to this size are applied before the shuffle as well.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 STREAM_CONF = {
