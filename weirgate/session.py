@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +46,16 @@ def tune_streaming(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the session.
+    """The folder every executor can reach: ``spark.checkpoint.dir`` as the session names it.
 
-    Only a session that names none (a local test) gets a temporary one.
+    A session that names none gets a folder below the warehouse when it runs in one process (a
+    local test); on a cluster that is an error, as no folder can be assumed to be shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="weirgate-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return named.rstrip("/")
 
 
