@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weirgate.llm.common import table
+from weirgate.llm import decontamination, mixing
+from weirgate.llm.common import WORD, table
 from weirgate.llm.language_model import lm_scores
 from weirgate.llm.token_counts import token_counts
 from weirgate.llm.token_output import token_output
@@ -26,6 +28,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    # The contract's rows need no texts: sizes are counted at the scan, and only they move.
+    mixed = mixing.mix(docs.select("doc_id", "source", words.alias("size")))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 @query("op4_token_output")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
@@ -39,3 +50,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination", decontamination.SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found)
