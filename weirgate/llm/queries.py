@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from weirgate.llm import decontamination, mixing
 from weirgate.llm.common import WORD, table
+from weirgate.llm.language_id import identify
 from weirgate.llm.language_model import lm_scores
+from weirgate.llm.quality import quality_scores
 from weirgate.llm.token_counts import token_counts
 from weirgate.llm.token_output import token_output
 
@@ -42,6 +44,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
 
 
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_lm_scores")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
