@@ -11,6 +11,7 @@ from weirgate.llm import decontamination, mixing
 from weirgate.llm.common import WORD, table
 from weirgate.llm.language_id import identify
 from weirgate.llm.language_model import lm_scores
+from weirgate.llm.near_dedup import near_classes
 from weirgate.llm.quality import quality_scores
 from weirgate.llm.token_counts import token_counts
 from weirgate.llm.token_output import token_output
@@ -30,6 +31,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 @query("op2_mixing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
