@@ -15,6 +15,7 @@ from weirgate.llm.near_dedup import near_classes
 from weirgate.llm.quality import quality_scores
 from weirgate.llm.token_counts import token_counts
 from weirgate.llm.token_output import token_output
+from weirgate.llm.vector_dedup import vector_classes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +61,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_embedding_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_classes(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_lm_scores")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))

@@ -33,13 +33,22 @@ REMEMBERED = 300_000
 _SPACE = r"\t-\r "
 #: Texts of these characters only (Latin, without odd white space) are cut here; others go whole.
 SIMPLE = re.compile("[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f]*")
-#: Cuts that the tokenizer's own pre-tokenizer makes too: runs of letters and digits are kept
-#: together, which is coarser than its cut between letters and digits, and so still safe.
+#: The pre-tokens of the tokenizer, for texts of those characters.
 PIECE = re.compile(
-    rf"'(?:s|t|re|ve|m|ll|d)| ?[^\W_]+| ?(?:[^\w{_SPACE}]|_)+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_²³¹¼½¾]+| ?[\d²³¹¼½¾]+| ?(?:[^\w{_SPACE}]|_)+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that a byte-level model has for each byte: printable ones stand for themselves."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_SIGNS = _byte_signs()
+
+
 class Encoder:
     """Encodes texts with a byte-level tokenizer; a pre-token is encoded once while remembered."""
 
@@ -51,6 +60,11 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of single pre-tokens, which need the tokenizer's model alone."""
+        tokenize = self.tokenizer.model.tokenize
+        return [array("I", [t.id for t in tokenize(p.encode().decode("latin-1").translate(_SIGNS))]).tobytes() for p in pieces]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [
@@ -61,7 +75,7 @@ class Encoder:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list({p for pieces in cut if pieces for p in pieces})
-        known.update(zip(new, self.whole(new)))
+        known.update(zip(new, self.pieces(new)))
         rest = iter(self.whole([t for t, pieces in zip(texts, cut) if pieces is None]))
         return [next(rest) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
