@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import decontamination, mixing
+from weirgate.llm import decontamination, mixing, substring_dedup
 from weirgate.llm.common import WORD, table
 from weirgate.llm.language_id import identify
 from weirgate.llm.language_model import lm_scores
@@ -46,6 +46,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.repeated_spans(table(spark, sf_dir, "documents")))
+
+
 @query("op4_token_output")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
