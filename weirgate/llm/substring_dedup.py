@@ -340,7 +340,9 @@ def _blocks(contents: DataFrame) -> DataFrame:
                     h = (prefix[end] - prefix[start]) * down[start]
                     return mixed(mixed(h + _U(kind)) + (offset - start).astype(np.uint64) * _U(_BASE) + d.astype(np.uint64))
 
-                core.append(value(hi, lo + LENGTH, 1, first))
+                # What all windows of the whole block share, so any of them in this content has it.
+                shared = offset - first * size
+                core.append(value(shared, shared - size + 1 + LENGTH, 1, first))
                 hull.append(value(lo, hi + LENGTH, 2, first) if not single else core[-1])
                 a.append(np.full(len(first), x))
                 c.append(np.full(len(first), y))
@@ -364,7 +366,12 @@ def _blocks(contents: DataFrame) -> DataFrame:
     judged = cut_lineage(counted(counted(blocks, "core", "maybe"), "hull", "surely"))
     whole = judged.filter("surely").select("a", "c", "low", "high")
     # The core of a block is in all its windows: found once, no window is repeated.
-    open_ = contents.join(judged.filter("maybe AND surely IS NULL").select("a", "c", "block"), ["a", "c"])
+    unsure = judged.filter("maybe AND surely IS NULL")
+    # Their partners may lie in repeated blocks, of which one of each kind is enough.
+    sure = judged.filter("surely").join(unsure.select("a", "core").distinct(), ["a", "core"], "left_semi")
+    partners = sure.groupBy("a", "block", "hull").agg(F.min("c").alias("c"))
+    asked = unsure.select("a", "c", "block").union(partners.select("a", "c", "block"))
+    open_ = contents.join(asked, ["a", "c"])
     singles = cut_lineage(map_batches(open_.select("a", "c", "body", "offset", "block"), hashed(True), schema))
     parts = whole.union(counted(singles, "core", "sure").filter("sure").select("a", "c", "low", "high"))
 

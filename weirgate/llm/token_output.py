@@ -49,35 +49,41 @@ def _byte_signs() -> dict[int, str]:
 _SIGNS = _byte_signs()
 
 
+class _Known(dict):
+    """Ids of pre-tokens by the tokenizer's model, worked out when first asked for."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        super().__init__()
+        self.tokenize = tokenizer.model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("I", [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]).tobytes()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts with a byte-level tokenizer; a pre-token is encoded once while remembered."""
 
     def __init__(self, name: str = TOKENIZER) -> None:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self.tokenizer)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of single pre-tokens, which need the tokenizer's model alone."""
-        tokenize = self.tokenizer.model.tokenize
-        return [array("I", [t.id for t in tokenize(p.encode().decode("latin-1").translate(_SIGNS))]).tobytes() for p in pieces]
-
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [
-            PIECE.findall(t) if SIMPLE.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts
-        ]
-        known = self.known
-        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({p for pieces in cut if pieces for p in pieces})
-        known.update(zip(new, self.pieces(new)))
-        rest = iter(self.whole([t for t, pieces in zip(texts, cut) if pieces is None]))
-        return [next(rest) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        get, out = self.known.__getitem__, []
+        for t in texts:
+            if SIMPLE.fullmatch(t) and not any(s in t for s in self.special):
+                out.append(b"".join(map(get, PIECE.findall(t))))
+            else:
+                out += self.whole([t])
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
