@@ -10,9 +10,10 @@ multisets decides: linked from 0.8 on.
 
 Equal texts are one node. Candidates are never all pairs of a bucket: nodes are compared with the
 smallest node of their buckets, then with more pivots, and only what is still in different
-components goes on: buckets that are still large are divided by a second band, and pairs across
-components are compared to the last. So no bucket has a cap, and a group of n copies costs about n
-comparisons.
+components goes on. Shingles that no other open node has bound a node's overlap with any other, so
+a copy with many edits of its own is settled without a partner; buckets that are still large are
+divided by a second band, and pairs across components are compared to the last. No bucket has a
+cap, and a group of n copies costs about n comparisons.
 
 Texts without words, null and empty ones included, link with nothing and are classes of their own,
 also when they are equal. Rows that repeat an id and a text are copies; one row is kept. Null ids
@@ -195,32 +196,72 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return cut_lineage(map_batches(both.select("a", "b", "x", "y"), work, "a binary, b binary"))
 
 
+def _supported(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``node``, ``n`` (shingles) and ``s`` (those that another of the nodes has too, counted with their number).
+
+    No overlap with another node is larger than ``s``, which rules out most pairs of a group of
+    copies that are each edited in their own way.
+    """
+
+    def work(batch: pa.RecordBatch):
+        for node, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            found = np.sort(shingle_hashes(word_hashes(np.frombuffer(text + b" ", np.uint8))[1], size))
+            # The second and later ones of a shingle are elements of their own.
+            fresh = np.concatenate([[True], found[1:] != found[:-1]])
+            at = np.arange(len(found))
+            rank = at - np.maximum.accumulate(np.where(fresh, at, 0))
+            elements = mixed(found + rank.astype(np.uint64) * _U(_BASE)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(elements)], ["id", "element"])
+
+    rows = texts.join(nodes, "node", "left_semi").select("node", F.xxhash64("node").alias("id"), "text")
+    elements = cut_lineage(map_batches(rows.select("id", "text"), work, "id long, element long"))
+    alone = elements.groupBy("element").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("id")).filter("times = 1")
+    lonely = alone.groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    total = elements.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    counted = total.join(lonely, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
+    return rows.select("node", "id").join(counted, "id").select("node", "n", "s")
+
+
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of buckets that still hold more than one component, with ``label``."""
-    label = F.coalesce("label", "node").alias("label")
-    rows = members.join(components(links), "node", "left").select("bucket", "node", "size", label)
-    mixed_ = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return cut_lineage(rows.join(mixed_.select("bucket"), "bucket", "left_semi"))
+    """Rows of the buckets that still hold more than one component, with ``label`` and the bucket's ``size``."""
+    kept = [c for c in members.columns if c not in ("label", "size")]
+    rows = members.select(*kept).join(components(links), "node", "left").select(*kept, F.coalesce("label", "node").alias("label"))
+    return cut_lineage(_open(rows))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return rows.join(buckets.filter("low <> high").select("bucket", "size"), "bucket")
 
 
 def _divided(rows: DataFrame, bands: DataFrame) -> DataFrame:
-    """Large buckets divided by each other band of their nodes; those that keep one component go."""
-    large = rows.filter(F.col("size") > LARGE)
-    finer = large.join(bands.withColumnRenamed("bucket", "second"), "node").filter("second <> bucket")
-    keyed = finer.select(F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket"), "node", "label").distinct()
-    mixed_ = keyed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return keyed.join(mixed_.select("bucket"), "bucket", "left_semi")
+    """Large buckets divided by each other band of their nodes."""
+    finer = rows.join(bands.withColumnRenamed("bucket", "second"), "node").filter("second <> bucket")
+    key = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")
+    return _open(finer.select(key, "node", "n", "s", "label").distinct())
+
 
+def _possible(x: str, y: str, similarity: float) -> Column:
+    """Whether the supported shingles of two nodes allow the similarity."""
+    most = F.least(F.col(f"s{x}"), F.col(f"s{y}"))
+    return most >= F.lit(similarity) * (F.col(f"n{x}") + F.col(f"n{y}") - most)
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of a bucket's nodes in different components, one of them outside the bucket's largest one."""
-    sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    few = rows.join(main, "bucket").filter("label <> main")
-    x = few.select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    y = rows.select("bucket", F.col("node").alias("y"), F.col("label").alias("ly"))
-    pairs = x.join(y, "bucket").filter("lx <> ly")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+def _side(rows: DataFrame, x: str) -> DataFrame:
+    return rows.select("bucket", F.col("node").alias(x), F.col("label").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
+
+
+def _pairs(few: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of a bucket's nodes in different components, one of them from ``few``."""
+    both = _side(few, "x").join(_side(rows, "y"), "bucket").filter((F.col("lx") != F.col("ly")) & _possible("x", "y", similarity))
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _across(rows: DataFrame, similarity: float) -> DataFrame:
+    """All pairs across components in the buckets: what is outside the largest component against all."""
+    sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("many"))
+    main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("many", "label")).alias("main"))
+    return _pairs(rows.join(main, "bucket").filter("label <> main"), rows, similarity)
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -254,22 +295,19 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     # First the smallest node that each node meets in any bucket.
     pairs = members.filter("pivot < node").groupBy("node").agg(F.min("pivot").alias("a")).select("a", F.col("node").alias("b"))
     links = verified(pairs, texts, similarity)
-    members = members.select("bucket", "node", "size")
-    # Then some pivots of the buckets that are not one component yet.
+    members = members.select("bucket", "node")
+    # Nodes whose own shingles rule out every partner are done.
     open_ = _labelled(members, links)
+    support = _supported(open_.select("node").distinct(), texts).filter(F.col("s") >= F.lit(similarity) * F.col("n"))
+    open_ = cut_lineage(_open(open_.drop("size").join(support, "node")))
+    # Then some pivots of the buckets that are not one component yet.
     order = [F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
-    pivots = open_.groupBy("bucket").agg(*order).select("bucket", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("pivot"))
-    tried = (
-        open_.join(pivots.join(open_.select("bucket", F.col("node").alias("pivot"), F.col("label").alias("its")), ["bucket", "pivot"]), "bucket")
-        .filter("label <> its")
-        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        .distinct()
-    )
-    links = links.union(verified(tried, texts, similarity))
+    pivots = open_.groupBy("bucket").agg(*order).select("bucket", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("node"))
+    links = links.union(verified(_pairs(open_.join(pivots, ["bucket", "node"]), open_, similarity), texts, similarity))
     # Then every pair across the components that are left in a bucket.
-    open_ = _labelled(open_.select("bucket", "node", "size"), links)
-    small = open_.filter(F.col("size") <= LARGE).select("bucket", "node", "label")
-    rest = _across(small.union(_divided(open_, members.select("node", "bucket"))))
+    open_ = _labelled(open_, links)
+    small, large = open_.filter(F.col("size") <= LARGE), open_.filter(F.col("size") > LARGE)
+    rest = _across(small.unionByName(_divided(large.drop("size"), members.select("node", "bucket"))), similarity)
     links = links.union(verified(rest, texts, similarity))
 
     found = nodes.join(components(links), "node", "left").select("key", F.coalesce("label", "node").alias("label"))
