@@ -114,14 +114,13 @@ def fly(p: np.ndarray, size: np.ndarray, seed: int, land: bool) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The columns of ``docs`` with ``size``, ``source_size``, ``target`` and ``copies``."""
-    added = {"size", "source_size", "target", "copies"}
+def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``doc`` (all columns of a document), ``size``, ``source_size``, ``target`` and ``copies``."""
     text = F.col("text").cast("string") if "text" in docs.columns else None
     given = "size" in docs.columns and text is None
     # The document travels as one column, so its names meet no others.
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added or c == "source"]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.col("source").cast("string").alias("source"),
         (F.col("size") if given else F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0))).cast("long").alias("size"),
         (F.coalesce(F.octet_length(text), F.lit(0)) if text is not None else F.lit(0)).cast("long").alias("bytes"),
@@ -156,7 +155,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     out = settled[0]
     for x in settled[1:]:
         out = out.unionByName(x)
-    return out.select("doc.*", "size", "source_size", "target", (F.col("whole") + F.round("p")).cast("long").alias("copies"))
+    return out.select("doc", "size", "source_size", "target", (F.col("whole") + F.round("p")).cast("long").alias("copies"))
 
 
 def _block_work(level: int, last: bool):
@@ -173,7 +172,15 @@ def _block_work(level: int, last: bool):
     return work
 
 
-def expand(mixed: DataFrame) -> DataFrame:
-    """One row for each copy that the mix takes."""
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The columns of ``docs`` with ``size``, ``source_size``, ``target`` and ``copies``."""
+    added = ("size", "source_size", "target", "copies")
+    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c not in added]
+    return _mixed(docs, **options).select(*kept, *added)
+
+
+def take(docs: DataFrame, **options) -> DataFrame:
+    """The documents that the mix takes, with all their columns, once for each copy."""
     copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
-    return mixed.filter("copies > 0").select("*", F.explode(copies).alias("copy"))
+    rows = _mixed(docs, **options).filter("copies > 0").select("doc", F.explode(copies).alias("copy"))
+    return rows.select(*[F.col(f"doc.`{c}`") for c in docs.columns])
