@@ -167,15 +167,11 @@ def train(docs: DataFrame, labels: DataFrame, allowed: F.Column, sample: int = S
     keep = F.lit(False)
     for q, r in rate.items():
         keep = F.when(F.col("quality") == q, F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(r * 1_000_000)).otherwise(keep)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = (
-        docs.select("doc_id", text.cast("binary").alias("text"))
-        .filter(F.octet_length("text") <= longest)
-        .join(marked.filter(keep), "doc_id")
-        .select("doc_id", "text", "quality")
-        .orderBy("doc_id", "text", "quality")
-        .collect()
-    )
+    # About ``sample`` ids of each label: small enough to send to the tasks, so texts stay where they are.
+    drawn = F.broadcast(marked.filter(keep).groupBy("doc_id").agg(F.max("quality").alias("quality")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    rows = docs.select("doc_id", text.alias("text")).filter(F.octet_length("text") <= longest).join(drawn, "doc_id").collect()
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["text"])))
     if not rows:
         net = fit([b""], np.ones(1), np.ones(1), epochs=0)
         net.last[0] = 0.0
