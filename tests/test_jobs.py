@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from weirgate.__main__ import main
 from weirgate.session import scratch_path
+from weirgate.sources.json_events import read_events
+from weirgate.streaming.ingest import IngestStream, ingest_batch
 
 
-def test_generate_ingest_stats(spark, capsys):
+def event(i: int, **more) -> str:
+    return json.dumps({"eventId": f"g{i}", "eventType": "user.login", "userId": "u", "data": {}, **more})
+
+
+def test_ingest_stats(spark, capsys):
     made, out = scratch_path(spark, "job-made"), scratch_path(spark, "job-out")
-    main(["generate", "--out", made, "--events", "300"])
+    spark.createDataFrame([(event(i),) for i in range(300)], "value string").write.text(made)
     main(["ingest", "--source", made, "--out", out, "--checkpoint", scratch_path(spark, "job-marks")])
     main(["stats", "--out", out])
     stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
@@ -28,10 +35,54 @@ def test_batch_and_reprocess(spark):
     requests = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "i int, value string")
     requests.write.partitionBy("i").text(source)
     main(["batch", "--source", f"{source}/*", "--out", out])
-    counts = {n: spark.read.parquet(f"{out}/{n}").count() for n in ("outcomes", "events", "rejects", "dead_letters", "malformed")}
-    assert counts == {"outcomes": 11, "events": 8, "rejects": 1, "dead_letters": 1, "malformed": 1}
+    tables = ("outcomes", "events", "rejects", "dead_letters", "malformed", "acks", "quarantine")
+    counts = {n: spark.read.parquet(f"{out}/{n}").count() for n in tables}
+    assert counts == {"outcomes": 11, "events": 8, "rejects": 1, "dead_letters": 1, "malformed": 1, "acks": 10, "quarantine": 0}
     topics = spark.read.parquet(f"{out}/topics").groupBy("topic").count().collect()
     assert {tuple(r) for r in topics} == {("events.user", 8), ("events.dlq", 1)}
     main(["reprocess", "--source", f"{out}/dead_letters", "--out", again])
     row = spark.read.parquet(again).select("status", "retry_count", F.col("last_retried_at").isNotNull().alias("t")).first()
     assert tuple(row) == ("failed", 1, True)
+
+
+def test_second_batch_run_admits_nothing_again(spark):
+    source, out = (scratch_path(spark, f"job2-{x}") for x in ("requests", "tables"))
+    wide = "w" * 130
+    bodies = [f"[{event(1)},{event(2, userId=wide)}]", f"[{event(1)}]"]
+    spark.createDataFrame(list(enumerate(bodies)), "i int, value string").write.partitionBy("i").text(source)
+    for _ in range(2):
+        main(["batch", "--source", f"{source}/*", "--out", out, "--validate", "none"])
+    outcomes = {tuple(r) for r in spark.read.parquet(f"{out}/outcomes").groupBy("run", "event_id", "outcome").count().collect()}
+    assert outcomes == {
+        (0, "g1", "processed", 1), (0, "g1", "duplicate", 1), (0, "g2", "processed", 1),
+        (1, "g1", "duplicate", 2), (1, "g2", "duplicate", 1),
+    }
+    assert [r["event_id"] for r in spark.read.parquet(f"{out}/events").collect()] == ["g1"]
+    # Too wide for the events table: kept whole in quarantine.
+    held = spark.read.parquet(f"{out}/quarantine").collect()
+    assert [(r["event_id"], r["too_long"], wide in r["row"]) for r in held] == [("g2", ["user_id"], True)]
+
+
+def test_clock_of_the_body_counts_only_when_asked(spark):
+    path = scratch_path(spark, "clock")
+    lines = [event(1, receivedAt="2001-01-01T00:00:00.000Z"), '{"eventId":"d","eventType":"user.login","userId":"u","data":{"a":1,"a":2}}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    years = {n: {r["event_id"]: r["received_at"].year for r in read_events(spark, path, recorded=n).collect()} for n in (False, True)}
+    assert years[True]["g1"] == 2001 and years[False]["g1"] > 2001
+    rows = {r["event_id"]: r for r in read_events(spark, path).collect()}
+    assert rows["d"]["malformed"] is None and rows["d"]["data"] == '{"a":2}'
+
+
+def test_late_row_is_a_repeat_alone_and_in_company(spark):
+    def batch(*rows):
+        df = spark.createDataFrame(rows, "event_id string, received_at timestamp")
+        more = {"event_type": F.lit("user.login"), "user_id": F.lit("u"), "event_ts": F.col("received_at"), "malformed": F.lit(None).cast("string"), "batch_id": F.lit("b"), "entry": F.lit("stream")}
+        return df.withColumns(more)
+
+    day = lambda d, h=0: datetime(2024, 1, d, h)
+    for company in ((), (("y", day(9)),)):
+        sink = IngestStream(scratch_path(spark, "late"))
+        ingest_batch(batch(("x", day(9))), 0, sink)
+        ingest_batch(batch(("x", day(5)), *company), 1, sink)
+        rows = spark.read.parquet(f"{sink.root}/outcomes").filter("event_id = 'x' AND batch = 1").collect()
+        assert [r["outcome"] for r in rows] == ["duplicate"]

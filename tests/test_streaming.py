@@ -65,7 +65,7 @@ def test_ingest_over_restarts(spark, rows):
     sink = IngestStream(scratch_path(spark, "test-out"))
     for part in parts(rows):
         wire_json(part).coalesce(1).write.mode("append").text(source)
-        start_ingest(spark, source, sink, marks).awaitTermination()
+        start_ingest(spark, source, sink, marks, recorded=True).awaitTermination()
     done = spark.read.parquet(sink.path("outcomes"))
     good = valid_rows(validate(fill_defaults(rows)))
     want = mark_admitted(good.drop("errors"))

@@ -4,7 +4,6 @@
     batch      folder of JSON arrays, one request per file -> tables
     stats      statistics over what was ingested, as JSON
     reprocess  dead letters -> another try
-    generate   synthetic events, as newline-delimited JSON
 """
 
 from __future__ import annotations
@@ -19,10 +18,10 @@ from weirgate.operators.totals import stats_snapshot
 from weirgate.plans.ingest import ingest
 from weirgate.plans.reprocess import reprocess
 from weirgate.session import cut_lineage, tune
+from weirgate.settings import DEFAULTS
 from weirgate.sinks import tables, topics
-from weirgate.sources.generator import generate_events
 from weirgate.sources.json_events import read_batch_files
-from weirgate.streaming.ingest import IngestStream, start_ingest
+from weirgate.streaming.ingest import IngestStream, start_ingest, stored_admissions, write_admissions
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -45,11 +44,20 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
     malformed_requests(decoded).write.mode("overwrite").parquet(path("malformed"))
     rows = well_formed(decoded)
     guard_batches(rows).rejected.write.mode("overwrite").parquet(path("oversized"))
-    done = ingest(rows, "batch", args.validate).stored(path("outcomes"))
+    # Runs and the stream over one folder share the admissions; runs count down from -1.
+    admissions, own = f"{args.out}/admissions", -run - 1
+    reach = rows.agg(F.to_date(F.min("received_at") - F.expr(f"INTERVAL {DEFAULTS.ttl_hours} HOURS"))).first()[0]
+    stored = stored_admissions(spark, admissions, reach) if reach is not None else None
+    earlier = stored.filter(F.col("batch") != own).select("event_id", "admitted_at") if stored is not None else None
+    done = ingest(rows, "batch", args.validate, earlier).stored(path("outcomes"))
     done.rejects.write.mode("overwrite").parquet(path("rejects"))
-    tables.insert_events(tables.event_rows(done.outcomes), f"{args.out}/events")
+    events = tables.event_rows(done.outcomes)
+    tables.insert_events(events, f"{args.out}/events")
+    tables.quarantined(events).write.mode("overwrite").parquet(path("quarantine"))
+    done.acks.write.mode("overwrite").parquet(path("acks"))
     tables.write_dead_letters(done.dead_letters, path("dead_letters"), "overwrite")
     topics.publish(done.published.unionByName(done.dead_letter_records), path("topics"), "overwrite")
+    write_admissions(done.outcomes, admissions, own)
     tables.upsert_hourly(done.outcomes, f"{args.out}/hourly", run)
 
 
@@ -62,20 +70,6 @@ def run_reprocess(spark: SparkSession, args: argparse.Namespace) -> None:
     reprocess(letters, F.current_timestamp()).write.mode("append").partitionBy("status").parquet(args.out)
 
 
-def run_generate(spark: SparkSession, args: argparse.Namespace) -> None:
-    made = generate_events(spark.range(args.events), "id", F.current_timestamp(), args.seed)
-    wire = made.select(
-        F.to_json(
-            F.struct(
-                F.col("event_id").alias("eventId"), F.col("event_type").alias("eventType"), F.col("user_id").alias("userId"),
-                F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
-                "source", "version", F.parse_json("data").alias("data"),
-            )
-        ).alias("value")
-    )
-    wire.write.text(args.out)
-
-
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="weirgate", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -98,11 +92,6 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--source", required=True)
     job.add_argument("--out", required=True)
     job.set_defaults(run=run_reprocess)
-    job = jobs.add_parser("generate")
-    job.add_argument("--out", required=True)
-    job.add_argument("--events", type=int, default=100)
-    job.add_argument("--seed", type=int, default=42)
-    job.set_defaults(run=run_generate)
     return top
 
 

@@ -12,6 +12,7 @@ from weirgate.operators.dedup import (
 )
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.outcome import batch_tally, with_outcome
+from weirgate.settings import Settings
 
 HALF = "2024-01-16 00:00:00"
 
@@ -52,6 +53,32 @@ def d01_incremental(spark, sf_dir):
     return first.unionByName(second).select("event_id", "attempt", "admitted")
 
 
+@query(
+    "d01_equal_keys",
+    outcome_sql("""SELECT fold_limit, event_id, attempt, CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END AS arrived, CAST(admitted AS BIGINT) AS won
+FROM outcomes, (VALUES (0), (10000)) AS v(fold_limit)"""),
+)
+def d01_equal_keys(spark, sf_dir):
+    """A third of the rows come twice at one instant and place; one of each pair can win, whichever way dedup goes."""
+    rows = wire(spark, sf_dir)
+    twice = rows.unionByName(rows.filter("n % 3 = 0"))
+
+    def tally(limit: int):
+        marked = mark_admitted(twice, Settings(fold_limit=limit))
+        counts = marked.groupBy("event_id", "attempt").agg(F.count(F.lit(1)).alias("arrived"), F.count_if("admitted").alias("won"))
+        return counts.withColumn("fold_limit", F.lit(limit))
+
+    return tally(0).unionByName(tally(10_000))
+
+
+@query("d01_second_run", wire_sql("SELECT event_id, attempt, FALSE AS admitted FROM wire"))
+def d01_second_run(spark, sf_dir):
+    """The same input once more, with the admissions of the first run stored."""
+    rows = wire(spark, sf_dir)
+    first = mark_admitted(rows).filter("admitted").select("event_id", F.col("received_at").alias("admitted_at"))
+    return mark_admitted_with_state(rows, first).select("event_id", "attempt", "admitted")
+
+
 @query("d03_outcomes", outcome_sql("SELECT event_id, attempt, event_type, outcome FROM outcomes"))
 def d03(spark, sf_dir):
     return outcomes(spark, sf_dir).select("event_id", "attempt", "event_type", "outcome")

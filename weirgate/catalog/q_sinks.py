@@ -161,3 +161,20 @@ def k11(spark, sf_dir):
         F.col("source").alias("version"), F.col("text").alias("correlation_id"),
     )
     return tables.over_limits(docs, fv.EVENT_COLUMN_LIMITS).select("doc_id", F.concat_ws(",", "too_long").alias("too_long"))
+
+
+_NARROW = {"event_id": 7, "event_type": 20}
+
+
+@query(
+    "k11_quarantine",
+    outcome_sql("""SELECT event_id, CASE WHEN length(event_id) > 7 OR length(event_type) > 20 THEN 'quarantine' ELSE 'events' END AS stored
+FROM (SELECT DISTINCT ON (event_id) * FROM outcomes WHERE outcome = 'processed' ORDER BY event_id, received_at, attempt)"""),
+)
+def k11_quarantine(spark, sf_dir):
+    """With narrow columns, every processed event is in the table or in quarantine."""
+    path = scratch_path(spark, "k11")
+    rows = tables.event_rows(outcomes(spark, sf_dir))
+    tables.insert_events(rows, path, _NARROW)
+    kept = tables.read_table(spark, path, tables.EVENTS).select("event_id", F.lit("events").alias("stored"))
+    return kept.unionByName(tables.quarantined(rows, _NARROW).select("event_id", F.lit("quarantine").alias("stored")))

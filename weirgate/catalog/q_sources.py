@@ -1,17 +1,16 @@
-"""Sources: s01-s05."""
+"""Sources: s01-s04."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.catalog.registry import batched, events, query, wire
-from weirgate.catalog.sql import BATCH, checked_sql, json_text, millis, stable_hash, wire_sql
+from weirgate.catalog.registry import batched, query, wire
+from weirgate.catalog.sql import BATCH, checked_sql, json_text, millis, wire_sql
 from weirgate.operators.batches import malformed_requests
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.validation import valid_rows, validate
 from weirgate.session import scratch_path, tune_streaming
-from weirgate.sources.generator import generate_events
 from weirgate.sources.json_events import decode_batches, decode_lines, read_batch_files, read_events, stream_events
 
 
@@ -34,7 +33,7 @@ _EVENT = ("event_id", "event_type", "user_id", "event_ts", "data", "received_at"
 def s01(spark, sf_dir):
     path = scratch_path(spark, "s01")
     wire_json(wire(spark, sf_dir)).write.text(path)
-    return read_events(spark, path).filter("malformed IS NULL").select(*_EVENT, "entry")
+    return read_events(spark, path, recorded=True).filter("malformed IS NULL").select(*_EVENT, "entry")
 
 
 @query(
@@ -46,7 +45,7 @@ def s02(spark, sf_dir):
     """One request body per line, decoded to its events."""
     lines = wire_json(batched(wire(spark, sf_dir)), ("batch_id",))
     bodies = lines.groupBy("batch_id").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("value")), F.lit("]")).alias("body"))
-    return decode_batches(bodies).filter("malformed IS NULL").select("batch_id", *_EVENT, "batch_size")
+    return decode_batches(bodies, recorded=True).filter("malformed IS NULL").select("batch_id", *_EVENT, "batch_size")
 
 
 @query(
@@ -59,7 +58,7 @@ def s02_files(spark, sf_dir):
     lines = wire_json(batched(wire(spark, sf_dir)), ("batch_id",))
     bodies = lines.groupBy("batch_id").agg(F.concat(F.lit("["), F.concat_ws(",\n", F.collect_list("value")), F.lit("]")).alias("body"))
     bodies.write.partitionBy("batch_id").text(path)
-    return read_batch_files(spark, f"{path}/*").filter("malformed IS NULL").select(*_EVENT, "entry")
+    return read_batch_files(spark, f"{path}/*", recorded=True).filter("malformed IS NULL").select(*_EVENT, "entry")
 
 
 @query("s03_stream_events", checked_sql(f"SELECT {_EVENT_SQL} FROM checked WHERE len(errors) = 0"))
@@ -69,7 +68,7 @@ def s03(spark, sf_dir):
     source, out, marks = (scratch_path(spark, f"s03-{x}") for x in ("in", "out", "checkpoint"))
     # The fixture's clock has microseconds; the wire has milliseconds.
     wire_json(wire(spark, sf_dir)).write.text(source)
-    rows = stream_events(spark, source).filter("malformed IS NULL")
+    rows = stream_events(spark, source, recorded=True).filter("malformed IS NULL")
     good = valid_rows(validate(fill_defaults(rows, identity=("batch_id", "user_id", "received_at"))))
     run = (
         good.select(*_EVENT).writeStream.format("parquet").option("path", out)
@@ -107,32 +106,3 @@ def s04_quarantine(spark, sf_dir):
     )
     decoded = decode_lines(lines.withColumnRenamed("received_at", "arrived_at"), arrived=F.col("arrived_at"))
     return malformed_requests(decoded).select("status", "message", "cause", "timestamp")
-
-
-def _draw(purpose: str, sides: int) -> str:
-    return f"({stable_hash(f'''event_id || '|42|{purpose}' ''')} % {sides})"
-
-
-@query(
-    "s05_generated_events",
-    f"""WITH picks AS (
-  SELECT event_id AS n, ts, ['analytics.page.view', 'analytics.page.view', 'analytics.page.view', 'analytics.page.view', 'analytics.page.view',
-      'user.login', 'user.login', 'user.login', 'analytics.button.click', 'analytics.button.click',
-      'transaction.created', 'transaction.created', 'user.signup', 'user.logout', 'transaction.completed',
-      'transaction.failed', 'system.warning'][{_draw('type', 17)} + 1] AS event_type,
-    printf('user_%03d', {_draw('user', 10)} + 1) AS user_id, {_draw('id', 32768)} AS r,
-    {_draw('amount', 9900)} + 100 AS amount, {_draw('failed', 500)} + 50 AS failed, {_draw('txn', 32768)} AS txn,
-    ['/dashboard', '/events', '/analytics', '/settings', '/docs'][{_draw('page', 5)} + 1] AS page, {_draw('duration', 5000)} + 500 AS duration
-  FROM events)
-SELECT 'evt_' || n || '_' || r AS event_id, event_type, user_id, date_trunc('second', ts) AS event_ts,
-  CASE WHEN event_type = 'user.signup' THEN '{{"email":"' || user_id || '@example.com","source":"web","plan":"free"}}'
-       WHEN event_type IN ('transaction.created', 'transaction.completed')
-         THEN '{{"amount":' || amount || ',"currency":"USD","transactionId":"txn_' || txn || '"}}'
-       WHEN event_type = 'transaction.failed' THEN '{{"amount":' || failed || ',"currency":"USD","reason":"insufficient_funds"}}'
-       WHEN event_type = 'analytics.page.view' THEN '{{"page":"' || page || '","referrer":"direct","durationMs":' || duration || '}}'
-       WHEN event_type = 'analytics.button.click' THEN '{{"element":"ingest-btn","page":"/dashboard","sessionId":"sess_' || txn || '"}}'
-       ELSE '{{}}' END AS data, 'test-script' AS source, '1.0' AS version FROM picks""",
-)
-def s05(spark, sf_dir):
-    """One generated event per row of the events table."""
-    return generate_events(events(spark, sf_dir), "event_id", F.col("ts").cast("timestamp")).drop("n")

@@ -24,7 +24,7 @@ def _ingested(spark, sf_dir, label: str) -> IngestStream:
     source = scratch_path(spark, f"{label}-in")
     sink = IngestStream(scratch_path(spark, f"{label}-out"))
     wire_json(wire(spark, sf_dir)).write.text(source)
-    start_ingest(spark, source, sink, scratch_path(spark, f"{label}-checkpoint"), max_files=100_000).awaitTermination()
+    start_ingest(spark, source, sink, scratch_path(spark, f"{label}-checkpoint"), max_files=100_000, recorded=True).awaitTermination()
     return sink
 
 
@@ -84,7 +84,7 @@ def t4(spark, sf_dir):
     sink = IngestStream(scratch_path(spark, "t4-out"))
     wire_json(wire(spark, sf_dir)).write.text(source)
     for _ in range(2):
-        start_ingest(spark, source, sink, marks, max_files=100_000).awaitTermination()
+        start_ingest(spark, source, sink, marks, max_files=100_000, recorded=True).awaitTermination()
     records = spark.read.option("basePath", sink.path("topics")).parquet(sink.path("topics"))
     return records.groupBy("topic").agg(F.count(F.lit(1)).alias("delivered"))
 

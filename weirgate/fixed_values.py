@@ -98,30 +98,6 @@ EVENT_COLUMN_LIMITS = {
 }
 DEAD_LETTER_COLUMN_LIMITS = {"event_id": 255, "event_type": 100, "user_id": 128}
 
-# Load generator: one slot per weight.
-GENERATED_TYPES = (
-    "analytics.page.view",
-    "analytics.page.view",
-    "analytics.page.view",
-    "analytics.page.view",
-    "analytics.page.view",
-    "user.login",
-    "user.login",
-    "user.login",
-    "analytics.button.click",
-    "analytics.button.click",
-    "transaction.created",
-    "transaction.created",
-    "user.signup",
-    "user.logout",
-    "transaction.completed",
-    "transaction.failed",
-    "system.warning",
-)
-GENERATED_PAGES = ("/dashboard", "/events", "/analytics", "/settings", "/docs")
-GENERATED_USERS = 10
-GENERATED_SOURCE = "test-script"
-
 # Panels.
 LATENCY_QUANTILES = (0.5, 0.90, 0.95, 0.99)
 RED_THRESHOLDS = {"throughput": 80.0, "success_rate": 99.9, "total": 100.0}

@@ -89,7 +89,8 @@ def wire_value(
         event_type.alias("eventType"),
         user_id.alias("userId"),
         F.date_format(event_ts, fv.TIMESTAMP_FORMAT).alias("timestamp"),
-        F.parse_json(data).alias("data"),
+        # Text that is not JSON is kept as a string.
+        F.coalesce(F.try_parse_json(data), data.cast("variant")).alias("data"),
         metadata.alias("metadata"),
         correlation_id.alias("correlationId"),
         source.alias("source"),

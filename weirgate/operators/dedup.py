@@ -13,14 +13,15 @@ on their arrivals:
   later, and the chain from the first arrival is followed by pointer doubling. Its joins are
   on (id, instant), so the hot id is spread over the cluster.
 
-The result is built from the duplicates, the smaller side, and not from the admissions.
+The result is built from the duplicates, the smaller side, and not from the admissions. Rows with
+the same id, instant and ``seq`` are one key; of an admitted key exactly one row is admitted.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirgate.functions.timeaxis import micros
@@ -60,13 +61,21 @@ def _kept(arrivals: Column, ttl: int) -> Column:
     return F.aggregate(arrivals, none, step)
 
 
-def _fold_duplicates(rows: DataFrame, ttl: int) -> DataFrame:
+def _fold(rows: DataFrame, ttl: int) -> DataFrame:
+    """Keys that are not admitted (``repeat``), and admitted keys that several rows share."""
     lined = rows.groupBy("event_id").agg(
         F.sort_array(F.collect_list(F.struct("at", "seq"))).alias("arrivals")
+    ).withColumn("kept", _kept(F.col("arrivals"), ttl))
+    # Sorted, so rows of one key are neighbours.
+    shared = F.filter("arrivals", lambda x, i: (i > 0) & (x == F.get(F.col("arrivals"), i - 1)))
+
+    def noted(keys: Column, repeat: bool) -> Column:
+        return F.transform(keys, lambda x: F.struct(x["at"], x["seq"], F.lit(repeat).alias("repeat")))
+
+    found = F.concat(
+        noted(F.array_except("arrivals", "kept"), True), noted(F.array_intersect(shared, "kept"), False)
     )
-    return lined.select(
-        "event_id", F.explode(F.array_except("arrivals", _kept(F.col("arrivals"), ttl))).alias("x")
-    ).select("event_id", "x.at", "x.seq")
+    return lined.select("event_id", F.explode(found).alias("x")).select("event_id", "x.at", "x.seq", "x.repeat")
 
 
 def _first_arrivals(rows: DataFrame) -> DataFrame:
@@ -109,58 +118,66 @@ def _walk_admissions(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
     return reached.join(instants, ["event_id", "at"]).select("event_id", "at", "seq")
 
 
-def _hot_duplicates(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
+def _hot(rows: DataFrame, ids: DataFrame, ttl: int) -> DataFrame:
     one_window = F.col("last_at") - F.col("first_at") < ttl
     burst, long = ids.filter(one_window), ids.filter(~one_window)
     admitted = _first_arrivals(_of(rows, burst))
     if not long.isEmpty():
         admitted = admitted.unionByName(_walk_admissions(_of(rows, long), long, ttl))
-    return _of(rows, ids).join(admitted, ["event_id", "at", "seq"], "left_anti").select("event_id", "at", "seq")
+    keys = _of(rows, ids).groupBy("event_id", "at", "seq").agg(F.count(F.lit(1)).alias("rows"))
+    judged = keys.join(admitted.withColumn("won", F.lit(True)), ["event_id", "at", "seq"], "left")
+    return judged.filter("won IS NULL OR rows > 1").select("event_id", "at", "seq", F.col("won").isNull().alias("repeat"))
 
 
 def _rows(df: DataFrame, at: str, seq: str) -> DataFrame:
     return df.select("event_id", micros(F.col(at)).alias("at"), F.col(seq).alias("seq"))
 
 
-def _duplicates(rows: DataFrame, settings: Settings) -> DataFrame:
-    """The ids with repeats are materialised once: what they look like decides which ways are needed."""
+def _notable(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Keys that are not admitted (``repeat``), and admitted keys that several rows share; one row each.
+
+    The ids with repeats are materialised once: what they look like decides which ways are needed.
+    """
     ttl = settings.ttl_micros
     repeated = cut_lineage(_repeated(rows))
     few = repeated.filter(F.col("arrivals") <= settings.fold_limit)
     many = repeated.filter(F.col("arrivals") > settings.fold_limit)
-    duplicates = _fold_duplicates(_of(rows, few), ttl)
+    notable = _fold(_of(rows, few), ttl)
     if not many.isEmpty():
-        duplicates = duplicates.unionByName(_hot_duplicates(rows, many, ttl))
-    return duplicates
+        notable = notable.unionByName(_hot(rows, many, ttl))
+    return cut_lineage(notable)
 
 
 def ttl_duplicates(
     df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
 ) -> DataFrame:
-    """(event_id, at, seq) of every arrival that is not admitted; ``at`` in epoch microseconds.
+    """(event_id, at, seq) of every key that is not admitted, once; ``at`` in epoch microseconds."""
+    return _notable(_rows(df, at, seq), settings).filter("repeat").drop("repeat")
 
-    (event_id, at, seq) must identify a row.
-    """
-    return _duplicates(_rows(df, at, seq), settings)
 
+def _mark(df: DataFrame, notable: DataFrame, at: str, seq: str) -> DataFrame:
+    """All rows plus ``admitted``. The join key is one row wide, so no id is hot in it.
 
-def _mark(df: DataFrame, duplicates: DataFrame, at: str, seq: str) -> DataFrame:
-    """All rows plus ``admitted``. The join key is one row wide, so no id is hot in it."""
-    repeats = duplicates.select(
-        "event_id", F.col("at").alias("_at"), F.col("seq").alias(seq), F.lit(True).alias("_repeat")
-    )
-    return (
-        df.withColumn("_at", micros(F.col(at)))
-        .join(repeats, ["event_id", "_at", seq], "left")
-        .select(*[F.col(c) for c in df.columns], F.col("_repeat").isNull().alias("admitted"))
-    )
+    Rows that share an admitted key are one arrival that came several times: one of them is
+    admitted. Only those rows are numbered.
+    """
+    keys = ["event_id", "_at", seq]
+    noted = notable.select("event_id", F.col("at").alias("_at"), F.col("seq").alias(seq), F.col("repeat").alias("_repeat"))
+    joined = df.withColumn("_at", micros(F.col(at))).join(noted, keys, "left")
+    columns = [F.col(c) for c in df.columns]
+    if notable.filter("NOT repeat").isEmpty():
+        return joined.select(*columns, F.col("_repeat").isNull().alias("admitted"))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(seq)) == 1
+    shared = joined.filter("NOT _repeat").select(*columns, first.alias("admitted"))
+    rest = joined.filter("_repeat IS NULL OR _repeat").select(*columns, F.col("_repeat").isNull().alias("admitted"))
+    return rest.unionByName(shared)
 
 
 def mark_admitted(
     df: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at", seq: str = "seq"
 ) -> DataFrame:
     """All rows plus ``admitted``."""
-    return _mark(df, ttl_duplicates(df, settings, at, seq), at, seq)
+    return _mark(df, _notable(_rows(df, at, seq), settings), at, seq)
 
 
 def seen_before(df: DataFrame, state: DataFrame, settings: Settings = DEFAULTS, at: str = "received_at") -> DataFrame:
@@ -192,14 +209,16 @@ def mark_admitted_with_state(
     The stored admissions are looked up once, for the three narrow columns dedup works on.
     """
     due = F.col("admitted_at") + F.lit(settings.ttl_micros)
+    rows = _rows(df, at, seq)
+    # Only admissions of the increment's own ids are aggregated.
+    stored = _latest_admissions(state.join(rows.select("event_id").distinct(), "event_id", "left_semi"))
     looked_up = cut_lineage(
-        _rows(df, at, seq)
-        .join(_latest_admissions(state), "event_id", "left")
+        rows.join(stored, "event_id", "left")
         .select("event_id", "at", "seq", F.coalesce(F.col("at") < due, F.lit(False)).alias("known"))
     )
-    repeats = looked_up.filter("known").drop("known")
+    repeats = looked_up.filter("known").select("event_id", "at", "seq", F.lit(True).alias("repeat")).distinct()
     fresh = looked_up.filter("NOT known").drop("known")
-    return _mark(df, _duplicates(fresh, settings).unionByName(repeats), at, seq)
+    return _mark(df, _notable(fresh, settings).unionByName(repeats), at, seq)
 
 
 def next_state(state: DataFrame, marked: DataFrame, as_of: Column, settings: Settings = DEFAULTS, at: str = "received_at") -> DataFrame:

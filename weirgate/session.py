@@ -10,6 +10,8 @@ RUNTIME_CONF = {
     # Instants are compared and rendered in UTC everywhere.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # A payload that names a key twice counts with the last one.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # The JVM does not compile methods above this size; Spark then splits the stage instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -37,6 +37,13 @@ def over_limits(df: DataFrame, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS)
     return df.withColumn("too_long", too_long(limits)).filter(F.size("too_long") > 0)
 
 
+def quarantined(rows: DataFrame, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> DataFrame:
+    """What a table with these widths cannot take: the whole row as JSON, with the columns at fault."""
+    found = over_limits(rows, limits)
+    whole = F.to_json(F.struct(*[F.col(c) for c in rows.columns]))
+    return found.select("event_id", "too_long", whole.alias("row"), F.col("created_at").alias("created_at"))
+
+
 def event_rows(outcomes: DataFrame) -> DataFrame:
     """Processed events as rows of the events table, one per event id (the first to arrive).
 
@@ -58,15 +65,16 @@ def event_rows(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def new_event_rows(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows whose id the table does not hold yet; rows over the column widths are kept out."""
-    return within_limits(rows).join(existing.select("event_id"), "event_id", "left_anti")
+def new_event_rows(rows: DataFrame, existing: DataFrame, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> DataFrame:
+    """Rows whose id the table does not hold yet; rows over the column widths go to `quarantined`."""
+    return within_limits(rows, limits).join(existing.select("event_id"), "event_id", "left_anti")
 
 
-def insert_events(rows: DataFrame, path: str) -> None:
-    """Unique insert, in a folder per day of arrival."""
+def insert_events(rows: DataFrame, path: str, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> None:
+    """Unique insert, in a folder per day of arrival. Write `quarantined` rows beside it."""
     spark = rows.sparkSession
-    fresh = new_event_rows(rows, read_table(spark, path, EVENTS)) if table_exists(spark, path) else within_limits(rows)
+    known = table_exists(spark, path)
+    fresh = new_event_rows(rows, read_table(spark, path, EVENTS), limits) if known else within_limits(rows, limits)
     dated = fresh.withColumn("created_on", F.to_date("created_at"))
     dated.write.mode("append").partitionBy("created_on").parquet(path)
 
@@ -74,8 +82,10 @@ def insert_events(rows: DataFrame, path: str) -> None:
 def dead_letter_rows(outcomes: DataFrame) -> DataFrame:
     failed = with_optional_columns(outcomes.filter(F.col("outcome") == FAILED))
     names = ("event_id", "event_type", "user_id", "event_ts", "data", "metadata", "correlation_id", "source", "version")
+    # A failed event is always stored: its payload has the full text of what the columns cannot hold.
+    limits = fv.DEAD_LETTER_COLUMN_LIMITS
     return failed.select(
-        "event_id", "event_type", "user_id",
+        *[F.substring(F.col(c), 1, limits[c]).alias(c) if c in limits else F.col(c) for c in ("event_id", "event_type", "user_id")],
         wire_value(*[F.col(n) for n in names]).alias("raw_payload"),
         failure_reason(F.col("event_type")).alias("error_reason"),
         F.lit(0).alias("retry_count"),
@@ -85,7 +95,7 @@ def dead_letter_rows(outcomes: DataFrame) -> DataFrame:
 
 
 def write_dead_letters(rows: DataFrame, path: str, mode: str = "append") -> None:
-    within_limits(rows, fv.DEAD_LETTER_COLUMN_LIMITS).write.mode(mode).parquet(path)
+    rows.write.mode(mode).parquet(path)
 
 
 def merge_hourly(stored: DataFrame, increment: DataFrame) -> DataFrame:
@@ -120,6 +130,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``, by one listing; none if it does not exist."""
+    fs, target = _filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()] if fs.exists(target) else []
+
+
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Committed ``v=N`` folders, oldest first."""
     fs, target = _filesystem(spark, root)

@@ -32,7 +32,10 @@ ENVELOPE = T.StructType(
 ENVELOPE_OR_CORRUPT = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _event_columns(e: str, arrived: Column) -> list[Column]:
+def _event_columns(e: str, arrived: Column, recorded: bool) -> list[Column]:
+    """``recorded``: the body's own arrival clock counts. Only for replays of recorded traffic; a
+    client could otherwise choose when its event arrived."""
+
     def field(name: str) -> Column:
         return F.col(f"{e}{name}")
 
@@ -46,7 +49,7 @@ def _event_columns(e: str, arrived: Column) -> list[Column]:
         field("correlationId").alias("correlation_id"),
         field("source").alias("source"),
         field("version").alias("version"),
-        F.coalesce(field("receivedAt"), arrived).alias("received_at"),
+        (F.coalesce(field("receivedAt"), arrived) if recorded else arrived).alias("received_at"),
     ]
 
 
@@ -60,16 +63,20 @@ def malformed(e: str = "") -> Column:
     return F.when(F.col(f"{e}{CORRUPT}").isNotNull(), F.lit("json")).when(_bad_timestamp(e), F.lit("timestamp"))
 
 
-def decode_lines(lines: DataFrame, body: str = "value", arrived: Column | None = None) -> DataFrame:
+def decode_lines(
+    lines: DataFrame, body: str = "value", arrived: Column | None = None, recorded: bool = False
+) -> DataFrame:
     """One event per text row, strict. ``malformed`` is null for the rows that decode."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = lines.withColumn("_e", F.from_json(F.col(body), ENVELOPE_OR_CORRUPT, options))
     clock = arrived if arrived is not None else F.current_timestamp()
     kept = [F.col(c) for c in lines.columns]
-    return parsed.select(*kept, *_event_columns("_e.", clock), malformed("_e.").alias("malformed"))
+    return parsed.select(*kept, *_event_columns("_e.", clock, recorded), malformed("_e.").alias("malformed"))
 
 
-def decode_batches(requests: DataFrame, body: str = "body", arrived: Column | None = None) -> DataFrame:
+def decode_batches(
+    requests: DataFrame, body: str = "body", arrived: Column | None = None, recorded: bool = False
+) -> DataFrame:
     """One request body (a JSON array) per row, exploded to events.
 
     A body that is not an array of events, or one bad timestamp in it, makes the whole request
@@ -93,33 +100,33 @@ def decode_batches(requests: DataFrame, body: str = "body", arrived: Column | No
         *kept, "malformed", F.size("_all").alias("batch_size"),
         F.posexplode_outer(F.when(F.col("malformed").isNull(), F.col("_all"))).alias("position", "_e"),
     )
-    return opened.select(*kept, "malformed", "batch_size", "position", *_event_columns("_e.", clock))
+    return opened.select(*kept, "malformed", "batch_size", "position", *_event_columns("_e.", clock, recorded))
 
 
-def read_events(spark: SparkSession, path: str, entry: str = "single") -> DataFrame:
+def read_events(spark: SparkSession, path: str, entry: str = "single", recorded: bool = False) -> DataFrame:
     """Newline-delimited events at rest. ``seq`` follows the input splits."""
     raw = spark.read.schema(ENVELOPE_OR_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     arrived = F.col("_metadata.file_modification_time")
     return raw.select(
-        *_event_columns("", arrived), malformed().alias("malformed"), F.lit(entry).alias("entry"),
+        *_event_columns("", arrived, recorded), malformed().alias("malformed"), F.lit(entry).alias("entry"),
         F.col("_metadata.file_path").alias("batch_id"),
         F.monotonically_increasing_id().alias("seq"),
     )
 
 
-def read_batch_files(spark: SparkSession, path: str) -> DataFrame:
+def read_batch_files(spark: SparkSession, path: str, recorded: bool = False) -> DataFrame:
     """One request per file, each a JSON array over any number of lines."""
     files = spark.read.text(path, wholetext=True).select(
         F.col("value").alias("body"),
         F.col("_metadata.file_path").alias("batch_id"),
         F.col("_metadata.file_modification_time").alias("_arrived"),
     )
-    return decode_batches(files, arrived=F.col("_arrived")).drop("_arrived").withColumns(
+    return decode_batches(files, arrived=F.col("_arrived"), recorded=recorded).drop("_arrived").withColumns(
         {"entry": F.lit("batch"), "seq": F.col("position").cast("bigint")}
     )
 
 
-def stream_events(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
+def stream_events(spark: SparkSession, path: str, max_files: int = 64, recorded: bool = False) -> DataFrame:
     """Newline-delimited events as they land in a folder."""
     raw = (
         spark.readStream.schema(ENVELOPE_OR_CORRUPT)
@@ -129,6 +136,6 @@ def stream_events(spark: SparkSession, path: str, max_files: int = 64) -> DataFr
     )
     arrived = F.col("_metadata.file_modification_time")
     return raw.select(
-        *_event_columns("", arrived), malformed().alias("malformed"), F.lit("stream").alias("entry"),
+        *_event_columns("", arrived, recorded), malformed().alias("malformed"), F.lit("stream").alias("entry"),
         F.col("_metadata.file_path").alias("batch_id"),
     )

@@ -8,7 +8,7 @@ kept by day; there is no state to rewrite.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from weirgate.operators.batches import malformed_requests, well_formed
 from weirgate.plans.ingest import admit, check
 from weirgate.session import tune_streaming
 from weirgate.settings import DEFAULTS, Settings
-from weirgate.sinks.tables import prune_versions, table_exists, upsert_hourly
+from weirgate.sinks.tables import event_rows, insert_events, prune_versions, quarantined, subfolders, upsert_hourly
 from weirgate.sources.json_events import stream_events
 
 ADMISSIONS = "event_id string, admitted_at timestamp, admitted_on date, batch bigint"
@@ -47,17 +47,25 @@ def _write(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
-def _earlier_admissions(
-    spark: SparkSession, sink: IngestStream, batch: int, first_day: date, last_day: date
-) -> DataFrame | None:
-    """Admissions of earlier batches that can still matter; only their day folders are listed."""
-    root = sink.path("admissions")
-    days = [first_day + timedelta(days=i) for i in range((last_day - first_day).days + 1)]
-    folders = [f for f in (f"{root}/admitted_on={day}" for day in days) if table_exists(spark, f)]
-    if not folders:
+def stored_admissions(spark: SparkSession, root: str, since: date) -> DataFrame | None:
+    """Admissions from a day on, later ones too: a late row is a repeat of one that came before it.
+
+    The day folders are found by one listing; older days are not read.
+    """
+    days = [d.removeprefix("admitted_on=") for d in subfolders(spark, root) if d.startswith("admitted_on=")]
+    live = [f"{root}/admitted_on={d}" for d in sorted(days) if d >= since.isoformat()]
+    if not live:
         return None
-    stored = spark.read.schema(ADMISSIONS).option("basePath", root).parquet(*folders)
-    return stored.filter(F.col("batch") < batch).select("event_id", "admitted_at")
+    return spark.read.schema(ADMISSIONS).option("basePath", root).parquet(*live)
+
+
+def write_admissions(outcomes: DataFrame, root: str, batch: int) -> None:
+    """By day first, so that a batch reads only the days it needs. A replay finds the same days."""
+    admitted = outcomes.filter("admitted").select(
+        "event_id", F.col("received_at").alias("admitted_at"), F.to_date("received_at").alias("admitted_on"),
+        F.lit(batch).cast("bigint").alias("batch"),
+    )
+    admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("admitted_on", "batch").parquet(root)
 
 
 def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
@@ -68,29 +76,27 @@ def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
     _write(check(numbered, "stream", settings=sink.settings), sink.of_batch("checked", batch))
     rows = spark.read.parquet(sink.of_batch("checked", batch))
     reach = shift(F.min("received_at"), -3600 * sink.settings.ttl_hours)
-    first_day, last_day = rows.agg(F.to_date(reach), F.to_date(F.max("received_at"))).first()
-    if first_day is None:
+    since = rows.agg(F.to_date(reach)).first()[0]
+    if since is None:
         return
     _write(malformed_requests(rows), sink.of_batch("malformed", batch))
-    flow = admit(well_formed(rows), _earlier_admissions(spark, sink, batch, first_day, last_day), sink.settings)
+    stored = stored_admissions(spark, sink.path("admissions"), since)
+    earlier = stored.filter(F.col("batch") < batch).select("event_id", "admitted_at") if stored is not None else None
+    flow = admit(well_formed(rows), earlier, sink.settings)
     _write(flow.outcomes, sink.of_batch("outcomes", batch))
     _write(flow.rejects, sink.of_batch("rejects", batch))
     outcomes = spark.read.parquet(sink.of_batch("outcomes", batch))
     done = replace(flow, outcomes=outcomes)
     _write(done.dead_letters, sink.of_batch("dead_letters", batch))
+    events = event_rows(outcomes)
+    insert_events(events, sink.path("events"))
+    _write(quarantined(events), sink.of_batch("quarantine", batch))
     records = done.published.unionByName(done.dead_letter_records)
     _write(records, sink.of_batch("topics", batch), by="topic")
     upsert_hourly(outcomes, sink.path("hourly"), batch)
     prune_versions(spark, sink.path("hourly"), keep=KEPT_VERSIONS)
     # Last: the admissions make the batch visible to the next one.
-    admitted = outcomes.filter("admitted").select(
-        "event_id", F.col("received_at").alias("admitted_at"), F.to_date("received_at").alias("admitted_on"),
-        F.lit(batch).cast("bigint").alias("batch"),
-    )
-    # By day first, so that a batch lists only the days it needs. A replay finds the same days.
-    admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "admitted_on", "batch"
-    ).parquet(sink.path("admissions"))
+    write_admissions(outcomes, sink.path("admissions"), batch)
 
 
 def start_ingest(
@@ -100,9 +106,10 @@ def start_ingest(
     checkpoint: str,
     max_files: int = 64,
     every: str | None = None,
+    recorded: bool = False,
 ) -> StreamingQuery:
     """Start the stream: until the backlog is empty, or forever ``every`` so often."""
     tune_streaming(spark)
-    events = stream_events(spark, source, max_files)
+    events = stream_events(spark, source, max_files, recorded)
     writer = events.writeStream.foreachBatch(lambda df, n: ingest_batch(df, n, sink)).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
