@@ -146,9 +146,15 @@ def test_outcomes_of_an_unchecked_batch(spark):
 
 
 def test_batch_mode_checks_annotations_only(spark):
-    done = ingest(events(spark, {"event_type": "BadType"}, {"event_type": " ", "event_id": "z"}).withColumn("batch_id", F.lit("x")), "batch")
+    rows = events(spark, {"event_type": "BadType"}, {"event_type": " ", "event_id": "z"}, {"event_id": "y", "seq": 1})
+    batch = F.when(F.col("event_type") == "BadType", "good").otherwise("bad").alias("batch_id")
+    done = ingest(rows.select("*", batch), "batch")
     assert [r["topic"] for r in done.published.collect()] == ["events.raw"]
-    assert [r["details"] for r in done.rejects.collect()] == [["Event type is required"]]
+    # One event without a type refuses its whole request.
+    assert [(r["batch_id"], r["error"], r["details"]) for r in done.rejects.collect()] == [
+        ("bad", "Request validation failed", ["Event type is required"])
+    ]
+    assert done.invalid.count() == 2
 
 
 def test_batch_size_limit(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.batches import guard_batches, malformed_requests, well_formed
+from weirgate.operators.outcome import batch_responses
 from weirgate.operators.totals import stats_snapshot
 from weirgate.plans.ingest import ingest
 from weirgate.plans.reprocess import reprocess
@@ -55,6 +56,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
     tables.insert_events(events, f"{args.out}/events")
     tables.quarantined(events).write.mode("overwrite").parquet(path("quarantine"))
     done.acks.write.mode("overwrite").parquet(path("acks"))
+    batch_responses(done.outcomes).write.mode("overwrite").parquet(path("responses"))
     tables.write_dead_letters(done.dead_letters, path("dead_letters"), "overwrite")
     topics.publish(done.published.unionByName(done.dead_letter_records), path("topics"), "overwrite")
     write_admissions(done.outcomes, admissions, own)

@@ -11,7 +11,7 @@ from weirgate.operators.dedup import (
     mark_admitted, mark_admitted_with_state, next_state, not_seen_before, seen_before,
 )
 from weirgate.operators.normalise import fill_defaults
-from weirgate.operators.outcome import batch_tally, with_outcome
+from weirgate.operators.outcome import batch_responses, batch_tally, with_outcome
 from weirgate.settings import Settings
 
 HALF = "2024-01-16 00:00:00"
@@ -103,3 +103,18 @@ def d04(spark, sf_dir):
     accepted = guard_batches(batched(wire(spark, sf_dir))).accepted
     tally = batch_tally(with_outcome(mark_admitted(fill_defaults(accepted))))
     return tally.withColumn("failed_event_ids", F.concat_ws(",", "failed_event_ids"))
+
+
+@query(
+    "d04_batch_response",
+    outcome_sql(
+        """SELECT batch_id, count(*) AS total_events, count(*) FILTER (WHERE outcome <> 'failed') AS success_count,
+  count(*) FILTER (WHERE outcome = 'failed') AS failure_count
+FROM outcomes GROUP BY batch_id""",
+        before=(_GUARDED,),
+        source="guarded",
+    ),
+)
+def d04_response(spark, sf_dir):
+    accepted = guard_batches(batched(wire(spark, sf_dir))).accepted
+    return batch_responses(with_outcome(mark_admitted(fill_defaults(accepted)))).drop("failed_event_ids")

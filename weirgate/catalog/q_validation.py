@@ -10,7 +10,7 @@ from weirgate.catalog.registry import AS_OF, as_of, batched, events, query, wire
 from weirgate.catalog.sql import BATCH, checked_sql, wire_sql
 from weirgate.functions import rules
 from weirgate.functions.text import threshold_colour
-from weirgate.operators.batches import guard_batches
+from weirgate.operators.batches import guard_batches, refused_requests
 from weirgate.operators.listing import by_type, by_user, payload_contains, recent
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.validation import valid_rows, validate
@@ -222,6 +222,18 @@ def v18(spark, sf_dir):
     return validate(blanked(spark, sf_dir), "annotations").select("n", "attempt", F.explode("errors").alias("error"))
 
 
+@query(
+    "v18_request_rejected",
+    wire_sql("""SELECT request, n, attempt FROM (SELECT n // 5 AS request, n, attempt,
+  count(*) FILTER (WHERE event_id IS NULL OR regexp_full_match(event_id, '\\s*') OR event_type IS NULL OR event_ts IS NULL)
+    OVER (PARTITION BY n // 5) AS bad FROM blanks) WHERE bad = 0""", BLANKS),
+)
+def v18_requests(spark, sf_dir):
+    """Five events to a request; one that fails the annotations refuses all five."""
+    checked = validate(blanked(spark, sf_dir), "annotations").withColumn("batch_id", F.expr("n div 5"))
+    return refused_requests(checked).accepted.select(F.col("batch_id").alias("request"), "n", "attempt")
+
+
 @query(
     "v19_access_paths",
     wire_sql("""SELECT 'type' AS path, event_id, attempt FROM wire WHERE event_type = 'transaction.failed'

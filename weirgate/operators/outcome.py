@@ -76,3 +76,8 @@ def batch_tally(outcomes: DataFrame, batch: str = "batch_id") -> DataFrame:
         F.count_if(failed).alias("failure_count"),
         F.transform(ids, lambda x: x["event_id"]).alias("failed_event_ids"),
     )
+
+
+def batch_responses(outcomes: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """What a request is answered with: its tally and the number of its events."""
+    return batch_tally(outcomes, batch).withColumn("total_events", F.col("success_count") + F.col("failure_count"))

@@ -60,8 +60,15 @@ def batch_sizes(df: DataFrame) -> DataFrame:
 
 
 def oversized_batches(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One row per batch that is rejected as a whole."""
-    return batch_sizes(df).filter(F.col("received") > settings.max_batch_rows).select(
+    """One row per batch that is rejected as a whole.
+
+    Decoded requests carry their ``batch_size``, so no counting is needed for them.
+    """
+    if {"batch_size", "position"} <= set(df.columns):
+        sizes = df.filter(F.col("position") == 0).select("batch_id", F.col("batch_size").cast("bigint").alias("received"))
+    else:
+        sizes = batch_sizes(df)
+    return sizes.filter(F.col("received") > settings.max_batch_rows).select(
         "batch_id",
         F.lit(fv.BATCH_TOO_LARGE).alias("error"),
         F.lit(settings.max_batch_rows).alias("max_size"),
@@ -75,4 +82,6 @@ def accepted_batches(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     Counting combines before the shuffle. Rows are matched against the oversized ids only;
     Spark broadcasts those when their measured size allows it and splits hot batches otherwise.
     """
+    if {"batch_size", "position"} <= set(df.columns):
+        return df.filter(F.col("batch_size") <= settings.max_batch_rows)
     return df.join(oversized_batches(df, settings).select("batch_id"), "batch_id", "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.functions.envelope import topic_for
-from weirgate.operators.batches import guard_batches
+from weirgate.operators.batches import guard_batches, refused_requests, request_rejections
 from weirgate.operators.dedup import mark_admitted, mark_admitted_with_state
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.outcome import acknowledgements, rejections, with_outcome
@@ -29,6 +29,7 @@ class Ingested:
     outcomes: DataFrame
     invalid: DataFrame
     settings: Settings
+    by_request: bool = False
 
     def stored(self, path: str) -> Ingested:
         """The same with the outcomes written to ``path`` and read back, for several outputs."""
@@ -41,7 +42,7 @@ class Ingested:
 
     @property
     def rejects(self) -> DataFrame:
-        return rejections(self.invalid)
+        return request_rejections(self.invalid) if self.by_request else rejections(self.invalid)
 
     @property
     def published(self) -> DataFrame:
@@ -64,13 +65,16 @@ def check(
     return validate(fill_defaults(rows), mode or ENTRY_MODES[entry], settings)
 
 
-def admit(checked: DataFrame, state: DataFrame | None = None, settings: Settings = DEFAULTS) -> Ingested:
-    """Dedup, outcome and routing of checked rows."""
-    good = valid_rows(checked).drop("errors")
+def admit(
+    checked: DataFrame, state: DataFrame | None = None, settings: Settings = DEFAULTS, by_request: bool = False
+) -> Ingested:
+    """Dedup, outcome and routing of checked rows; ``by_request`` refuses requests with an invalid event whole."""
+    accepted, invalid = refused_requests(checked) if by_request else (valid_rows(checked), invalid_rows(checked))
+    good = accepted.drop("errors")
     marked = (
         mark_admitted(good, settings) if state is None else mark_admitted_with_state(good, state, settings)
     )
-    return Ingested(with_outcome(marked), invalid_rows(checked), settings)
+    return Ingested(with_outcome(marked), invalid, settings, by_request)
 
 
 def ingest(
@@ -87,7 +91,9 @@ def ingest(
     written once: dedup reads three narrow columns of them several times, and JSON and rules
     are not worked through again.
     """
-    return admit(cut_lineage(check(events, entry, mode, settings)), state, settings)
+    # A request is decoded with its annotations: one event that fails them fails the request.
+    by_request = entry == "batch" and (mode or ENTRY_MODES[entry]) == "annotations"
+    return admit(cut_lineage(check(events, entry, mode, settings)), state, settings, by_request)
 
 
 def route_counts(events: DataFrame) -> DataFrame:
