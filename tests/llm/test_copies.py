@@ -53,9 +53,10 @@ def edited_copies(rng: random.Random, n: int, most: int) -> list[str]:
     return out
 
 
-@pytest.mark.parametrize("large", [4, 64])
-def test_near_classes_equal_brute_force(spark, monkeypatch, large):
+@pytest.mark.parametrize("large,rare", [(4, 3), (64, 32)])
+def test_near_classes_equal_brute_force(spark, monkeypatch, large, rare):
     monkeypatch.setattr(nd, "LARGE", large)
+    monkeypatch.setattr(nd, "RARE", rare)
     rng = random.Random(2)
     texts = edited_copies(rng, 60, 12) + edited_copies(rng, 8, 2) + [" ".join(f"u{rng.random()}" for _ in range(30)) for _ in range(30)]
     texts += [texts[3]] * 20 + ["a b", "a b", "a b c"]

@@ -11,9 +11,10 @@ multisets decides: linked from 0.8 on.
 Equal texts are one node. Candidates are never all pairs of a bucket: nodes are compared with the
 smallest node of their buckets, then with more pivots, and only what is still in different
 components goes on. Shingles that no other open node has bound a node's overlap with any other, so
-a copy with many edits of its own is settled without a partner; buckets that are still large are
-divided by a second band, and pairs across components are compared to the last. No bucket has a
-cap, and a group of n copies costs about n comparisons.
+a copy with many edits of its own is settled without a partner. Pairs across components are then
+compared to the last; in large buckets rare shingles list those that share one, and the others are
+divided by a second band and bounded by their frequent shingles. No bucket has a cap, and a group
+of n copies costs about n comparisons.
 
 Texts without words, null and empty ones included, link with nothing and are classes of their own,
 also when they are equal. Rows that repeat an id and a text are copies; one row is kept. Null ids
@@ -40,6 +41,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 #: Buckets of more nodes than this are divided by a second band before pairs are listed.
 LARGE = 64
+#: Elements of fewer nodes than this list their pairs in large buckets.
+RARE = 32
 PIVOTS = 4
 #: Bytes of text whose signatures are made together.
 _STRETCH = 1 << 20
@@ -196,12 +199,8 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return cut_lineage(map_batches(both.select("a", "b", "x", "y"), work, "a binary, b binary"))
 
 
-def _supported(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``node``, ``n`` (shingles) and ``s`` (those that another of the nodes has too, counted with their number).
-
-    No overlap with another node is larger than ``s``, which rules out most pairs of a group of
-    copies that are each edited in their own way.
-    """
+def _elements(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``id`` (hash of the node) and ``element``: the shingles of the nodes, repeated ones numbered."""
 
     def work(batch: pa.RecordBatch):
         for node, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
@@ -213,13 +212,20 @@ def _supported(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataF
             elements = mixed(found + rank.astype(np.uint64) * _U(_BASE)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(elements)], ["id", "element"])
 
-    rows = texts.join(nodes, "node", "left_semi").select("node", F.xxhash64("node").alias("id"), "text")
-    elements = cut_lineage(map_batches(rows.select("id", "text"), work, "id long, element long"))
+    rows = texts.join(nodes, "node", "left_semi").select(F.xxhash64("node").alias("id"), "text")
+    return cut_lineage(map_batches(rows, work, "id long, element long"))
+
+
+def _supported(elements: DataFrame) -> DataFrame:
+    """``id``, ``n`` (elements) and ``s`` (those that another of the nodes has too).
+
+    No overlap with another node is larger than ``s``, which settles copies with many edits of
+    their own.
+    """
     alone = elements.groupBy("element").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("id")).filter("times = 1")
     lonely = alone.groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
     total = elements.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    counted = total.join(lonely, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
-    return rows.select("node", "id").join(counted, "id").select("node", "n", "s")
+    return total.join(lonely, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
 
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -264,6 +270,24 @@ def _across(rows: DataFrame, similarity: float) -> DataFrame:
     return _pairs(rows.join(main, "bucket").filter("label <> main"), rows, similarity)
 
 
+def _across_large(rows: DataFrame, elements: DataFrame, bands: DataFrame, similarity: float) -> DataFrame:
+    """The same for large buckets, by way of rare elements: those that fewer than ``RARE`` of the nodes have.
+
+    Two nodes share a rare element, and then it lists them, few at a time; or they share none, and
+    then their frequent elements alone have to allow the similarity.
+    """
+    nodes = rows.select("node", "label", "n", "s", F.xxhash64("node").alias("id")).distinct()
+    own = elements.join(nodes.select("id"), "id", "left_semi")
+    seldom = own.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") < RARE)
+    rare = cut_lineage(own.join(seldom, "element"))
+    listed = rare.filter("times > 1").join(nodes, "id").withColumnRenamed("element", "bucket")
+    sharing = _pairs(listed, listed, similarity)
+    few = rare.groupBy("id").agg(F.count(F.lit(1)).alias("few"))
+    frequent = nodes.join(few, "id", "left").select("node", (F.col("n") - F.coalesce("few", F.lit(0))).alias("s"))
+    rest = rows.drop("s", "size").join(frequent, "node").filter(F.col("s") >= F.lit(similarity) * F.col("n"))
+    return sharing.union(_across(_divided(rest, bands), similarity))
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id``, ``key`` (md5 of the text), ``class_id`` (smallest id of the class) and ``kept``."""
 
@@ -298,8 +322,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     members = members.select("bucket", "node")
     # Nodes whose own shingles rule out every partner are done.
     open_ = _labelled(members, links)
-    support = _supported(open_.select("node").distinct(), texts).filter(F.col("s") >= F.lit(similarity) * F.col("n"))
-    open_ = cut_lineage(_open(open_.drop("size").join(support, "node")))
+    elements = _elements(open_.select("node").distinct(), texts)
+    support = _supported(elements).filter(F.col("s") >= F.lit(similarity) * F.col("n"))
+    hashed = open_.drop("size").withColumn("id", F.xxhash64("node"))
+    open_ = cut_lineage(_open(hashed.join(support, "id").drop("id")))
     # Then some pivots of the buckets that are not one component yet.
     order = [F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
     pivots = open_.groupBy("bucket").agg(*order).select("bucket", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("node"))
@@ -307,7 +333,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     # Then every pair across the components that are left in a bucket.
     open_ = _labelled(open_, links)
     small, large = open_.filter(F.col("size") <= LARGE), open_.filter(F.col("size") > LARGE)
-    rest = _across(small.unionByName(_divided(large.drop("size"), members.select("node", "bucket"))), similarity)
+    rest = _across(small, similarity).union(_across_large(large, elements, members, similarity)).distinct()
     links = links.union(verified(rest, texts, similarity))
 
     found = nodes.join(components(links), "node", "left").select("key", F.coalesce("label", "node").alias("label"))
