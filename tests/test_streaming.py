@@ -18,7 +18,7 @@ from weirgate.sinks.tables import HOURLY, current_hourly
 from weirgate.sources.tables import table
 from weirgate.streaming.ingest import IngestStream, start_ingest
 from weirgate.streaming.patterns import stream_bursts, stream_matches
-from weirgate.streaming.ttl_state import stream_ttl_dedup
+from weirgate.streaming.ttl_state import draining, stream_ttl_dedup
 from weirgate.streaming.windows import stream_aggregate, stream_windowed
 
 SF = "/root/testdata/sf0.001"
@@ -56,7 +56,8 @@ def test_ttl_state_over_restarts(spark, rows):
         # One file per piece, so a piece is one micro-batch; each loop is a restart.
         part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(slim.schema).parquet(source)
-        drain(stream_ttl_dedup(stream).select("event_id", "attempt", "admitted"), out, marks)
+        with draining(spark):
+            drain(stream_ttl_dedup(stream).select("event_id", "attempt", "admitted"), out, marks)
     assert same(spark.read.parquet(out), mark_admitted(slim).select("event_id", "attempt", "admitted"))
 
 

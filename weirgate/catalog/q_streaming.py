@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weirgate.catalog.q_sources import wire_json
@@ -12,7 +13,7 @@ from weirgate.session import scratch_path, tune_streaming
 from weirgate.sources.tables import table
 from weirgate.streaming.ingest import IngestStream, start_ingest
 from weirgate.streaming.patterns import stream_bursts, stream_matches
-from weirgate.streaming.ttl_state import stream_ttl_dedup
+from weirgate.streaming.ttl_state import draining, stream_ttl_dedup
 from weirgate.streaming.windows import stream_windowed
 
 _VALID = (ERRORS, "good AS (SELECT * EXCLUDE (base, errors) FROM checked WHERE len(errors) = 0)")
@@ -35,14 +36,36 @@ def d02(spark, sf_dir):
     rows = wire(spark, sf_dir).select("event_id", "attempt", "received_at", "seq")
     rows.write.parquet(source)
     marked = stream_ttl_dedup(spark.readStream.schema(rows.schema).parquet(source))
-    run = (
-        marked.select("event_id", "attempt", "admitted").writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", marks).trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
+    with draining(spark):
+        run = (
+            marked.select("event_id", "attempt", "admitted").writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", marks).trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
     return spark.read.parquet(out)
 
 
+@query(
+    "t2_late_rows_kept",
+    wire_sql("SELECT event_id, attempt, count(*) OVER (PARTITION BY event_id) AS arrivals FROM wire"),
+)
+def t2_late(spark, sf_dir):
+    """The later half of the month comes first, the earlier half after it: late by days, and all of it comes out."""
+    tune_streaming(spark)
+    source, out, marks = (scratch_path(spark, f"t2-{x}") for x in ("in", "out", "checkpoint"))
+    rows = wire(spark, sf_dir).select("event_id", "attempt", "received_at", "seq")
+    half = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    for part in (rows.filter(F.col("received_at") >= half), rows.filter(F.col("received_at") < half)):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        with draining(spark):
+            stream_ttl_dedup(stream).writeStream.format("parquet").option("path", out).option(
+                "checkpointLocation", marks
+            ).trigger(availableNow=True).start().awaitTermination()
+    done = spark.read.schema("event_id string, attempt int").parquet(out)
+    return done.select("event_id", "attempt", F.count(F.lit(1)).over(Window.partitionBy("event_id")).alias("arrivals"))
+
+
 @query(
     "t1_stream_ingest",
     outcome_sql("SELECT event_id, received_at, event_type, outcome FROM outcomes", before=_VALID, source="good"),

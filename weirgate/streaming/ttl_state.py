@@ -1,18 +1,20 @@
 """Dedup with a fixed time to live as keyed state.
 
-State per id: the instant of its last admission. An event-time timer at its end drops it.
-Micro-batches must come in order of arrival; rows behind the watermark are dropped by Spark, so
-the watermark delay has to cover the disorder of the source. For ids that may hold a large part
+State per id: the instant of its last admission. There is no watermark, so no row is dropped: a
+late row is judged by the state like any other, and is a repeat of an admission that lies ahead.
+The state of an id goes away some time after its last admission, by the clock of the machine;
+that time has to cover the window and how far processing may lag behind arrival. For ids that may hold a large part
 of one micro-batch use `streaming.ingest`, which runs the batch operator per micro-batch.
 """
 
 from __future__ import annotations
 
 import sys
+from contextlib import contextmanager
 from typing import Any, Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -26,14 +28,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class TtlDedup(StatefulProcessor):
-    def __init__(self, columns: list[str], ttl_micros: int):
+    def __init__(self, columns: list[str], ttl_micros: int, kept_millis: int):
         self.columns = columns
         self.ttl = ttl_micros
+        self.kept_millis = kept_millis
         self.result = Row(*columns, "admitted")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.admitted = handle.getValueState("admitted", "at bigint")
+        self.admitted = handle.getValueState("admitted", "at bigint", self.kept_millis)
 
     def _emit(self, row: Row, won: bool) -> Row:
         return self.result(*[row[c] for c in self.columns], won)
@@ -64,32 +66,40 @@ class TtlDedup(StatefulProcessor):
             yield self._emit(waiting[at], won)
         if last is not None:
             self.admitted.update((last,))
-            self.handle.registerTimer((last + self.ttl) // 1000)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        stored = self.admitted.get()
-        if stored is not None and (stored[0] + self.ttl) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
-            self.admitted.clear()
-        return iter(())
 
     def close(self) -> None:
         pass
 
 
+@contextmanager
+def draining(spark: SparkSession) -> Iterator[None]:
+    """State that expires by the clock would otherwise ask for empty micro-batches for ever."""
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stream_ttl_dedup(
-    events: DataFrame, delay: str = "1 hour", settings: Settings = DEFAULTS, at: str = "received_at"
+    events: DataFrame, lag_hours: int = 7 * 24, settings: Settings = DEFAULTS, at: str = "received_at"
 ) -> DataFrame:
-    """All streaming rows plus ``admitted``. Needs columns event_id, seq and ``at``."""
+    """All streaming rows plus ``admitted``. Needs columns event_id, seq and ``at``.
+
+    ``lag_hours``: how long after its arrival a row may be processed and still find the state.
+    A run that drains a backlog and stops is started inside `draining`.
+    """
     columns = events.columns
     schema = T.StructType([*events.schema.fields, T.StructField("admitted", T.BooleanType())])
     return (
         events.withColumn("_at", micros(F.col(at)))
-        .withWatermark(at, delay)
         .groupBy("event_id")
         .transformWithState(
-            statefulProcessor=TtlDedup(columns, settings.ttl_micros),
+            statefulProcessor=TtlDedup(columns, settings.ttl_micros, (settings.ttl_hours + lag_hours) * 3_600_000),
             outputStructType=schema,
             outputMode="Append",
-            timeMode="EventTime",
+            timeMode="ProcessingTime",
         )
     )
