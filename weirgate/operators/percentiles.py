@@ -8,21 +8,29 @@ from pyspark.sql.window import Window as W
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, probs: tuple[float, ...], cell_width: float = 1.0
+    df: DataFrame, keys: list[str], value: str, probs: tuple[float, ...], cells: int = 64
 ) -> DataFrame:
     """(keys..., quantile, result): linear interpolation between the two nearest ranks.
 
-    Equal values are counted together before the shuffle and values are grouped into cells.
-    The running count over cells tells which cells hold the wanted ranks, and only those are
+    Equal values are counted together before the shuffle and values are grouped into cells, whose
+    bounds a mergeable sketch takes from the key's own distribution, so a cell holds about one in
+    ``cells`` of the key's rows whatever the unit. The running count over cells tells which cells hold the wanted ranks, and only those are
     sorted, each in its own group. A key with most of the rows is never sorted as a whole.
     """
+    known = df.filter(F.col(value).isNotNull())
+    steps = [i / cells for i in range(1, cells)]
+    sketch = known.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.percentile_approx(value, steps, 4 * cells).alias("_bounds")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.floor(F.col(value) / F.lit(cell_width)).alias("_cell"), F.col(value).alias("_v"))
+        known.groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
+        .join(sketch, same)
+        .select(*keys, F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))).alias("_cell"), "_v", "_n")
     )
     upto = W.partitionBy(*keys).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
-    cells = (
+    filled = (
         counts.groupBy(*keys, "_cell")
         .agg(F.sum("_n").alias("_in"))
         .withColumn("_before", F.sum("_in").over(upto) - F.col("_in"))
@@ -32,7 +40,7 @@ def exact_percentiles(
     ranks = F.array_distinct(
         F.array(*[r.cast("bigint") for x in positions for r in (F.floor(x), F.ceil(x))])
     )
-    wanted = cells.withColumn(
+    wanted = filled.withColumn(
         "_ranks",
         F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in"))),
     ).filter(F.size("_ranks") > 0)
