@@ -124,7 +124,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
         F.col("source").cast("string").alias("source"),
         (F.col("size") if given else F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0))).cast("long").alias("size"),
         (F.coalesce(F.octet_length(text), F.lit(0)) if text is not None else F.lit(0)).cast("long").alias("bytes"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in ("doc_id", "text", "source") if c in docs.columns]).alias("tie"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in ("doc_id", "text", "text_hash", "source") if c in docs.columns]).alias("tie"),
     )
     targets = cut_lineage(source_targets(rows.select("source", "size", "bytes"), weights, share, limit))
     most = targets.agg(F.max(F.greatest(F.ceil(F.col("rows") / block_rows), F.ceil(F.col("bytes") / block_bytes)))).first()[0] or 1

@@ -13,8 +13,8 @@ smallest node of their buckets, then with more pivots, and only what is still in
 components goes on. Shingles that no other open node has bound a node's overlap with any other, so
 a copy with many edits of its own is settled without a partner. Pairs across components are then
 compared to the last; in large buckets rare shingles list those that share one, and the others are
-divided by a second band and bounded by their frequent shingles. No bucket has a cap, and a group
-of n copies costs about n comparisons.
+bounded by their frequent shingles. No bucket has a cap, and a group of n copies costs about n
+comparisons.
 
 Texts without words, null and empty ones included, link with nothing and are classes of their own,
 also when they are equal. Rows that repeat an id and a text are copies; one row is kept. Null ids
@@ -39,7 +39,7 @@ from weirgate.session import cut_lineage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
-#: Buckets of more nodes than this are divided by a second band before pairs are listed.
+#: Buckets of more nodes than this list pairs by rare and frequent shingles apart.
 LARGE = 64
 #: Elements of fewer nodes than this list their pairs in large buckets.
 RARE = 32
@@ -240,13 +240,6 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(buckets.filter("low <> high").select("bucket", "size"), "bucket")
 
 
-def _divided(rows: DataFrame, bands: DataFrame) -> DataFrame:
-    """Large buckets divided by each other band of their nodes."""
-    finer = rows.join(bands.withColumnRenamed("bucket", "second"), "node").filter("second <> bucket")
-    key = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")
-    return _open(finer.select(key, "node", "n", "s", "label").distinct())
-
-
 def _possible(x: str, y: str, similarity: float) -> Column:
     """Whether the supported shingles of two nodes allow the similarity."""
     most = F.least(F.col(f"s{x}"), F.col(f"s{y}"))
@@ -270,7 +263,7 @@ def _across(rows: DataFrame, similarity: float) -> DataFrame:
     return _pairs(rows.join(main, "bucket").filter("label <> main"), rows, similarity)
 
 
-def _across_large(rows: DataFrame, elements: DataFrame, bands: DataFrame, similarity: float) -> DataFrame:
+def _across_large(rows: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
     """The same for large buckets, by way of rare elements: those that fewer than ``RARE`` of the nodes have.
 
     Two nodes share a rare element, and then it lists them, few at a time; or they share none, and
@@ -285,7 +278,7 @@ def _across_large(rows: DataFrame, elements: DataFrame, bands: DataFrame, simila
     few = rare.groupBy("id").agg(F.count(F.lit(1)).alias("few"))
     frequent = nodes.join(few, "id", "left").select("node", (F.col("n") - F.coalesce("few", F.lit(0))).alias("s"))
     rest = rows.drop("s", "size").join(frequent, "node").filter(F.col("s") >= F.lit(similarity) * F.col("n"))
-    return sharing.union(_across(_divided(rest, bands), similarity))
+    return sharing.union(_across(rest, similarity))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -333,7 +326,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     # Then every pair across the components that are left in a bucket.
     open_ = _labelled(open_, links)
     small, large = open_.filter(F.col("size") <= LARGE), open_.filter(F.col("size") > LARGE)
-    rest = _across(small, similarity).union(_across_large(large, elements, members, similarity)).distinct()
+    rest = _across(small, similarity).union(_across_large(large, elements, similarity)).distinct()
     links = links.union(verified(rest, texts, similarity))
 
     found = nodes.join(components(links), "node", "left").select("key", F.coalesce("label", "node").alias("label"))

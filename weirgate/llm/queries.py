@@ -42,7 +42,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     # The contract's rows need no texts: sizes are counted at the scan, and only they move.
-    mixed = mixing.mix(docs.select("doc_id", "source", words.alias("size")))
+    mixed = mixing.mix(docs.select("doc_id", "source", words.alias("size"), F.xxhash64("text").alias("text_hash")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
