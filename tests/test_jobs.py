@@ -41,8 +41,13 @@ def test_batch_and_reprocess(spark):
     topics = spark.read.parquet(f"{out}/topics").groupBy("topic").count().collect()
     assert {tuple(r) for r in topics} == {("events.user", 8), ("events.dlq", 1)}
     main(["reprocess", "--source", f"{out}/dead_letters", "--out", again])
-    row = spark.read.parquet(again).select("status", "retry_count", F.col("last_retried_at").isNotNull().alias("t")).first()
+    row = spark.read.parquet(f"{again}/tried").select("status", "retry_count", F.col("last_retried_at").isNotNull().alias("t")).first()
     assert tuple(row) == ("failed", 1, True)
+    # The counts are written back, so further rounds end.
+    for _ in range(3):
+        main(["reprocess", "--source", f"{out}/dead_letters", "--out", again])
+    rounds = spark.read.parquet(f"{again}/tried").orderBy("round").select("status", "retry_count").collect()
+    assert [tuple(r) for r in rounds] == [("failed", 1), ("failed", 2), ("failed", 3), ("exhausted", 3)]
 
 
 def test_second_batch_run_admits_nothing_again(spark):

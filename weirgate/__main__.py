@@ -17,7 +17,7 @@ from weirgate.operators.batches import guard_batches, malformed_requests, well_f
 from weirgate.operators.outcome import batch_responses
 from weirgate.operators.totals import stats_snapshot
 from weirgate.plans.ingest import ingest
-from weirgate.plans.reprocess import reprocess
+from weirgate.plans.reprocess import recovered_outcomes, reprocess, still_waiting
 from weirgate.session import cut_lineage, tune
 from weirgate.settings import DEFAULTS
 from weirgate.sinks import tables, topics
@@ -68,8 +68,20 @@ def run_stats(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_reprocess(spark: SparkSession, args: argparse.Namespace) -> None:
-    letters = spark.read.parquet(args.source).select(*[c.split()[0] for c in tables.DEAD_LETTERS.split(", ")])
-    reprocess(letters, F.current_timestamp()).write.mode("append").partitionBy("status").parquet(args.out)
+    """One more try for every letter. The first round reads ``source``, later ones the table it left.
+
+    Versions of the table count the rounds; a lost round is repeated under its number.
+    """
+    last = tables.latest_version(spark, f"{args.out}/letters")
+    source = args.source if last is None else f"{args.out}/letters/v={last}"
+    number = 0 if last is None else last + 1
+    letters = spark.read.parquet(source).select(*[c.split()[0] for c in tables.DEAD_LETTERS.split(", ")])
+    tried = cut_lineage(reprocess(letters, F.current_timestamp()))
+    tried.write.mode("overwrite").parquet(f"{args.out}/tried/round={number}")
+    events = cut_lineage(recovered_outcomes(tried))
+    topics.publish(topics.published_records(events), f"{args.out}/topics/round={number}", "overwrite")
+    tables.insert_events(tables.event_rows(events), f"{args.out}/events")
+    still_waiting(tried).write.mode("overwrite").parquet(f"{args.out}/letters/v={number}")
 
 
 def parser() -> argparse.ArgumentParser:

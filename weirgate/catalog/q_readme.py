@@ -12,8 +12,8 @@ from weirgate.operators.enrich import enrich, match_transactions
 from weirgate.operators.throttle import throttle
 from weirgate.operators.windows import aggregate_events, windowed
 from weirgate.plans.readmodel import materialise, read_model, validated
-from weirgate.plans.reprocess import reprocess
-from weirgate.session import scratch_path
+from weirgate.plans.reprocess import reprocess, still_waiting
+from weirgate.session import cut_lineage, scratch_path
 from weirgate.sinks.tables import dead_letter_rows
 from weirgate.sources.tables import table
 
@@ -131,6 +131,28 @@ def r6(spark, sf_dir):
     return reprocess(waiting, as_of()).select("event_id", "event_type", "retry_count", "status", "topic")
 
 
+@query(
+    "r6_reprocess_rounds",
+    outcome_sql("""SELECT event_id, CASE WHEN n % 2 = 0 THEN 'recovered' ELSE 'exhausted' END AS status,
+  CASE WHEN n % 2 = 0 THEN 1 + n % 3 ELSE 3 END AS retry_count FROM outcomes WHERE outcome = 'failed'"""),
+)
+def r6_rounds(spark, sf_dir):
+    """Four rounds over one table. Every other letter is repaired before its first, second or third round."""
+    n = F.expr("cast(substr(event_id, 5) AS bigint)")
+    letters = dead_letter_rows(outcomes(spark, sf_dir))
+    ended = []
+    for number in range(4):
+        fixed = F.expr("replace(raw_payload, '\"userId\"', '\"eventType\":\"user.login\",\"userId\"')")
+        ready = letters.withColumn("raw_payload", F.when((n % 2 == 0) & (n % 3 == number), fixed).otherwise(F.col("raw_payload")))
+        tried = cut_lineage(reprocess(ready, as_of()))
+        ended.append(tried.filter("status = 'recovered'" if number < 3 else "status <> 'failed'"))
+        letters = still_waiting(tried)
+    done = ended[0]
+    for part in ended[1:]:
+        done = done.unionByName(part)
+    return done.select("event_id", "status", F.col("retry_count").cast("bigint").alias("retry_count"))
+
+
 @query(
     "r7_throttle",
     wire_sql("""SELECT event_id, attempt, row_number() OVER (PARTITION BY user_id, date_trunc('day', received_at)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from weirgate.functions.envelope import is_unroutable, topic_for
 from weirgate.functions.timeaxis import instant
+from weirgate.operators.normalise import fill_defaults
+from weirgate.operators.outcome import with_outcome
 from weirgate.settings import DEFAULTS, Settings
 from weirgate.sources.json_events import decode_lines
 
@@ -35,3 +37,21 @@ def reprocess(dead_letters: DataFrame, as_of: Column, settings: Settings = DEFAU
         status.alias("status"),
         F.when(status == "recovered", topic_for(F.col("event_type"))).alias("topic"),
     )
+
+
+def still_waiting(tried: DataFrame) -> DataFrame:
+    """The dead-letter table after a round: what recovered is gone, the others keep their new counts."""
+    return tried.filter("status <> 'recovered'").select(
+        "event_id", "event_type", "user_id", "raw_payload", "error_reason", "retry_count", "created_at", "last_retried_at"
+    )
+
+
+def recovered_outcomes(tried: DataFrame) -> DataFrame:
+    """Recovered letters as processed events, to be stored and published like any other.
+
+    Their ids were admitted when they first arrived, so they are not looked up again.
+    """
+    letters = tried.filter("status = 'recovered'").select("raw_payload", F.col("created_at").alias("letter_at"))
+    events = decode_lines(letters, body="raw_payload", arrived=F.col("letter_at")).drop("raw_payload", "letter_at", "malformed")
+    placed = events.withColumns({"admitted": F.lit(True), "seq": F.lit(0).cast("bigint")})
+    return with_outcome(fill_defaults(placed, identity=("received_at",)))
