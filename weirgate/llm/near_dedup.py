@@ -264,15 +264,14 @@ def _across(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def _across_large(rows: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
-    """The same for large buckets, by way of rare elements: those that fewer than ``RARE`` of the nodes have.
+    """The same for large buckets, by way of rare elements: those that fewer than ``RARE`` open nodes have.
 
     Two nodes share a rare element, and then it lists them, few at a time; or they share none, and
     then their frequent elements alone have to allow the similarity.
     """
     nodes = rows.select("node", "label", "n", "s", F.xxhash64("node").alias("id")).distinct()
-    own = elements.join(nodes.select("id"), "id", "left_semi")
-    seldom = own.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") < RARE)
-    rare = cut_lineage(own.join(seldom, "element"))
+    seldom = elements.groupBy("element").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") < RARE)
+    rare = cut_lineage(elements.join(seldom, "element"))
     listed = rare.filter("times > 1").join(nodes, "id").withColumnRenamed("element", "bucket")
     sharing = _pairs(listed, listed, similarity)
     few = rare.groupBy("id").agg(F.count(F.lit(1)).alias("few"))
