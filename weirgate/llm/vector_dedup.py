@@ -114,10 +114,13 @@ def split(rows: DataFrame, margin: float) -> DataFrame:
             over[np.arange(len(v)), home] = 0
             for i, o in zip(at, over):
                 to[i] = np.flatnonzero(o <= margin)
-        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("vector"), batch.column("shard"), _lists(to, pa.int32())], ["row", "vector", "shard", "to"])
+        kept = [batch.column(k) for k in ("row", "vector", "shard", "size")]
+        return pa.RecordBatch.from_arrays([*kept, _lists(to, pa.int32())], ["row", "vector", "shard", "size", "to"])
 
-    dealt = map_batches(rows.join(centroids, "shard").select("row", "vector", "shard", "centroids"), work, "row long, vector array<double>, shard long, to array<int>")
-    return dealt.select("row", "vector", F.explode("to").alias("c"), "shard").select("row", "vector", F.xxhash64("shard", "c").alias("shard"))
+    dealt = map_batches(rows.join(centroids, "shard").select("row", "vector", "shard", "size", "centroids"), work, "row long, vector array<double>, shard long, size long, to array<int>")
+    return dealt.select("row", "vector", F.explode("to").alias("c"), "shard", F.col("size").alias("parent")).select(
+        "row", "vector", F.xxhash64("shard", "c").alias("shard"), "parent"
+    )
 
 
 def _matrix_of(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -128,7 +131,7 @@ def _matrix_of(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 def sized(rows: DataFrame) -> DataFrame:
     n = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("size"))
-    return rows.select("row", "vector", "shard").join(n, "shard")
+    return rows.join(n, "shard")
 
 
 def shards(rows: DataFrame, margin: float) -> tuple[DataFrame, DataFrame]:
@@ -137,14 +140,17 @@ def shards(rows: DataFrame, margin: float) -> tuple[DataFrame, DataFrame]:
     done, dense = state.filter(F.col("size") <= 2 * TARGET), state.limit(0)
     state = state.filter(F.col("size") > 2 * TARGET)
     while not state.isEmpty():
-        before = state.agg(F.count(F.lit(1)), F.countDistinct("row")).first()
+        rows_of = state.agg(F.countDistinct("row")).first()[0]
         after = cut_lineage(sized(split(state, margin)))
-        if after.count() > 3 * before[0]:
-            # Most vectors lie at all borders: such a ball stays one shard.
-            done, dense = done.union(state.filter(F.col("size") <= LIMIT)), dense.union(state.filter(F.col("size") > LIMIT))
-            break
-        done = done.union(after.filter(F.col("size") <= LIMIT))
-        state = after.filter(F.col("size") > LIMIT)
+        if after.count() > 3 * rows_of:
+            # Most vectors lie at many borders: these shards are balls that centroids do not divide.
+            whole = state.select("row", "vector", "shard", "size")
+            return done.unionByName(whole.filter(F.col("size") <= LIMIT)), dense.unionByName(whole.filter(F.col("size") > LIMIT))
+        after, stuck = after.select("row", "vector", "shard", "size", "parent"), F.col("size") > 0.7 * F.col("parent")
+        done = done.unionByName(after.filter(F.col("size") <= LIMIT).drop("parent"))
+        dense = dense.unionByName(after.filter((F.col("size") > LIMIT) & stuck).drop("parent"))
+        # What goes on has lost a third of its rows at least, so the rounds end.
+        state = after.filter((F.col("size") > LIMIT) & ~stuck).drop("parent")
     return done, dense
 
 
@@ -261,6 +267,16 @@ def _roots(hit: np.ndarray) -> np.ndarray:
         at = new
 
 
+def _first_met(table: pa.Table, here: int) -> np.ndarray:
+    """Pairs that meet in no earlier shard; the others count there."""
+    lists = table["shards"].to_pylist()
+    index = {s: i for i, s in enumerate(sorted({s for x in lists for s in x if s < here}))}
+    member = np.zeros((len(lists), max(1, len(index))), np.float32)
+    for i, x in enumerate(lists):
+        member[i, [index[s] for s in x if s < here]] = 1
+    return (member @ member.T) == 0
+
+
 def _search(least: float):
     def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
@@ -274,15 +290,7 @@ def _search(least: float):
             edges[i, : len(e)] = e
         hit = _found(_matrix(table), edges, least)
         root = _roots(hit)
-        # Pairs that also meet in an earlier shard count there.
-        others = sorted({s for x in table["shards"].to_pylist() for s in x if s < here})
-        index = {s: i for i, s in enumerate(others)}
-        member = np.zeros((len(rows), len(others)), np.float32)
-        for i, x in enumerate(table["shards"].to_pylist()):
-            for s in x:
-                if s < here:
-                    member[i, index[s]] = 1
-        counted = hit & ((member @ member.T) == 0) if len(others) else hit
+        counted = hit & _first_met(table, here)
         node = table["node"].combine_chunks()
         return pa.table({"node": node, "links": pa.array(counted.sum(axis=1).astype(np.int64)), "root": node.take(pa.array(root))})
 
@@ -297,7 +305,9 @@ def _block(least: float):
         hit = x @ x.T >= least
         np.fill_diagonal(hit, False)
         # A pair within one block counts in that block's own task.
-        counted = hit if low == high else hit & (own[:, None] != own[None, :])
+        counted = hit & _first_met(table, key[0].as_py())
+        if low != high:
+            counted &= own[:, None] != own[None, :]
         node = table["node"].combine_chunks()
         return pa.table({"node": node, "links": pa.array(counted.sum(axis=1).astype(np.int64)), "root": node.take(pa.array(_roots(hit)))})
 
@@ -310,22 +320,24 @@ _RESULT = "node binary, links long, root binary"
 def _linked(rows: DataFrame, least: float, margin: float) -> DataFrame:
     """``node``, ``links`` and ``root`` by shard."""
     done, dense = shards(rows, margin)
-    done = cut_lineage(done.select("row", "shard"))
+    done, dense = cut_lineage(done.select("row", "shard")), cut_lineage(dense.select("row", "shard", "size"))
     vectors = rows.filter(F.col("grp").isNotNull()).select("row", "node", "vector")
     placed = done.join(vectors, "row")
+    members = done.union(dense.select("row", "shard")).groupBy("row").agg(F.collect_set("shard").alias("shards"))
     graph = placed.select("row", "vector", "shard").groupBy("shard").applyInArrow(_build, "row long, edges array<long>")
     # A vector's edges in all its shards are united; DEGREE times its shards bounds the list.
     index = cut_lineage(
-        graph.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges"))
-        .join(done.groupBy("row").agg(F.collect_set("shard").alias("shards")), "row")
+        graph.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges")).join(members, "row")
     )
     found = placed.join(index, "row").groupBy("shard").applyInArrow(_search(least), _RESULT)
-    dense = cut_lineage(dense.select("row", "shard", "size"))
     if dense.isEmpty():
         return found
-    blocks = dense.join(vectors, "row").withColumn("n", F.ceil(F.col("size") / TARGET)).withColumn("block", F.pmod(F.xxhash64("row"), F.col("n")))
+    whole = dense.join(vectors, "row").join(members, "row").withColumn("n", F.ceil(F.col("size") / TARGET))
+    blocks = whole.withColumn("block", F.pmod(F.xxhash64("row"), F.col("n")))
     dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    tasks = dealt.select("node", "vector", "block", "shard", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    tasks = dealt.select(
+        "node", "vector", "shards", "block", "shard", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
     return found.union(tasks.groupBy("shard", "low", "high").applyInArrow(_block(least), _RESULT))
 
 
