@@ -42,7 +42,7 @@ BANDS, ROWS = 25, 5
 #: Buckets of more nodes than this list pairs by rare and frequent shingles apart.
 LARGE = 64
 #: Elements of fewer nodes than this list their pairs in large buckets.
-RARE = 32
+RARE = 128
 PIVOTS = 4
 #: Bytes of text whose signatures are made together.
 _STRETCH = 1 << 20
