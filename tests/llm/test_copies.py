@@ -241,3 +241,12 @@ def test_pipeline_stages(spark):
     assert digest(occurrences(clean, bench)).filter("contaminated").isEmpty()
     assert mixed.groupBy("doc_id").count().filter("count > 2").isEmpty()
     assert cp.STAGES[-1][1](spark, mixed, folder).count() == mixed.count()
+
+
+def test_substring_match_past_a_neighbour_without_room():
+    rng = random.Random(12)
+    left, right = rng.randbytes(300), rng.randbytes(100)
+    # Sorted by what follows, the content that starts at the anchor lies between the two that share 400 bytes.
+    group = [(left + right + b"a", 300), (right + b"b" + rng.randbytes(320), 0), (left + right + b"c", 300)]
+    assert sd.repeated_starts([group]) == [[[0, 0], [], [0, 0]]]
+    assert sd.repeated_starts([group[:2], group, group[1:]]) == [[[], []], [[0, 0], [], [0, 0]], [[], []]]

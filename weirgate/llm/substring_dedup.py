@@ -171,15 +171,22 @@ def repeated_starts(groups: list[list[tuple[bytes, int]]], length: int = LENGTH)
     group = np.repeat(np.arange(len(groups)), sizes)
     found: list[list[tuple[int, int]]] = [[] for _ in flat]
     room = (s.at - s.low)[order]
-    reach, step = None, 1
+    # Room does not fall with distance as reach does: a place is followed while the largest room of its group would do.
+    most = np.zeros(len(groups), np.int64)
+    np.maximum.at(most, group, room)
+    first, step = np.arange(len(order) - 1), 1
     next_ = s.right(order[:-1], order[1:]) if len(order) > 1 else np.zeros(0, np.int64)
-    while step < len(order):
-        reach = next_ if step == 1 else np.minimum(reach[:-1], next_[step - 1 :])
-        same = group[:-step] == group[step:]
-        active = np.flatnonzero(same & (reach + np.minimum(room[:-step], room[step:]) >= length))
-        if not len(active):
+    reach = next_
+    while True:
+        inside = first + step < len(order)
+        first, reach = first[inside], reach[inside]
+        reach = np.minimum(reach, next_[first + step - 1])
+        open_ = (group[first] == group[first + step]) & (reach + most[group[first]] >= length)
+        first, reach = first[open_], reach[open_]
+        if not len(first):
             break
-        i, j = order[active], order[active + step]
+        active = reach + np.minimum(room[first], room[first + step]) >= length
+        i, j = order[first[active]], order[first[active] + step]
         right, left = reach[active], s.left(i, j)
         for a, b, r, l in zip(*(x[left + right >= length].tolist() for x in (i, j, right, left))):
             x, y = int(s.at[a]), int(s.at[b])
