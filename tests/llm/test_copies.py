@@ -250,3 +250,11 @@ def test_substring_match_past_a_neighbour_without_room():
     group = [(left + right + b"a", 300), (right + b"b" + rng.randbytes(320), 0), (left + right + b"c", 300)]
     assert sd.repeated_starts([group]) == [[[0, 0], [], [0, 0]]]
     assert sd.repeated_starts([group[:2], group, group[1:]]) == [[[], []], [[0, 0], [], [0, 0]], [[], []]]
+
+
+def test_copies_of_a_text_send_a_content_once(spark):
+    rng = random.Random(13)
+    text = "".join(rng.choices("abcdef ", k=900))
+    docs = spark.createDataFrame([(1, text)] * 40 + [(2, text[::-1])], "key long, text string").repartition(6)
+    wanted = sd.segments(docs.distinct()).select("key", "a", "c", F.lit(False).alias("many")).cache()
+    assert sd._fetch(wanted, docs).count() == wanted.count() > 0

@@ -261,8 +261,9 @@ def packed(docs: DataFrame) -> DataFrame:
 def _fetch(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """The bytes of wanted contents (``key``, ``a``, ``c``, ``many``) from one text that has them."""
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("a", "c", "many")).alias("wanted"))
-    # One row of each text will do.
-    texts = packed(docs.select("key", "text")).join(lists, "key")
+    # One row of each text will do; the second hash keeps texts apart that share a key by chance.
+    texts = packed(docs.select("key", F.xxhash64(F.lit(1), "text").alias("other"), "text"))
+    texts = texts.groupBy("key", "other").agg(F.first("text").alias("text")).join(lists, "key")
 
     def work(batch: pa.RecordBatch):
         press = zstandard.ZstdDecompressor()
@@ -297,9 +298,7 @@ def _sorted(contents: DataFrame) -> DataFrame:
             groups: list[list[tuple]] = []
             for row in rows:
                 if groups and groups[-1][0][0] == row[0]:
-                    # Texts that are there twice send a content twice.
-                    if groups[-1][-1][1] != row[1]:
-                        groups[-1].append(row)
+                    groups[-1].append(row)
                 else:
                     groups.append([row])
             groups = [g for g in groups if len(g) > 1]
@@ -311,6 +310,9 @@ def _sorted(contents: DataFrame) -> DataFrame:
         for batch in batches:
             rows = zip(*(batch.column(k).to_pylist() for k in ("a", "c", "body", "offset")))
             for row in rows:
+                # Texts that share a key by chance may send a content twice.
+                if held and held[-1][:2] == row[:2]:
+                    continue
                 if total >= _STRETCH and row[0] != held[-1][0]:
                     yield settled(held)
                     held, total = [], 0
