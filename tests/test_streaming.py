@@ -150,3 +150,13 @@ def test_stream_static_enrichment(spark):
     on = F.col("user_id") == F.col("c_custkey")
     drain(enrich(spark.readStream.schema(facts.schema).parquet(source), people, on), out, scratch_path(spark, "test-em"))
     assert same(spark.read.parquet(out).select("event_id", "c_name"), enrich(facts, people, on).select("event_id", "c_name"))
+
+
+@pytest.mark.parametrize("kind", ["tumbling", "sessions"])
+def test_stream_windows_hold_every_event(spark, kind):
+    from weirgate.catalog import q_streaming as q
+
+    n = table(spark, SF, "events").count()
+    closed, every = (getattr(q, f"r1_stream_{kind}{x}")(spark, SF).agg(F.sum("events")).first()[0] for x in ("", "_all"))
+    print(kind, closed, every, n)
+    assert closed < every == n

@@ -14,7 +14,7 @@ from weirgate.sources.tables import table
 from weirgate.streaming.ingest import IngestStream, start_ingest
 from weirgate.streaming.patterns import stream_bursts, stream_matches
 from weirgate.streaming.ttl_state import draining, stream_ttl_dedup
-from weirgate.streaming.windows import stream_windowed
+from weirgate.streaming.windows import closing_row, stream_windowed
 
 _VALID = (ERRORS, "good AS (SELECT * EXCLUDE (base, errors) FROM checked WHERE len(errors) = 0)")
 
@@ -154,17 +154,18 @@ def t6(spark, sf_dir):
     return last.select("x.total_received", "x.total_processed")
 
 
-def _drained(spark, rows, build, label: str):
-    """Rows written as a stream source, run through ``build`` to the end, and read back."""
+def _drained(spark, rows, build, label: str, closing=None):
+    """Rows written as a stream source, run through ``build`` to the end, and read back; ``closing`` rows come after the others."""
     tune_streaming(spark)
     source, out, marks = (scratch_path(spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
-    rows.write.parquet(source)
-    result = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100_000).parquet(source))
-    run = (
-        result.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks)
-        .trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
+    for part in [rows] if closing is None else [rows, closing]:
+        part.write.mode("append").parquet(source)
+        result = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100_000).parquet(source))
+        run = (
+            result.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks)
+            .trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
     return spark.read.schema(result.schema).parquet(out)
 
 
@@ -193,6 +194,29 @@ def r1_stream_sessions(spark, sf_dir):
     return _drained(spark, rows, lambda s: stream_windowed(s, "session", ["user_id"], "30 minutes"), "r1s")
 
 
+@query(
+    "r1_stream_tumbling_all",
+    """SELECT event_type, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS events
+FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events) GROUP BY event_type, window_start""",
+)
+def r1_stream_tumbling_all(spark, sf_dir):
+    """All windows: those the watermark has left open are closed at the end of the job."""
+    rows = events(spark, sf_dir).select("event_type", F.col("ts").cast("timestamp").alias("received_at"))
+    return _drained(spark, rows, lambda s: stream_windowed(s, "tumbling", ["event_type"], "1 hour"), "r1ta", closing_row(rows, "1 hour"))
+
+
+@query(
+    "r1_stream_sessions_all",
+    """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g)
+SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS events FROM s GROUP BY user_id, no""",
+)
+def r1_stream_sessions_all(spark, sf_dir):
+    rows = events(spark, sf_dir).select("user_id", F.col("ts").cast("timestamp").alias("received_at"))
+    return _drained(spark, rows, lambda s: stream_windowed(s, "session", ["user_id"], "30 minutes"), "r1sa", closing_row(rows, "30 minutes"))
+
+
 @query(
     "r3_stream_enrichment",
     "SELECT event_id, event_type, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey",

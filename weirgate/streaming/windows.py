@@ -28,6 +28,17 @@ def stream_windowed(
     )
 
 
+def closing_row(rows: DataFrame, size: str, delay: str = "1 hour", at: str = "received_at") -> DataFrame:
+    """One row without keys for the end of a stream: the watermark passes the end of all windows of ``rows`` with it.
+
+    Its own window stays open, so it is never emitted. Rows that come after it are late.
+    """
+    # A watermark has milliseconds, so a second more is enough.
+    last = F.max(at) + F.expr(f"INTERVAL {size}") + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 second")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != at]
+    return rows.agg(last.alias(at)).select(*empty, at).select(*rows.columns)
+
+
 def stream_aggregate(events: DataFrame, size: str = "1 hour", delay: str = "1 hour", at: str = "received_at") -> DataFrame:
     value = amount(F.col("data"))
     return (
