@@ -258,3 +258,22 @@ def test_copies_of_a_text_send_a_content_once(spark):
     docs = spark.createDataFrame([(1, text)] * 40 + [(2, text[::-1])], "key long, text string").repartition(6)
     wanted = sd.segments(docs.distinct()).select("key", "a", "c", F.lit(False).alias("many")).cache()
     assert sd._fetch(wanted, docs).count() == wanted.count() > 0
+
+
+def test_repeated_rows_are_spread_over_blocks(spark, monkeypatch):
+    inner = mx._block_work
+
+    def bounded(level, last):
+        work = inner(level, last)
+
+        def run(key, table):
+            assert table.num_rows <= 64
+            return work(key, table)
+
+        return run
+
+    monkeypatch.setattr(mx, "_block_work", bounded)
+    rows = [(1, "one two three", "x")] * 400 + [(i, f"w{i} v", "xy"[i % 2]) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    a, b = (Counter(tuple(r) for r in mx.mix(docs.repartition(n), block_rows=16).select("doc_id", "copies").collect()) for n in (3, 7))
+    assert a == b and a.total() == len(rows)

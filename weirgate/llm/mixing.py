@@ -9,7 +9,8 @@ time move along the null space of their balance equations (number of documents,
 until one is in or out. A block leaves at most two open documents; those of many blocks meet in the
 next round; in a source's last block a dozen documents at most are landed, where the settlement
 nearest to the source's balance wins. Blocks are bounded in rows and bytes, so a
-source with a third of all rows is many tasks.
+source with a third of all rows is many tasks; equal rows that are more than a block are numbered,
+and spread by their number.
 
 Draws come from a generator seeded by the block and rows are ordered by their content, so reruns
 agree. A null text has size 0. Documents of size 0 count in the balance of documents. Rows of the
@@ -114,6 +115,26 @@ def fly(p: np.ndarray, size: np.ndarray, seed: int, land: bool) -> np.ndarray:
     return out
 
 
+def _told_apart(rows: DataFrame, block_rows: int, block_bytes: int) -> DataFrame:
+    """``again``, a row's place among those of its ``tie``, where these are more than a block holds; else 0.
+
+    Rows are counted in slices first, so no task numbers all rows of a tie.
+    """
+    times = rows.groupBy("tie").agg(F.count(F.lit(1)).alias("times"), F.sum("bytes").alias("held"))
+    heavy = cut_lineage(times.filter((F.col("times") > block_rows) | ((F.col("times") > 1) & (F.col("held") > block_bytes))).select("tie"))
+    if heavy.isEmpty():
+        return rows.withColumn("again", F.lit(0).cast("long"))
+    many = rows.join(heavy, "tie", "left_semi").withColumn("at", F.monotonically_increasing_id())
+    many = cut_lineage(many.withColumn("slice", F.floor(F.col("at") / block_rows).cast("long")))
+    counts = many.groupBy("tie", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("tie").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("tie", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("tie", "slice").orderBy("at")) - 1
+    many = many.withColumn("again", place.cast("long")).join(counts, ["tie", "slice"]).withColumn("again", F.col("again") + F.col("before"))
+    few = rows.join(heavy, "tie", "left_anti").withColumn("again", F.lit(0).cast("long"))
+    return few.unionByName(many.select(*few.columns))
+
+
 def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc`` (all columns of a document), ``size``, ``source_size``, ``target`` and ``copies``."""
     text = F.col("text").cast("string") if "text" in docs.columns else None
@@ -127,6 +148,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
         F.xxhash64(*[F.col(f"`{c}`") for c in ("doc_id", "text", "text_hash", "source") if c in docs.columns]).alias("tie"),
     )
     targets = cut_lineage(source_targets(rows.select("source", "size", "bytes"), weights, share, limit))
+    rows = _told_apart(rows, block_rows, block_bytes)
     most = targets.agg(F.max(F.greatest(F.ceil(F.col("rows") / block_rows), F.ceil(F.col("bytes") / block_bytes)))).first()[0] or 1
     pi = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     state = (
@@ -134,7 +156,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
         .withColumn("pi", pi)
         .withColumn("whole", F.floor(F.col("pi") + _TINY))
         .select(
-            "doc", "sid", "size", "source_size", "target", "tie", "whole",
+            "doc", "sid", "size", "source_size", "target", "tie", "again", "whole",
             F.greatest(F.col("pi") - F.col("whole"), F.lit(0.0)).alias("p"),
             F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("n_bytes") / block_bytes), F.lit(1)).cast("long").alias("blocks"),
         )
@@ -142,7 +164,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     settled, level = [], 0
     while True:
         last = most <= 1
-        state = state.withColumn("block", F.pmod(F.xxhash64("tie", F.lit(level)), F.col("blocks")))
+        state = state.withColumn("block", F.pmod(F.xxhash64("tie", "again", F.lit(level)), F.col("blocks")))
         done = cut_lineage(state.groupBy("sid", "block").applyInArrow(_block_work(level, last), state.schema))
         if last:
             settled.append(done)
@@ -160,9 +182,9 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
 
 def _block_work(level: int, last: bool):
     def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        size, tie = table["size"].to_numpy(), table["tie"].to_numpy()
+        size, tie, again = (table[k].to_numpy() for k in ("size", "tie", "again"))
         # Large documents first: what is left at the end is small.
-        order = np.lexsort((tie, -size))
+        order = np.lexsort((again, tie, -size))
         table = table.take(pa.array(order))
         blocks = table["blocks"][0].as_py()
         seed = zlib.crc32(f"{level}/{key[0].as_py()}/{key[1].as_py()}".encode())
