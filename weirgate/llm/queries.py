@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import decontamination, mixing, substring_dedup
+from weirgate.llm import cover_dedup, decontamination, merkle, mixing, periodic_runs, substring_dedup
 from weirgate.llm.common import WORD, table
 from weirgate.llm.language_id import identify
 from weirgate.llm.language_model import lm_scores
@@ -85,3 +85,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found)
+
+
+@query("op11_merkle_manifest", merkle.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(merkle.tampered(table(spark, sf_dir, "documents")))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
+@query("op13_cover_dedup", cover_dedup.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_dedup.digest(cover_dedup.repeated_words(table(spark, sf_dir, "documents")))
