@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,9 @@ STREAM_CONF = {
     "spark.python.unix.domain.socket.enabled": "true",
 }
 
+#: Removes the shuffle files of an execution when it ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the engine relies on; partition counts stay the caller's."""
@@ -70,9 +75,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise once as a table in the shared folder and go on from there.
 
     It survives the loss of executors, it is computed once (an RDD checkpoint computes its last
-    stage twice), and the planner sees its real size.
+    stage twice), and the planner sees its real size. Once it is written, the shuffle files of the
+    plan that made it are of no use and go at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
-    df.write.parquet(path)
+    with setting(spark, CLEAN_SHUFFLES, "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A runtime setting for a while."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
