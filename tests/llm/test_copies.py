@@ -277,3 +277,33 @@ def test_repeated_rows_are_spread_over_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     a, b = (Counter(tuple(r) for r in mx.mix(docs.repartition(n), block_rows=16).select("doc_id", "copies").collect()) for n in (3, 7))
     assert a == b and a.total() == len(rows)
+
+
+def test_bags_at_hand_are_bounded():
+    made = []
+    of = nd.remembered(lambda text: made.append(text) or nd.bag(text), most=4 << 20)
+    texts = [b"%d " % i + b"a b c d e f " * 87_000 for i in range(64)]  # about 1 MB each
+    for a, b in zip(texts, texts[1:]):
+        of(a), of(b)
+    held = of.__closure__
+    kept = next(c.cell_contents for c in held if isinstance(c.cell_contents, dict))
+    assert sum(map(len, kept)) <= 4 << 20 and len(made) < 2 * 64
+    assert of(b"x" * (5 << 20)) == nd.bag(b"x" * (5 << 20)) and sum(map(len, kept)) <= 4 << 20
+
+
+def test_powers_of_long_texts_are_not_kept():
+    up, down = nd._powers((1 << 20) + 5)
+    assert len(up) >= (1 << 20) + 5 and len(nd._kept_powers()[0]) == 1 << 20
+    assert ((up[: 1 << 20] == nd._kept_powers()[0]) & (up * down == 1)[: 1 << 20]).all()
+
+
+def test_workers_hold_one_operators_state_at_a_time():
+    from weirgate.llm import common
+
+    common.let_go()
+    assert common.held("a", 1, lambda: "x") == "x" and common.held("a", 1, lambda: "y") == "x"
+    common.let_go(but="a")
+    assert len(common._HELD) == 1
+    assert common.held("b", 1, lambda: "z") == "z" and list(common._HELD) == [("b", 1)]
+    common.let_go(but="a")
+    assert not common._HELD

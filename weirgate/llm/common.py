@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +38,36 @@ def fold(doc_id: Column | str, parts: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch], schema: str) -> DataFrame:
-    """One pass over Arrow batches in the scan's own tasks."""
+#: What this worker process keeps from batch to batch: one operator's state at a time.
+_HELD: dict[Hashable, object] = {}
+
+
+def held(kind: str, key: Hashable, build: Callable[[], object]) -> object:
+    """State that is costly to build, kept by the worker until another kind or key is asked for."""
+    if (kind, key) not in _HELD:
+        let_go()
+        _HELD[kind, key] = build()
+    return _HELD[kind, key]
+
+
+def let_go(but: str | None = None) -> None:
+    """Frees the state of operators other than ``but``; workers live on through later stages."""
+    if any(kind != but for kind, _ in _HELD):
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def map_batches(
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch],
+    schema: str,
+    keeps: str | None = None,
+) -> DataFrame:
+    """One pass over Arrow batches in the scan's own tasks; ``keeps``: the kind of state that ``work`` holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(but=keeps)
         for batch in batches:
             if batch.num_rows:
                 out = work(batch)

@@ -3,11 +3,13 @@
 A fixed public vocabulary of pieces gives the units; each language has its own piece
 probabilities. The probability of a word in a language is the sum over all its segmentations into
 pieces, which the forward algorithm gives, and a text's is the product over its words times the
-language's share. Texts are lower-cased and cut into words of letters.
+language's share. Texts are lower-cased and cut into words of letters (Unicode category L). All pieces
+of letters count, whatever their length, and words are never cut: short ones go through the forward
+algorithm side by side, long ones each with a rolling window that is rescaled as it goes.
 
 The model is fitted by expectation-maximisation on a bounded sample: of each language at most about
-``per_language`` texts of the training fold, taken by a hash of their id. Everything else reads all
-documents whole.
+``per_language`` texts of the training fold, taken by a hash of their id, and of these the words of up
+to ``SHORT`` letters. Everything else reads all documents whole.
 
 A null text, or one without a letter, is ``und`` with score 0. Languages are the non-null values of
 ``lang`` in the training fold; if there are none, all texts are ``und``. Ties go to the first
@@ -29,34 +31,41 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import fold, map_batches
+from weirgate.llm.common import fold, held, map_batches
 
 VOCABULARY = "piece_bpe_32k.model"
 PER_LANGUAGE = 500
-#: Longest piece in characters that is looked up.
-LONGEST = 12
 #: Probability of a character that no piece holds, and the least one of a piece.
 UNKNOWN = 1e-7
-#: Remembered words per worker.
-REMEMBERED = 400_000
-#: Words go through the forward algorithm in pieces of this length at most.
-STRETCH = 48
+#: Remembered words per worker, and the longest of them.
+REMEMBERED = 200_000
+#: Words of more letters go through the forward algorithm alone; the model is fitted on the others.
+SHORT = 40
 WORDS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 
 
+def letter_words(text: str) -> list[str]:
+    """Lower-case runs of letters; numbers that count as word characters, such as ``½``, end a run."""
+    words = WORDS.findall(text.lower())
+    if text.isascii():
+        return words
+    return [p for w in words for p in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
+
+
 class Pieces:
     """The vocabulary as a hash table over strings of code points."""
 
     def __init__(self, name: str = VOCABULARY) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
         pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-        self.pieces = sorted(p for p in pieces if 0 < len(p) <= LONGEST and (p.lstrip(MARK).isalpha() or p == MARK))
+        self.pieces = sorted(p for p in pieces if p and (p.lstrip(MARK).isalpha() or p == MARK))
+        self.longest = max(map(len, self.pieces))
         rng = np.random.default_rng(11)
-        self.odd = rng.integers(1, 1 << 62, LONGEST + 1, dtype=np.uint64) | np.uint64(1)
+        self.odd = rng.integers(1, 1 << 62, self.longest + 1, dtype=np.uint64) | np.uint64(1)
         keys = np.zeros(len(self.pieces), np.uint64)
-        for i, p in enumerate(self.pieces):
-            keys[i] = self._key(p)
+        for at, chars in grouped(self.pieces, mark=""):
+            keys[at] = self.extend(chars)[-1]
         self.bits = 20
         order = np.argsort(self._slot(keys), kind="stable")
         self.keys, self.ids = keys[order], order
@@ -64,9 +73,6 @@ class Pieces:
         self.first = np.searchsorted(slots, np.arange((1 << self.bits) + 1)).astype(np.int32)
         self.probes = int(np.diff(self.first).max())
 
-    def _key(self, piece: str) -> np.uint64:
-        return self.extend(np.frombuffer(piece.encode("utf-32-le"), np.uint32)[None, :])[-1][0]
-
     def extend(self, chars: np.ndarray) -> list[np.ndarray]:
         """Keys of the prefixes of each row: sums of code points mixed by their place."""
         out, key = [], np.zeros(len(chars), np.uint64)
@@ -89,9 +95,9 @@ class Pieces:
         return out
 
 
-def grouped(words: list[str]):
+def grouped(words: list[str], mark: str = MARK):
     """(places in ``words``, code points) of the marked words of each length."""
-    marked = [MARK + w for w in words]
+    marked = [mark + w for w in words]
     lengths = np.array([len(w) for w in marked])
     for n in np.unique(lengths):
         at = np.flatnonzero(lengths == n)
@@ -103,7 +109,7 @@ def found(pieces: Pieces, chars: np.ndarray) -> dict[tuple[int, int], np.ndarray
     """Piece numbers by (start, end) of the substrings of equally long words."""
     n, out = chars.shape[1], {}
     for start in range(n):
-        keys = pieces.extend(chars[:, start : start + LONGEST])
+        keys = pieces.extend(chars[:, start : start + pieces.longest])
         for j, k in enumerate(keys):
             out[start, start + j + 1] = pieces.find(k)
     return out
@@ -114,8 +120,10 @@ def forward(spans: dict, probability: np.ndarray, rows: int, n: int) -> np.ndarr
     out = np.zeros((n + 1, rows, probability.shape[1]))
     out[0] = 1.0
     for end in range(1, n + 1):
-        for start in range(max(0, end - LONGEST), end):
-            got = spans[start, end]
+        for start in range(end):
+            got = spans.get((start, end))
+            if got is None:
+                continue
             p = probability[got]
             if end - start == 1:
                 p = np.where((got < 0)[:, None], UNKNOWN, p)
@@ -123,6 +131,50 @@ def forward(spans: dict, probability: np.ndarray, rows: int, n: int) -> np.ndarr
     return out
 
 
+#: Starts of a long word whose pieces are looked up together.
+_WINDOW = 1 << 14
+
+
+def long_forward(pieces: Pieces, word: str, probability: np.ndarray) -> np.ndarray:
+    """Log of the sum over all segmentations of one word of any length, by language.
+
+    The last ``longest`` sums are held, divided by the largest of them at every step.
+    """
+    chars = np.frombuffer((MARK + word).encode("utf-32-le"), np.uint32)
+    n, longest = len(chars), pieces.longest
+    recent = np.zeros((longest, probability.shape[1]))  # sums of the first j characters, j mod longest
+    recent[0] = 1.0
+    scale = np.zeros(probability.shape[1])
+    ids = np.zeros((0, 0), np.int64)
+    for end in range(1, n + 1):
+        # Pieces by (end, length) for a window of ends, from the reversed lengths of their starts.
+        row = (end - 1) % _WINDOW
+        if row == 0:
+            ends = np.arange(end, min(n, end + _WINDOW - 1) + 1)
+            ids = np.full((len(ends), longest), -1, np.int64)
+            low = max(0, end - longest)
+            view = chars[low : ends[-1]]
+            key = np.zeros(len(view), np.uint64)
+            for size in range(1, min(longest, len(view)) + 1):
+                c = np.zeros(len(view), np.uint64)
+                c[: len(view) - size + 1] = view[size - 1 :].astype(np.uint64) * pieces.odd[size - 1]
+                key = key + (c ^ (c >> np.uint64(29))) * pieces.odd[-1]
+                starts = ends - size - low
+                ok = ends >= size
+                ids[ok, size - 1] = pieces.find(key[starts[ok]])
+        sizes = np.arange(1, min(longest, end) + 1)
+        got = ids[row, : len(sizes)]
+        p = probability[got]
+        if got[0] < 0:
+            p[0] = UNKNOWN
+        total = (recent[(end - sizes) % longest] * p).sum(axis=0)
+        recent[end % longest] = total
+        top = recent.max(axis=0)
+        recent /= top
+        scale += np.log(top)
+    return np.log(np.maximum(recent[n % longest], 1e-300)) + scale
+
+
 def expected(spans: dict, probability: np.ndarray, n: int, weights: np.ndarray, into: np.ndarray) -> None:
     """Adds the expected piece counts of words with ``weights`` (word, language) to ``into``."""
     rows = len(weights)
@@ -130,8 +182,10 @@ def expected(spans: dict, probability: np.ndarray, n: int, weights: np.ndarray,
     back = np.zeros_like(ahead)
     back[n] = 1.0
     for start in range(n - 1, -1, -1):
-        for end in range(start + 1, min(n, start + LONGEST) + 1):
-            got = spans[start, end]
+        for end in range(start + 1, n + 1):
+            got = spans.get((start, end))
+            if got is None:
+                break
             p = probability[got]
             if end - start == 1:
                 p = np.where((got < 0)[:, None], UNKNOWN, p)
@@ -170,7 +224,7 @@ def fit(docs: DataFrame, train: F.Column, per_language: int = PER_LANGUAGE, roun
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         total: Counter = Counter()
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            total.update((lang, w[i : i + STRETCH]) for w in WORDS.findall((text or "").lower()) for i in range(0, len(w), STRETCH))
+            total.update((lang, w) for w in letter_words(text or "") if len(w) <= SHORT)
         langs, words = zip(*total) if total else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(total.values(), pa.int64())], ["lang", "word", "n"])
 
@@ -197,27 +251,32 @@ class Scorer:
 
     def __init__(self, model: Languages) -> None:
         self.model, self.pieces, self.index = model, Pieces(model.vocabulary), {}
+        self.letters = 0
         self.table = np.zeros((REMEMBERED, len(model.names)))
 
     def learn(self, words: list[str]) -> None:
-        stretched = [(i, w[j : j + STRETCH]) for i, w in enumerate(words) for j in range(0, len(w), STRETCH)]
         out = np.zeros((len(words), len(self.model.names)))
-        owner = np.array([i for i, _ in stretched])
-        for at, chars in grouped([w for _, w in stretched]):
+        short = np.array([i for i, w in enumerate(words) if len(w) <= SHORT], np.int64)
+        for at, chars in grouped([words[i] for i in short]) if len(short) else ():
             for i in range(0, len(at), 4096):
                 some = chars[i : i + 4096]
                 p = forward(found(self.pieces, some), self.model.probability, *some.shape)[-1]
-                np.add.at(out, owner[at[i : i + 4096]], np.log(np.maximum(p, 1e-300)))
+                out[short[at[i : i + 4096]]] = np.log(np.maximum(p, 1e-300))
+        for i, w in enumerate(words):
+            if len(w) > SHORT:
+                out[i] = long_forward(self.pieces, w, self.model.probability)
         base = len(self.index)
         self.table[base : base + len(words)] = out
         self.index.update(zip(words, range(base, base + len(words))))
+        self.letters += sum(map(len, words))
 
     def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, index = self.model.names, self.index
-        bags = [Counter(WORDS.findall(t.lower())) if t else Counter() for t in texts]
+        bags = [Counter(letter_words(t)) if t else Counter() for t in texts]
         new = list({w for b in bags for w in b if w not in index})
-        if len(index) + len(new) > REMEMBERED:
+        if len(index) + len(new) > REMEMBERED or self.letters > 16 * REMEMBERED:
             index.clear()
+            self.letters = 0
             new = list({w for b in bags for w in b})
         if len(new) > len(self.table):
             self.table = np.zeros((len(new), len(names)))
@@ -237,14 +296,9 @@ class Scorer:
         return said, score
 
 
-_SCORER: list = []
-
-
 def scorer(model: Languages) -> Scorer:
-    """One per worker and model."""
-    if not _SCORER or _SCORER[0] is not model:
-        _SCORER[:] = [model, Scorer(model)]
-    return _SCORER[1]
+    """One per worker and model; the scorer holds the model, so its number is not given anew."""
+    return held("language", id(model), lambda: Scorer(model))
 
 
 def _predicted(shared, texts: pa.Array) -> tuple[list[str], list[float]]:
@@ -267,7 +321,7 @@ def identify(docs: DataFrame, fold_parts: int = 4, held_out: int = 2, per_langua
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), out_of.alias("held_out"))
-    return map_batches(rows, work, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return map_batches(rows, work, f"doc_id {kind}, held_out boolean, lang_pred string, score double", keeps="language")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -279,4 +333,4 @@ def keep_identified(docs: DataFrame, least: float = 0.5, per_language: int = PER
         said, score = _predicted(shared, batch.column(at))
         return batch.filter(pa.array([a != "und" and b >= least for a, b in zip(said, score)], pa.bool_()))
 
-    return map_batches(docs, work, docs.schema)
+    return map_batches(docs, work, docs.schema, keeps="language")

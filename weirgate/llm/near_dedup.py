@@ -25,6 +25,7 @@ come last, so a class has a null id only if all its documents do. An empty table
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -49,6 +50,10 @@ _STRETCH = 1 << 20
 _U = np.uint64
 _TABLE = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Powers that are kept; longer texts have theirs made for the call.
+_KEPT_POWERS = 1 << 20
+#: Bytes of text whose shingles a batch of pairs keeps at hand.
+_BAG_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -60,9 +65,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
+    """At least ``n`` powers of the base and of its inverse modulo 2^64."""
+    return _kept_powers() if n <= _KEPT_POWERS else _made_powers(n)
+
+
+@lru_cache(maxsize=1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _made_powers(_KEPT_POWERS)
+
+
+def _made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = _U(pow(_BASE, -1, 1 << 64))
     up, down = np.full(n, _U(_BASE)), np.full(n, inverse)
     up[0] = down[0] = _U(1)
@@ -71,8 +84,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every word, from prefix sums of byte values times powers."""
-    n = 1 << max(20, int(len(data)).bit_length())
-    up, down = _powers(n)
+    up, down = _powers(len(data) + 1)
     edge = np.diff(np.concatenate([[True], _SPACE[data], [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * up[: len(data)])])
@@ -167,7 +179,10 @@ def _id_of(node: Column) -> Column:
 
 def overlap(a: bytes, b: bytes, size: int = SHINGLE) -> float:
     """Weighted Jaccard similarity of the shingle multisets."""
-    x, y = _bag(a, size), _bag(b, size)
+    return _alike(bag(a, size), bag(b, size))
+
+
+def _alike(x: Counter, y: Counter) -> float:
     n, m = x.total(), y.total()
     if not n or not m:
         return 0.0
@@ -177,8 +192,27 @@ def overlap(a: bytes, b: bytes, size: int = SHINGLE) -> float:
     return both / (n + m - both)
 
 
-@lru_cache(maxsize=64)
-def _bag(text: bytes, size: int) -> Counter:
+def remembered(build: Callable[[bytes], Counter], most: int = _BAG_BYTES) -> Callable[[bytes], Counter]:
+    """``build`` that keeps what it made of the last texts, ``most`` bytes of text at most."""
+    kept: dict[bytes, Counter] = {}
+    total = 0
+
+    def get(text: bytes) -> Counter:
+        nonlocal total
+        if text not in kept:
+            if total + len(text) > most:
+                kept.clear()
+                total = 0
+            if len(text) > most:
+                return build(text)
+            kept[text] = build(text)
+            total += len(text)
+        return kept[text]
+
+    return get
+
+
+def bag(text: bytes, size: int = SHINGLE) -> Counter:
     words = text.split()
     if len(words) < size:
         return Counter([tuple(words)] if words else [])
@@ -189,8 +223,10 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """The pairs (a, b) whose texts are at least ``similarity`` alike."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # Pairs of one node lie together more often than not; what is kept goes with the batch.
+        of = remembered(bag)
         x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-        keep = [overlap(a, b) >= similarity for a, b in zip(x, y)]
+        keep = [_alike(of(a), of(b)) >= similarity for a, b in zip(x, y)]
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(

@@ -83,7 +83,7 @@ class Scan:
 
 def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of byte values times powers, and the inverse powers."""
-    up, down = _powers(1 << max(20, (len(data) + 1).bit_length()))
+    up, down = _powers(len(data) + 1)
     return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * up[: len(data)])]), down
 
 

@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from weirgate.llm.common import map_batches
+from weirgate.llm.common import held, map_batches
 from weirgate.session import cut_lineage, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Remembered pre-tokens per worker; beyond it the memory starts anew, the ids stay the same.
 REMEMBERED = 300_000
+#: Characters of the longest pre-token that is remembered.
+LONGEST = 64
 # White space among the characters of SIMPLE.
 _SPACE = r"\t-\r "
 #: Texts of these characters only (Latin, without odd white space) are cut here; others go whole.
@@ -58,7 +60,8 @@ class _Known(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = array("I", [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]).tobytes()
-        self[piece] = ids
+        if len(piece) <= LONGEST:
+            self[piece] = ids
         return ids
 
 
@@ -86,14 +89,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(name: str) -> Encoder:
     """One per worker process."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(name)
-    return _ENCODERS[name]
+    return held("encoder", name, lambda: Encoder(name))
 
 
 def encode(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
@@ -111,7 +109,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) ->
             yield pa.RecordBatch.from_arrays([ids.slice(i, step), lists], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")), work, f"doc_id {kind}, ids array<int>")
+    return map_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")), work, f"doc_id {kind}, ids array<int>", keeps="encoder")
 
 
 def write_orc(
@@ -124,14 +122,15 @@ def write_orc(
 ) -> str:
     """Write the ids of all documents below ``path`` in ascending order of ``doc_id``.
 
-    One range shuffle on (doc_id, text hash): equal or null ids do not pile up in one task.
+    One range shuffle on (doc_id, text hash, row number): rows equal in id and text do not pile up in
+    one task either.
     Columns: ``part`` (number of the range), ``seq`` (ascending within it), ``doc_id``, ``ids``.
     """
     ordered = (
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "tie")
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
+        .withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "tie", "row")
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "row")
     )
     (
         encode(ordered, tokenizer, end_id)
