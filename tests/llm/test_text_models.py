@@ -31,7 +31,7 @@ def test_forward_sums_all_segmentations(pieces):
         if not word:
             return np.ones(2)
         total = np.zeros(2)
-        for n in range(1, min(len(word), li.LONGEST) + 1):
+        for n in range(1, len(word) + 1):
             head = word[:n]
             p = probability[index[head]] if head in index else np.full(2, li.UNKNOWN) if n == 1 else None
             if p is not None:
@@ -45,6 +45,37 @@ def test_forward_sums_all_segmentations(pieces):
             assert np.allclose(g, brute(li.MARK + words[i]))
 
 
+def test_long_words_are_summed_like_short_ones(pieces):
+    rng = np.random.default_rng(4)
+    probability = np.vstack([rng.random((len(pieces.pieces), 2)) * 0.1, np.zeros(2)])
+    for word in ["internationalisation", "x", "ßéçaux" * 6, "日本語the" * 4]:
+        ((_, chars),) = li.grouped([word])
+        want = np.log(li.forward(li.found(pieces, chars), probability, *chars.shape)[-1][0])
+        assert np.allclose(li.long_forward(pieces, word, probability), want)
+
+
+def test_long_words_do_not_depend_on_the_window(pieces, monkeypatch):
+    rng = np.random.default_rng(4)
+    probability = np.vstack([rng.random((len(pieces.pieces), 2)) * 0.1, np.zeros(2)])
+    word = "".join(rng.choice(list("etaoinßé日"), 3000))
+    want = li.long_forward(pieces, word, probability)
+    monkeypatch.setattr(li, "_WINDOW", 37)
+    assert np.allclose(li.long_forward(pieces, word, probability), want) and np.isfinite(want).all()
+
+
+def test_letters_are_those_of_unicode():
+    assert li.letter_words("² ½ Ⅷ 12 _") == []
+    assert li.letter_words("ab²cd Été½x ⅧIV 漢字") == ["ab", "cd", "été", "x", "iv", "漢字"]
+
+
+def test_texts_of_signs_have_no_language(spark):
+    train = [(i, f"the house {i}", "en") for i in range(40)] + [(50 + i, f"la maison {i}", "fr") for i in range(40)]
+    docs = spark.createDataFrame([*train, (200, "² ½ Ⅷ", "en"), (201, "the " + "x" * 100_000, "en")], "doc_id long, text string, lang string")
+    said = {r["doc_id"]: r for r in li.identify(docs).collect()}
+    assert said[200]["lang_pred"] == "und" and said[200]["score"] == 0
+    assert said[201]["lang_pred"] in ("en", "fr") and 0 < said[201]["score"] <= 1
+
+
 def test_hash_table_finds_exactly_the_pieces(pieces):
     for at, chars in li.grouped([p[1:] for p in pieces.pieces if p.startswith(li.MARK) and len(p) > 1][:2000]):
         spans = li.found(pieces, chars)
@@ -115,8 +146,8 @@ def test_decontamination_equals_brute_force(spark, odd):
     items += [(50, " ".join(text_of(rows[4]).split()[20:45]).upper()), (50, "one two"), (None, " ".join(text_of(rows[3]).split()[-12:])), (51, None), (52, ""), (53, "two"), (54, "!!")]
     table = spark.createDataFrame(items, "item_id long, text string")
     want = Counter((r[0], *brute_hits(text_of(r), items)) for r in rows)
-    for block in (1 << 20, 60):
-        got = dc.digest(dc.occurrences(odd, table, block_bytes=block)).collect()
+    for block in (1 << 20, 9):
+        got = dc.digest(dc.occurrences(odd, table, block_windows=block)).collect()
         assert Counter(tuple(r) for r in got) == want
     clean = dc.decontaminate(odd, table)
     assert clean.columns == odd.columns
@@ -125,6 +156,26 @@ def test_decontamination_equals_brute_force(spark, odd):
     assert dc.digest(dc.occurrences(odd.limit(0), table)).count() == 0
 
 
+def test_a_long_item_is_searched_for_in_blocks(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(500)]
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 30])) for i in range(40)] * 3, "doc_id long, text string")
+    bench = spark.createDataFrame([("long", " ".join(words[:300]))], "item_id string, text string")
+    assert len(dc.matchers(bench, block_windows=50)) == 6
+    got = dc.digest(dc.occurrences(docs, bench, block_windows=50)).collect()
+    assert len(got) == 120 and all(r["n_hit"] == 30 and r["n_items"] == 1 for r in got)
+
+
+def test_a_repeated_id_is_collected_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(qu, "fit", lambda texts, y, weights: seen.append((texts, y)))
+    rows = [(1, f"text {i}") for i in range(300)] + [(i, f"own {i}") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    qu.train(docs, labels, F.lit(True))
+    assert len(seen[0][0]) == 29 and seen[0][0][0] == b"text 0"
+
+
 def test_search_skips_and_finds_overlapping_patterns():
     a = [(b"x",) * 10, tuple(b"%d" % i for i in range(10)), (b"x",) * 9 + (b"y",)]
     t = dc.Tables(a)

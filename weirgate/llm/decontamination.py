@@ -6,8 +6,9 @@ one window. A shift table says for each pair of neighbouring words how far the s
 most positions of a clean text are never looked at; a pair with shift 0 selects a bucket of
 windows, and comparing all words confirms an occurrence.
 
-The tables of the benchmark are broadcast in blocks of at most ``block_bytes`` of item text, and
-each block is one pass over all documents, so what tasks hold stays bounded. Documents never move.
+Windows are cut and their tables built in tasks, in blocks of about ``block_windows`` by a hash of the
+window. Each block is broadcast and is one pass over all documents, so what tasks and the driver hold
+stays bounded. Documents never move.
 
 Null texts have no words. Items without words, null ones included, occur nowhere. Items with a null
 id count as one item with the empty name. Repeated documents each get their row. Empty tables are
@@ -18,6 +19,7 @@ allowed on both sides. ``decontaminate`` keeps all columns of the documents, wha
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections import defaultdict
 
 import numpy as np
@@ -26,9 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm.common import map_batches, raw_texts
+from weirgate.session import cut_lineage
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+#: Windows that are searched for together.
+BLOCK_WINDOWS = 100_000
 #: A-Z to a-z; every other ASCII sign but digits and a-z to a space; bytes beyond ASCII as they are.
 _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
@@ -78,15 +82,12 @@ class Tables:
 
 
 class Matcher:
-    """All windows of a block of items; full windows and shorter items have tables of their own."""
-
-    def __init__(self, items: list[tuple[str, bytes]], size: int = WINDOW) -> None:
-        self.items: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for name, text in items:
-            for w in windows_of(words_of(text), size):
-                self.items[w].add(name)
-        full = [w for w in self.items if len(w) == size]
-        short = [w for w in self.items if len(w) < size]
+    """A block of windows and their items; full windows and shorter items have tables of their own."""
+
+    def __init__(self, items: dict[tuple[bytes, ...], list[str]], size: int = WINDOW) -> None:
+        self.items = items
+        full = [w for w in items if len(w) == size]
+        short = [w for w in items if len(w) < size]
         self.tables = [Tables(x) for x in (full, short) if x]
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
@@ -95,26 +96,48 @@ class Matcher:
         for t in self.tables:
             for start, p in t.search(words):
                 spans.append((start, start + len(p)))
-                names |= self.items[p]
+                names.update(self.items[p])
         return spans, names
 
 
-def matchers(benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast matchers, one for each block of the benchmark."""
+def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``words`` (one space between) and ``names`` of the items of every distinct window."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
         F.col("text").cast("string").cast("binary").alias("text"),
     ).filter(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
-    sc, out = benchmark.sparkSession.sparkContext, []
-    for b in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == b).collect()
-        out.append(sc.broadcast(Matcher([(r["name"], bytes(r["text"])) for r in rows], size)))
-    return out
+
+    def work(batch: pa.RecordBatch):
+        for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
+            found = [b" ".join(w) for w in windows_of(words_of(text), size)]
+            for i in range(0, len(found), 10_000):
+                some = found[i : i + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array(some, pa.binary())], ["name", "words"])
+
+    return map_batches(items, work, "name string, words binary").groupBy("words").agg(F.collect_set("name").alias("names"))
+
+
+def matchers(benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> list:
+    """Broadcast matchers, one for each block of the benchmark's windows.
+
+    Windows are cut, told apart and put into tables in tasks; the driver passes on one block at a time.
+    """
+    windows = cut_lineage(item_windows(benchmark, size))
+    blocks = -(-windows.count() // block_windows)
+    if not blocks:
+        return []
+
+    def build(table: pa.Table) -> pa.Table:
+        items = {tuple(w.split()): names for w, names in zip(table.column("words").to_pylist(), table.column("names").to_pylist())}
+        return pa.table({"matcher": pa.array([pickle.dumps(Matcher(items, size))], pa.binary())})
+
+    dealt = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
+    built = cut_lineage(dealt.groupBy("block").applyInArrow(build, "matcher binary"))
+    sc = benchmark.sparkSession.sparkContext
+    return [sc.broadcast(pickle.loads(bytes(r["matcher"]))) for r in built.toLocalIterator()]
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``doc_id``, ``n_words``, ``spans`` (pairs of start and end in words) and ``items`` of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     state = docs.select(
@@ -124,7 +147,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block
         F.array().cast("array<int>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    blocks = matchers(benchmark, size, block_bytes)
+    blocks = matchers(benchmark, size, block_windows)
     for i, shared in enumerate(blocks or [None]):
         last = i + 1 >= len(blocks)
 
@@ -168,10 +191,10 @@ def digest(found: DataFrame) -> DataFrame:
     return map_batches(found, work, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents in which no window occurs, with all their columns."""
     at = docs.columns.index("text")
-    for shared in matchers(benchmark, size, block_bytes):
+    for shared in matchers(benchmark, size, block_windows):
 
         def work(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             clean = [not shared.value.find(words_of(t))[0] for t in raw_texts(batch.column(at))]

@@ -170,7 +170,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed: F.Column, sample: int = S
     # About ``sample`` ids of each label: small enough to send to the tasks, so texts stay where they are.
     drawn = F.broadcast(marked.filter(keep).groupBy("doc_id").agg(F.max("quality").alias("quality")))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", text.alias("text")).filter(F.octet_length("text") <= longest).join(drawn, "doc_id").collect()
+    rows = docs.select("doc_id", text.alias("text")).filter(F.octet_length("text") <= longest).join(drawn, "doc_id")
+    # One row of each id, however often it is repeated: what is collected is bounded by ``sample``.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["text"])))
     if not rows:
         net = fit([b""], np.ones(1), np.ones(1), epochs=0)
