@@ -83,7 +83,7 @@ def test_lm_counts_and_base(spark, odd, dictionary):
     tokens = {id(r): [*text_of(r).encode().lower().split(), lm.END] for r in rows}
     c = Counter(w for r in rows if not held_out(r[0]) for w in tokens[id(r)])
     total, distinct = c.total(), len(c)
-    small = lm.Shape(least=3, rare=4, rounds=1)
+    small = lm.Shape(least=3, root=0, rare=4, rounds=1)
     got = sorted(lm.lm_scores(odd, shape=small, dictionary=dictionary).collect(), key=lambda r: (r["n_tokens"], r["base_score"]))
     want = sorted(
         (len(x), sum(np.log10((c[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in x), sum(c[w] > 0 for w in x)) for x in tokens.values()
@@ -145,7 +145,7 @@ def test_lm_scores_equal_a_plain_sum(spark, odd, monkeypatch, dictionary):
 
     monkeypatch.setattr(lm, "train_model", random_model)
     rows = [r for r in odd_rows() if len(text_of(r)) < 6000]
-    shape = lm.Shape(least=4, rare=3, width=4)
+    shape = lm.Shape(least=4, root=0, rare=3, width=4)
     got = lm.lm_scores(frame(spark, rows), shape=shape, dictionary=dictionary).collect()
     symbol, rare_symbol, first, block, size = made["v"]
     t = made["t"]
