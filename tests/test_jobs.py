@@ -8,7 +8,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from weirgate.__main__ import main
-from weirgate.session import scratch_path
+from weirgate.operators.normalise import fill_defaults
+from weirgate.session import scratch_path, setting
+from weirgate.sinks.commits import CommitLog
+from weirgate.sinks.tables import current_hourly
 from weirgate.sources.json_events import read_events
 from weirgate.streaming.ingest import IngestStream, ingest_batch
 
@@ -17,6 +20,12 @@ def event(i: int, **more) -> str:
     return json.dumps({"eventId": f"g{i}", "eventType": "user.login", "userId": "u", "data": {}, **more})
 
 
+def committed(spark, root: str, table: str):
+    """What readers see of a table, with all its columns; None if it has no part."""
+    paths = CommitLog(spark, root).paths(table)
+    return spark.read.option("basePath", f"{root}/{table}").parquet(*paths) if paths else None
+
+
 def test_ingest_stats(spark, capsys):
     made, out = scratch_path(spark, "job-made"), scratch_path(spark, "job-out")
     spark.createDataFrame([(event(i),) for i in range(300)], "value string").write.text(made)
@@ -36,17 +45,19 @@ def test_batch_and_reprocess(spark):
     requests.write.partitionBy("i").text(source)
     main(["batch", "--source", f"{source}/*", "--out", out])
     tables = ("outcomes", "events", "rejects", "dead_letters", "malformed", "acks", "quarantine")
-    counts = {n: spark.read.parquet(f"{out}/{n}").count() for n in tables}
+    counts = {n: committed(spark, out, n).count() for n in tables}
     assert counts == {"outcomes": 11, "events": 8, "rejects": 1, "dead_letters": 1, "malformed": 1, "acks": 10, "quarantine": 0}
-    topics = spark.read.parquet(f"{out}/topics").groupBy("topic").count().collect()
+    topics = committed(spark, out, "topics").groupBy("topic").count().collect()
     assert {tuple(r) for r in topics} == {("events.user", 8), ("events.dlq", 1)}
-    main(["reprocess", "--source", f"{out}/dead_letters", "--out", again])
-    row = spark.read.parquet(f"{again}/tried").select("status", "retry_count", F.col("last_retried_at").isNotNull().alias("t")).first()
+    letters = scratch_path(spark, "job-letters")
+    committed(spark, out, "dead_letters").write.parquet(letters)
+    main(["reprocess", "--source", letters, "--out", again])
+    row = committed(spark, again, "tried").select("status", "retry_count", F.col("last_retried_at").isNotNull().alias("t")).first()
     assert tuple(row) == ("failed", 1, True)
     # The counts are written back, so further rounds end.
     for _ in range(3):
-        main(["reprocess", "--source", f"{out}/dead_letters", "--out", again])
-    rounds = spark.read.parquet(f"{again}/tried").orderBy("round").select("status", "retry_count").collect()
+        main(["reprocess", "--source", letters, "--out", again])
+    rounds = committed(spark, again, "tried").orderBy("round").select("status", "retry_count").collect()
     assert [tuple(r) for r in rounds] == [("failed", 1), ("failed", 2), ("failed", 3), ("exhausted", 3)]
 
 
@@ -57,14 +68,12 @@ def test_second_batch_run_admits_nothing_again(spark):
     spark.createDataFrame(list(enumerate(bodies)), "i int, value string").write.partitionBy("i").text(source)
     for _ in range(2):
         main(["batch", "--source", f"{source}/*", "--out", out, "--validate", "none"])
-    outcomes = {tuple(r) for r in spark.read.parquet(f"{out}/outcomes").groupBy("run", "event_id", "outcome").count().collect()}
-    assert outcomes == {
-        (0, "g1", "processed", 1), (0, "g1", "duplicate", 1), (0, "g2", "processed", 1),
-        (1, "g1", "duplicate", 2), (1, "g2", "duplicate", 1),
-    }
-    assert [r["event_id"] for r in spark.read.parquet(f"{out}/events").collect()] == ["g1"]
+    first, second = (spark.read.parquet(p) for p in CommitLog(spark, out).paths("outcomes"))
+    assert {tuple(r) for r in first.groupBy("event_id", "outcome").count().collect()} == {("g1", "processed", 1), ("g1", "duplicate", 1), ("g2", "processed", 1)}
+    assert {tuple(r) for r in second.groupBy("event_id", "outcome").count().collect()} == {("g1", "duplicate", 2), ("g2", "duplicate", 1)}
+    assert [r["event_id"] for r in committed(spark, out, "events").collect()] == ["g1"]
     # Too wide for the events table: kept whole in quarantine.
-    held = spark.read.parquet(f"{out}/quarantine").collect()
+    held = committed(spark, out, "quarantine").collect()
     assert [(r["event_id"], r["too_long"], wide in r["row"]) for r in held] == [("g2", ["user_id"], True)]
 
 
@@ -89,5 +98,53 @@ def test_late_row_is_a_repeat_alone_and_in_company(spark):
         sink = IngestStream(scratch_path(spark, "late"))
         ingest_batch(batch(("x", day(9))), 0, sink)
         ingest_batch(batch(("x", day(5)), *company), 1, sink)
-        rows = spark.read.parquet(f"{sink.root}/outcomes").filter("event_id = 'x' AND batch = 1").collect()
-        assert [r["outcome"] for r in rows] == ["duplicate"]
+        rows = sink.read(spark, "outcomes").filter("event_id = 'x'").orderBy("received_at").collect()
+        assert [r["outcome"] for r in rows] == ["duplicate", "processed"]
+
+
+def test_all_jobs_share_a_folder(spark, capsys):
+    """Batch, stream, batch and a round over the dead letters: nothing is lost or counted twice."""
+    out, marks, lines = (scratch_path(spark, f"all-{x}") for x in ("out", "marks", "lines"))
+    stamp = "2024-01-01T00:00:00.000Z"
+
+    def batch(name: str, *ids: str) -> None:
+        folder = scratch_path(spark, f"all-{name}")
+        body = json.dumps([{"eventId": i, "eventType": "..." if i == "dots" else "user.login", "userId": "u", "timestamp": stamp} for i in ids])
+        spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(folder)
+        main(["batch", "--source", folder, "--out", out])
+
+    def stream(*ids: int) -> None:
+        spark.createDataFrame([(event(i),) for i in ids], "value string").write.mode("append").text(lines)
+        main(["ingest", "--source", lines, "--out", out, "--checkpoint", marks])
+
+    batch("a", "g1", "g2", "dots")
+    stream(2, 3)
+    batch("b", "g3", "g4", "g1")
+    stream(4, 5)
+    main(["reprocess", "--out", out])
+    main(["stats", "--out", out])
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (stats["total_received"], stats["total_processed"], stats["total_failed"], stats["total_duplicated"]) == (10, 5, 1, 4)
+    hourly = current_hourly(CommitLog(spark, out)).agg(F.sum("total_count"), F.sum("success_count"), F.sum("failure_count")).first()
+    assert tuple(hourly) == (10, 5, 1)
+    assert sorted(r["event_id"] for r in committed(spark, out, "events").collect()) == ["g1", "g2", "g3", "g4", "g5"]
+    assert [(r["event_id"], r["retry_count"]) for r in committed(spark, out, "letters").collect()] == [("dots", 1)]
+    assert committed(spark, out, "dead_letters") is None
+    main(["sweep", "--out", out, "--hours", "0"])
+    assert IngestStream(out).read(spark, "outcomes").count() == 10
+
+
+def test_made_up_ids_do_not_follow_the_splits(spark):
+    path = scratch_path(spark, "splits")
+    same = json.dumps({"eventType": "user.login", "userId": "hot", "timestamp": "2024-01-01T00:00:00.000Z"})
+    lines = [json.dumps({"eventType": "user.login", "userId": f"u{i}"}) if i % 3 else same for i in range(5000)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+
+    def ids(size: str) -> list[str]:
+        with setting(spark, "spark.sql.files.maxPartitionBytes", size):
+            rows = fill_defaults(read_events(spark, path))
+            assert rows.rdd.getNumPartitions() > 0
+            return sorted(r["event_id"] for r in rows.select("event_id").collect())
+
+    a, b = ids("128m"), ids("20k")
+    assert a == b and len(set(a)) == 5000

@@ -4,6 +4,9 @@
     batch      folder of JSON arrays, one request per file -> tables
     stats      statistics over what was ingested, as JSON
     reprocess  dead letters -> another try
+    sweep      files of lost runs -> gone
+
+All jobs may share one folder; see `weirgate.sinks.commits`.
 """
 
 from __future__ import annotations
@@ -14,15 +17,16 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.batches import guard_batches, malformed_requests, well_formed
+from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.outcome import batch_responses
 from weirgate.operators.totals import stats_snapshot
 from weirgate.plans.ingest import ingest
 from weirgate.plans.reprocess import recovered_outcomes, reprocess, still_waiting
 from weirgate.session import cut_lineage, tune
-from weirgate.settings import DEFAULTS
 from weirgate.sinks import tables, topics
+from weirgate.sinks.commits import CommitLog, Run
 from weirgate.sources.json_events import read_batch_files
-from weirgate.streaming.ingest import IngestStream, start_ingest, stored_admissions, write_admissions
+from weirgate.streaming.ingest import IngestStream, start_ingest, stored_admissions, tidy, write_flow
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -30,58 +34,61 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Malformed and oversized requests, rejects, events, dead letters, topics and metrics.
-
-    A run is numbered by the metrics version it commits last. A run that was lost before that
-    is repeated under its number and overwrites what it left; events are unique by id anyway.
-    """
-    last = tables.latest_version(spark, f"{args.out}/hourly")
-    run = 0 if last is None else last + 1
-
-    def path(name: str) -> str:
-        return f"{args.out}/{name}/run={run}"
-
+    """Malformed and oversized requests, rejects, events, dead letters, topics and metrics, in one commit."""
     decoded = cut_lineage(read_batch_files(spark, args.source))
-    malformed_requests(decoded).write.mode("overwrite").parquet(path("malformed"))
     rows = well_formed(decoded)
-    guard_batches(rows).rejected.write.mode("overwrite").parquet(path("oversized"))
-    # Runs and the stream over one folder share the admissions; runs count down from -1.
-    admissions, own = f"{args.out}/admissions", -run - 1
-    reach = rows.agg(F.to_date(F.min("received_at") - F.expr(f"INTERVAL {DEFAULTS.ttl_hours} HOURS"))).first()[0]
-    stored = stored_admissions(spark, admissions, reach) if reach is not None else None
-    earlier = stored.filter(F.col("batch") != own).select("event_id", "admitted_at") if stored is not None else None
-    done = ingest(rows, "batch", args.validate, earlier).stored(path("outcomes"))
-    done.rejects.write.mode("overwrite").parquet(path("rejects"))
-    events = tables.event_rows(done.outcomes)
-    tables.insert_events(events, f"{args.out}/events")
-    tables.quarantined(events).write.mode("overwrite").parquet(path("quarantine"))
-    done.acks.write.mode("overwrite").parquet(path("acks"))
-    batch_responses(done.outcomes).write.mode("overwrite").parquet(path("responses"))
-    tables.write_dead_letters(done.dead_letters, path("dead_letters"), "overwrite")
-    topics.publish(done.published.unionByName(done.dead_letter_records), path("topics"), "overwrite")
-    write_admissions(done.outcomes, admissions, own)
-    tables.upsert_hourly(done.outcomes, f"{args.out}/hourly", run)
+    named = fill_defaults(rows).select("event_id", "received_at")
+
+    def work(run: Run) -> None:
+        run.write("malformed", malformed_requests(decoded))
+        run.write("oversized", guard_batches(rows).rejected)
+        done = write_flow(run, ingest(rows, "batch", args.validate, stored_admissions(run, named)))
+        run.write("acks", done.acks)
+        run.write("responses", batch_responses(done.outcomes))
+
+    log = CommitLog(spark, args.out)
+    log.retried(work)
+    tidy(log)
 
 
 def run_stats(spark: SparkSession, args: argparse.Namespace) -> None:
-    print(stats_snapshot(spark.read.parquet(f"{args.out}/outcomes")).toJSON().first())
+    print(stats_snapshot(IngestStream(args.out).read(spark, "outcomes")).toJSON().first())
 
 
 def run_reprocess(spark: SparkSession, args: argparse.Namespace) -> None:
-    """One more try for every letter. The first round reads ``source``, later ones the table it left.
+    """One more try for every letter: what waits, and what came in since.
 
-    Versions of the table count the rounds; a lost round is repeated under its number.
+    New letters come from the folder's own dead letters or, in the first round, from ``source``. What
+    recovers is stored, published and counted like any other event, in the commit that takes it off
+    the waiting letters.
     """
-    last = tables.latest_version(spark, f"{args.out}/letters")
-    source = args.source if last is None else f"{args.out}/letters/v={last}"
-    number = 0 if last is None else last + 1
-    letters = spark.read.parquet(source).select(*[c.split()[0] for c in tables.DEAD_LETTERS.split(", ")])
-    tried = cut_lineage(reprocess(letters, F.current_timestamp()))
-    tried.write.mode("overwrite").parquet(f"{args.out}/tried/round={number}")
-    events = cut_lineage(recovered_outcomes(tried))
-    topics.publish(topics.published_records(events), f"{args.out}/topics/round={number}", "overwrite")
-    tables.insert_events(tables.event_rows(events), f"{args.out}/events")
-    still_waiting(tried).write.mode("overwrite").parquet(f"{args.out}/letters/v={number}")
+    log = CommitLog(spark, args.out)
+    number = log.state().done.get("reprocess", -1) + 1
+    names = [c.split()[0] for c in tables.DEAD_LETTERS.split(", ")]
+
+    def work(run: Run) -> None:
+        letters = run.read("letters", tables.DEAD_LETTERS).select(*names)
+        if args.source is None:
+            letters = letters.unionByName(run.read("dead_letters", tables.DEAD_LETTERS).select(*names))
+            run.remove("dead_letters", run.base.parts.get("dead_letters", ()))
+        elif number == 0:
+            letters = letters.unionByName(spark.read.parquet(args.source).select(*names))
+        tried = cut_lineage(reprocess(letters, F.current_timestamp()))
+        run.write("tried", tried.withColumn("round", F.lit(number)))
+        events = cut_lineage(recovered_outcomes(tried))
+        run.write("outcomes", events)
+        run.write("topics", topics.published_records(events), by=("topic",))
+        tables.insert_events(run, tables.event_rows(events))
+        tables.upsert_hourly(run, events)
+        run.remove("letters", run.base.parts.get("letters", ()))
+        run.write("letters", still_waiting(tried))
+
+    log.retried(work, "reprocess", number)
+
+
+def run_sweep(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Removes what lost or overtaken runs left, once it is ``--hours`` old."""
+    print(CommitLog(spark, args.out).sweep(int(args.hours * 3_600_000)))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -103,9 +110,13 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.set_defaults(run=run_stats)
     job = jobs.add_parser("reprocess")
-    job.add_argument("--source", required=True)
+    job.add_argument("--source", help="folder of dead letters; without it those below --out")
     job.add_argument("--out", required=True)
     job.set_defaults(run=run_reprocess)
+    job = jobs.add_parser("sweep")
+    job.add_argument("--out", required=True)
+    job.add_argument("--hours", type=float, default=48)
+    job.set_defaults(run=run_sweep)
     return top
 
 

@@ -10,6 +10,7 @@ from weirgate.functions.envelope import headers, partition_for, topic_for, wire_
 from weirgate.operators.normalise import fill_defaults
 from weirgate.session import cut_lineage, scratch_path, tune_streaming
 from weirgate.sinks import tables, topics
+from weirgate.sinks.commits import CommitLog
 from weirgate.sources.tables import table
 from weirgate import fixed_values as fv
 
@@ -90,12 +91,12 @@ WHERE rn = 1"""),
 )
 def k07(spark, sf_dir):
     """Two inserts; the second one repeats ids of the first."""
-    path = scratch_path(spark, "k07")
+    log = CommitLog(spark, scratch_path(spark, "k07"))
     done = outcomes(spark, sf_dir)
     half = F.lit("2024-01-16 00:00:00").cast("timestamp")
-    tables.insert_events(tables.event_rows(done.filter(F.col("received_at") < half)), path)
-    tables.insert_events(tables.event_rows(done.filter(F.col("received_at") >= half)), path)
-    return tables.read_table(spark, path, tables.EVENTS).drop("metadata")
+    for part in (done.filter(F.col("received_at") < half), done.filter(F.col("received_at") >= half)):
+        log.retried(lambda run, part=part: tables.insert_events(run, tables.event_rows(part)))
+    return log.read("events", tables.EVENTS).drop("metadata", "run")
 
 
 @query(
@@ -117,11 +118,11 @@ FROM outcomes WHERE event_type IS NOT NULL GROUP BY 1, 2"""),
 )
 def k09(spark, sf_dir):
     """Two increments, split inside the hours, add up to the rollup of the whole."""
-    root = scratch_path(spark, "k09")
+    log = CommitLog(spark, scratch_path(spark, "k09"))
     done = outcomes(spark, sf_dir)
-    tables.upsert_hourly(done.filter("minute(received_at) < 30"), root, 0)
-    tables.upsert_hourly(done.filter("minute(received_at) >= 30"), root, 1)
-    return tables.current_hourly(spark, root)
+    for part in (done.filter("minute(received_at) < 30"), done.filter("minute(received_at) >= 30")):
+        log.retried(lambda run, part=part: tables.upsert_hourly(run, part))
+    return tables.current_hourly(log)
 
 
 @query(
@@ -174,8 +175,8 @@ FROM (SELECT DISTINCT ON (event_id) * FROM outcomes WHERE outcome = 'processed'
 )
 def k11_quarantine(spark, sf_dir):
     """With narrow columns, every processed event is in the table or in quarantine."""
-    path = scratch_path(spark, "k11")
+    log = CommitLog(spark, scratch_path(spark, "k11"))
     rows = tables.event_rows(outcomes(spark, sf_dir))
-    tables.insert_events(rows, path, _NARROW)
-    kept = tables.read_table(spark, path, tables.EVENTS).select("event_id", F.lit("events").alias("stored"))
+    log.retried(lambda run: tables.insert_events(run, rows, _NARROW))
+    kept = log.read("events", tables.EVENTS).select("event_id", F.lit("events").alias("stored"))
     return kept.unionByName(tables.quarantined(rows, _NARROW).select("event_id", F.lit("quarantine").alias("stored")))

@@ -14,7 +14,10 @@ from weirgate.sources.tables import table
 from weirgate.streaming.ingest import IngestStream, start_ingest
 from weirgate.streaming.patterns import stream_bursts, stream_matches
 from weirgate.streaming.ttl_state import draining, stream_ttl_dedup
-from weirgate.streaming.windows import closing_row, stream_windowed
+from weirgate.streaming.windows import closing_row, store_windows, stored_windows, stream_windowed
+
+#: Files of one micro-batch: the inputs of these queries are written in more files than that.
+FILES = 3
 
 _VALID = (ERRORS, "good AS (SELECT * EXCLUDE (base, errors) FROM checked WHERE len(errors) = 0)")
 
@@ -25,7 +28,7 @@ def _ingested(spark, sf_dir, label: str) -> IngestStream:
     source = scratch_path(spark, f"{label}-in")
     sink = IngestStream(scratch_path(spark, f"{label}-out"))
     wire_json(wire(spark, sf_dir)).write.text(source)
-    start_ingest(spark, source, sink, scratch_path(spark, f"{label}-checkpoint"), max_files=100_000, recorded=True).awaitTermination()
+    start_ingest(spark, source, sink, scratch_path(spark, f"{label}-checkpoint"), max_files=FILES, recorded=True).awaitTermination()
     return sink
 
 
@@ -72,7 +75,7 @@ def t2_late(spark, sf_dir):
 )
 def t1(spark, sf_dir):
     sink = _ingested(spark, sf_dir, "t1")
-    return spark.read.parquet(sink.path("outcomes")).select("event_id", "received_at", "event_type", "outcome")
+    return sink.read(spark, "outcomes").select("event_id", "received_at", "event_type", "outcome")
 
 
 @query(
@@ -82,7 +85,7 @@ def t1(spark, sf_dir):
 def t2(spark, sf_dir):
     """Rows beyond the drift limit end among the rejects, none is lost."""
     sink = _ingested(spark, sf_dir, "t2")
-    return spark.read.parquet(sink.path("rejects")).select("correlation_id", F.concat_ws("; ", "details").alias("details"))
+    return sink.read(spark, "rejects").select("correlation_id", F.concat_ws("; ", "details").alias("details"))
 
 
 @query(
@@ -92,7 +95,7 @@ def t2(spark, sf_dir):
 def t3(spark, sf_dir):
     """The seen-set the stream leaves behind."""
     sink = _ingested(spark, sf_dir, "t3")
-    seen = spark.read.parquet(sink.path("admissions"))
+    seen = sink.read(spark, "admissions")
     return seen.groupBy("event_id").agg(F.max("admitted_at").alias("admitted_at"))
 
 
@@ -107,8 +110,8 @@ def t4(spark, sf_dir):
     sink = IngestStream(scratch_path(spark, "t4-out"))
     wire_json(wire(spark, sf_dir)).write.text(source)
     for _ in range(2):
-        start_ingest(spark, source, sink, marks, max_files=100_000, recorded=True).awaitTermination()
-    records = spark.read.option("basePath", sink.path("topics")).parquet(sink.path("topics"))
+        start_ingest(spark, source, sink, marks, max_files=FILES, recorded=True).awaitTermination()
+    records = sink.read(spark, "topics")
     return records.groupBy("topic").agg(F.count(F.lit(1)).alias("delivered"))
 
 
@@ -121,7 +124,7 @@ def t5(spark, sf_dir):
     from pyspark.sql.window import Window as W
 
     sink = _ingested(spark, sf_dir, "t5")
-    records = spark.read.option("basePath", sink.path("topics")).parquet(sink.path("topics"))
+    records = spark.read.option("basePath", f"{sink.root}/topics").parquet(*sink.log(spark).paths("topics"))
     placed = records.select(
         "topic", "key", "received_at", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("position")
     )
@@ -160,7 +163,7 @@ def _drained(spark, rows, build, label: str, closing=None):
     source, out, marks = (scratch_path(spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
     for part in [rows] if closing is None else [rows, closing]:
         part.write.mode("append").parquet(source)
-        result = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100_000).parquet(source))
+        result = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100 if closing is None else 3).parquet(source))
         run = (
             result.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks)
             .trigger(availableNow=True).start()
@@ -172,13 +175,17 @@ def _drained(spark, rows, build, label: str, closing=None):
 @query(
     "r1_stream_tumbling",
     """SELECT event_type, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS events
-FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events) GROUP BY event_type, window_start
-HAVING window_start + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""",
+FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events) GROUP BY event_type, window_start""",
 )
 def r1_stream_tumbling(spark, sf_dir):
-    """Windows the watermark (one hour behind the newest event) has closed."""
+    """All windows, from the store that several micro-batches in any order keep; the delay covers the table, so no row is late."""
+    tune_streaming(spark)
     rows = events(spark, sf_dir).select("event_type", F.col("ts").cast("timestamp").alias("received_at"))
-    return _drained(spark, rows, lambda s: stream_windowed(s, "tumbling", ["event_type"], "1 hour"), "r1t")
+    source, root, marks = (scratch_path(spark, f"r1t-{x}") for x in ("in", "store", "checkpoint"))
+    rows.repartition(6).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    store_windows(stream, root, marks, ["event_type"], 3600, 40 * 86400).awaitTermination()
+    return stored_windows(spark, root, "event_type string", 3600)
 
 
 @query(
@@ -186,12 +193,15 @@ def r1_stream_tumbling(spark, sf_dir):
     """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (
   SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g)
-SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS events FROM s GROUP BY user_id, no
-HAVING max(ts) + INTERVAL 90 MINUTE <= (SELECT max(ts) FROM events)""",
+SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS events FROM s GROUP BY user_id, no""",
 )
 def r1_stream_sessions(spark, sf_dir):
+    """All sessions over several micro-batches in any order: the watermark lies behind the whole table until the closing row."""
     rows = events(spark, sf_dir).select("user_id", F.col("ts").cast("timestamp").alias("received_at"))
-    return _drained(spark, rows, lambda s: stream_windowed(s, "session", ["user_id"], "30 minutes"), "r1s")
+    return _drained(
+        spark, rows.repartition(6), lambda s: stream_windowed(s, "session", ["user_id"], "30 minutes", delay="40 days"), "r1s",
+        closing_row(rows, "30 minutes", "40 days"),
+    )
 
 
 @query(

@@ -12,6 +12,8 @@ from weirgate.functions.rules import collected
 from weirgate.operators.normalise import with_optional_columns
 from weirgate.operators.outcome import FAILED, PROCESSED, failure_reason
 from weirgate.operators.totals import hourly_metrics
+from weirgate.session import cut_lineage
+from weirgate.sinks.commits import CommitLog, Run, day_of
 
 EVENTS = (
     "event_id string, event_type string, user_id string, source string, version string, "
@@ -66,17 +68,21 @@ def event_rows(outcomes: DataFrame) -> DataFrame:
 
 
 def new_event_rows(rows: DataFrame, existing: DataFrame, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> DataFrame:
-    """Rows whose id the table does not hold yet; rows over the column widths go to `quarantined`."""
-    return within_limits(rows, limits).join(existing.select("event_id"), "event_id", "left_anti")
+    """Rows whose id the table does not hold yet; rows over the column widths go to `quarantined`.
+
+    The table is first cut down to the ids of the rows, so only its id column is read and, while the
+    rows are few, nothing of it is shuffled.
+    """
+    fresh = within_limits(rows, limits)
+    known = existing.select("event_id").join(fresh.select("event_id"), "event_id", "left_semi")
+    return fresh.join(known, "event_id", "left_anti")
 
 
-def insert_events(rows: DataFrame, path: str, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> None:
-    """Unique insert, in a folder per day of arrival. Write `quarantined` rows beside it."""
-    spark = rows.sparkSession
-    known = table_exists(spark, path)
-    fresh = new_event_rows(rows, read_table(spark, path, EVENTS), limits) if known else within_limits(rows, limits)
+def insert_events(run: Run, rows: DataFrame, limits: dict[str, int] = fv.EVENT_COLUMN_LIMITS) -> None:
+    """Unique insert, in a folder per day of arrival, with a Bloom filter for looking up ids. Write `quarantined` rows beside it."""
+    fresh = new_event_rows(rows, run.read("events", "event_id string"), limits)
     dated = fresh.withColumn("created_on", F.to_date("created_at"))
-    dated.write.mode("append").partitionBy("created_on").parquet(path)
+    run.write("events", dated, by=("created_on",), **{"parquet.bloom.filter.enabled#event_id": "true"})
 
 
 def dead_letter_rows(outcomes: DataFrame) -> DataFrame:
@@ -107,63 +113,19 @@ def merge_hourly(stored: DataFrame, increment: DataFrame) -> DataFrame:
     )
 
 
-def upsert_hourly(outcomes: DataFrame, root: str, version: int) -> None:
-    """Write the merged metrics as a new version; a replay of the same version overwrites itself.
-
-    A reader takes the newest version that was committed, so a lost job leaves the last one.
-    """
-    spark = outcomes.sparkSession
-    increment = hourly_metrics(outcomes)
-    last = latest_version(spark, root, below=version)
-    merged = increment if last is None else merge_hourly(read_table(spark, f"{root}/v={last}", HOURLY), increment)
-    merged.write.mode("overwrite").parquet(f"{root}/v={version}")
-
-
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _filesystem(spark, path)
-    return fs.exists(target)
-
-
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below ``path``, by one listing; none if it does not exist."""
-    fs, target = _filesystem(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()] if fs.exists(target) else []
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed ``v=N`` folders, oldest first."""
-    fs, target = _filesystem(spark, root)
-    if not fs.exists(target):
-        return []
-    found = []
-    for status in fs.listStatus(target):
-        folder = status.getPath()
-        name = folder.getName()
-        if name.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
-            found.append(int(name[2:]))
-    return sorted(found)
-
-
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    usable = [v for v in _versions(spark, root) if below is None or v < below]
-    return usable[-1] if usable else None
-
-
-def prune_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Remove all but the newest committed versions."""
-    fs, _ = _filesystem(spark, root)
-    for version in _versions(spark, root)[:-keep]:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}"), True)
+def upsert_hourly(run: Run, outcomes: DataFrame) -> None:
+    """Adds the increment's counts. Only the days it touches are rewritten, other days keep their files."""
+    increment = cut_lineage(hourly_metrics(outcomes).withColumn("metric_day", F.to_date("hour_bucket")))
+    days = {r["metric_day"].isoformat() for r in increment.select("metric_day").distinct().collect()}
+    run.reads.add("hourly")
+    old = [p for p in run.base.parts.get("hourly", ()) if day_of(p) in days]
+    merged = merge_hourly(run.log.rows("hourly", old, HOURLY).drop("run"), increment.drop("metric_day"))
+    run.write("hourly", merged.withColumn("metric_day", F.to_date("hour_bucket")).repartition("metric_day"), by=("metric_day",))
+    run.remove("hourly", old)
 
 
-def current_hourly(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/v={latest_version(spark, root)}", HOURLY)
+def current_hourly(log: CommitLog) -> DataFrame:
+    return log.read("hourly", HOURLY).drop("run")
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:

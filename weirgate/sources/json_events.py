@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate import fixed_values as fv
+from weirgate.operators.normalise import numbered_lines
 
 CORRUPT = "_corrupt_record"
 
@@ -103,15 +104,18 @@ def decode_batches(
     return opened.select(*kept, "malformed", "batch_size", "position", *_event_columns("_e.", clock, recorded))
 
 
-def read_events(spark: SparkSession, path: str, entry: str = "single", recorded: bool = False) -> DataFrame:
-    """Newline-delimited events at rest. ``seq`` follows the input splits."""
-    raw = spark.read.schema(ENVELOPE_OR_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    arrived = F.col("_metadata.file_modification_time")
-    return raw.select(
-        *_event_columns("", arrived, recorded), malformed().alias("malformed"), F.lit(entry).alias("entry"),
-        F.col("_metadata.file_path").alias("batch_id"),
-        F.monotonically_increasing_id().alias("seq"),
+def _line_events(raw: DataFrame, entry: str, recorded: bool) -> DataFrame:
+    """Events of text lines; ``batch_id`` is the file and ``line`` a hash of the text, which no split changes."""
+    lines = raw.filter(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias("batch_id"), F.col("_metadata.file_modification_time").alias("_arrived")
     )
+    decoded = decode_lines(lines, arrived=F.col("_arrived"), recorded=recorded)
+    return decoded.withColumns({"entry": F.lit(entry), "line": F.xxhash64("value")}).drop("value", "_arrived")
+
+
+def read_events(spark: SparkSession, path: str, entry: str = "single", recorded: bool = False) -> DataFrame:
+    """Newline-delimited events at rest. ``seq`` follows the input splits, ids that are made up do not."""
+    return numbered_lines(_line_events(spark.read.text(path), entry, recorded))
 
 
 def read_batch_files(spark: SparkSession, path: str, recorded: bool = False) -> DataFrame:
@@ -128,14 +132,4 @@ def read_batch_files(spark: SparkSession, path: str, recorded: bool = False) ->
 
 def stream_events(spark: SparkSession, path: str, max_files: int = 64, recorded: bool = False) -> DataFrame:
     """Newline-delimited events as they land in a folder."""
-    raw = (
-        spark.readStream.schema(ENVELOPE_OR_CORRUPT)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", max_files)
-        .json(path)
-    )
-    arrived = F.col("_metadata.file_modification_time")
-    return raw.select(
-        *_event_columns("", arrived, recorded), malformed().alias("malformed"), F.lit("stream").alias("entry"),
-        F.col("_metadata.file_path").alias("batch_id"),
-    )
+    return _line_events(spark.readStream.option("maxFilesPerTrigger", max_files).text(path), "stream", recorded)

@@ -1,102 +1,131 @@
-"""Continuous ingest: one stream, several idempotent outputs per micro-batch.
+"""Continuous ingest: one stream, all outputs of a micro-batch in one commit.
 
-Every output of micro-batch N lives in its own ``batch=N`` folder that a replay overwrites, so
-a restart neither loses nor repeats rows. The seen-set is the admissions of earlier batches,
-kept by day; there is no state to rewrite.
+A micro-batch writes its outputs as parts that no reader sees and commits them together, under its
+number; a replay finds the number done. The batch job and the dead-letter rounds use the same log, so
+all of them can share a folder. The seen-set is the table of admissions, by day and by a hash bucket of
+the id: a micro-batch reads the days within reach and the buckets its ids fall in, and small parts are
+merged as they pile up.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
-from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirgate.functions.timeaxis import shift
 from weirgate.operators.batches import malformed_requests, well_formed
-from weirgate.plans.ingest import admit, check
-from weirgate.session import tune_streaming
+from weirgate.operators.normalise import numbered_lines
+from weirgate.plans.ingest import Ingested, admit, check
+from weirgate.session import cut_lineage, tune_streaming
 from weirgate.settings import DEFAULTS, Settings
-from weirgate.sinks.tables import event_rows, insert_events, prune_versions, quarantined, subfolders, upsert_hourly
+from weirgate.sinks.commits import CommitLog, Run, filesystem
+from weirgate.sinks.tables import DEAD_LETTERS, EVENTS, event_rows, insert_events, quarantined, upsert_hourly
+from weirgate.sinks.topics import RECORD
 from weirgate.sources.json_events import stream_events
 
-ADMISSIONS = "event_id string, admitted_at timestamp, admitted_on date, batch bigint"
-
-# Older copies of the hourly table stay for readers that are still at them.
-KEPT_VERSIONS = 5
+ADMISSIONS = "event_id string, admitted_at timestamp, admitted_on date, bucket int"
+OUTCOMES = "event_id string, event_type string, user_id string, received_at timestamp, admitted boolean, outcome string, topic string"
+REJECTS = "error string, details array<string>, correlation_id string"
+BUCKETS = 16
 
 
 @dataclass(frozen=True)
 class IngestStream:
-    """Folders below one root."""
+    """Tables below one root; ``writer`` names the stream in the log."""
 
     root: str
     settings: Settings = DEFAULTS
+    writer: str = "stream"
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, self.root)
 
-    def of_batch(self, name: str, batch: int) -> str:
-        return f"{self.root}/{name}/batch={batch}"
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """Committed rows of one of the tables that every writer has."""
+        schemas = {
+            "outcomes": OUTCOMES, "rejects": REJECTS, "topics": RECORD, "events": EVENTS,
+            "dead_letters": DEAD_LETTERS, "admissions": ADMISSIONS,
+        }
+        return self.log(spark).read(table, schemas[table])
 
 
-def _write(df: DataFrame, path: str, by: str | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+def bucket(event_id: Column) -> Column:
+    return F.pmod(F.xxhash64(event_id), F.lit(BUCKETS)).cast("int")
 
 
-def stored_admissions(spark: SparkSession, root: str, since: date) -> DataFrame | None:
-    """Admissions from a day on, later ones too: a late row is a repeat of one that came before it.
+def stored_admissions(run: Run, rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Admissions that can matter to the rows: from the first day within reach on, in the buckets of their ids.
 
-    The day folders are found by one listing; older days are not read.
+    Later days count too: a late row is a repeat of one that came before it.
     """
-    days = [d.removeprefix("admitted_on=") for d in subfolders(spark, root) if d.startswith("admitted_on=")]
-    live = [f"{root}/admitted_on={d}" for d in sorted(days) if d >= since.isoformat()]
-    if not live:
-        return None
-    return spark.read.schema(ADMISSIONS).option("basePath", root).parquet(*live)
+    reach = F.to_date(shift(F.min("received_at"), -3600 * settings.ttl_hours))
+    since, buckets = rows.agg(reach, F.collect_set(bucket(F.col("event_id")))).first()
+    seen = run.read("admissions", ADMISSIONS, since)
+    return seen.filter(F.col("bucket").isin(buckets)).select("event_id", "admitted_at")
 
 
-def write_admissions(outcomes: DataFrame, root: str, batch: int) -> None:
-    """By day first, so that a batch reads only the days it needs. A replay finds the same days."""
+def write_admissions(run: Run, outcomes: DataFrame) -> None:
     admitted = outcomes.filter("admitted").select(
         "event_id", F.col("received_at").alias("admitted_at"), F.to_date("received_at").alias("admitted_on"),
-        F.lit(batch).cast("bigint").alias("batch"),
+        bucket(F.col("event_id")).alias("bucket"),
     )
-    admitted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("admitted_on", "batch").parquet(root)
+    run.write("admissions", admitted.repartition("bucket"), by=("admitted_on", "bucket"))
+
+
+def write_flow(run: Run, flow: Ingested) -> Ingested:
+    """The outputs that every way in has; returns the flow over the stored outcomes."""
+    path = run.write("outcomes", flow.outcomes)
+    done = replace(flow, outcomes=flow.outcomes.sparkSession.read.schema(flow.outcomes.schema).parquet(path))
+    run.write("rejects", done.rejects)
+    run.write("dead_letters", done.dead_letters)
+    events = event_rows(done.outcomes)
+    insert_events(run, events)
+    run.write("quarantine", quarantined(events))
+    run.write("topics", done.published.unionByName(done.dead_letter_records), by=("topic",))
+    upsert_hourly(run, done.outcomes)
+    write_admissions(run, done.outcomes)
+    return done
 
 
-def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> None:
-    """All outputs of one micro-batch."""
+def tidy(log: CommitLog) -> None:
+    """Merges the parts of the tables that grow by one a micro-batch."""
+    log.compact("admissions", ADMISSIONS, sort="event_id", by=("admitted_on", "bucket"))
+    log.compact("events", f"{EVENTS}, created_on date", sort="event_id", by=("created_on",))
+
+
+def ingest_batch(decoded: DataFrame, batch: int, sink: IngestStream) -> bool:
+    """All outputs of one micro-batch; False if it was committed before."""
     spark = decoded.sparkSession
+    log = sink.log(spark)
+    if log.run(sink.writer, batch).is_done:
+        return False
     # Arrival numbers are fixed here, once; everything later reads the checked rows back.
-    numbered = decoded.withColumn("seq", F.monotonically_increasing_id())
-    _write(check(numbered, "stream", settings=sink.settings), sink.of_batch("checked", batch))
-    rows = spark.read.parquet(sink.of_batch("checked", batch))
-    reach = shift(F.min("received_at"), -3600 * sink.settings.ttl_hours)
-    since = rows.agg(F.to_date(reach)).first()[0]
-    if since is None:
-        return
-    _write(malformed_requests(rows), sink.of_batch("malformed", batch))
-    stored = stored_admissions(spark, sink.path("admissions"), since)
-    earlier = stored.filter(F.col("batch") < batch).select("event_id", "admitted_at") if stored is not None else None
-    flow = admit(well_formed(rows), earlier, sink.settings)
-    _write(flow.outcomes, sink.of_batch("outcomes", batch))
-    _write(flow.rejects, sink.of_batch("rejects", batch))
-    outcomes = spark.read.parquet(sink.of_batch("outcomes", batch))
-    done = replace(flow, outcomes=outcomes)
-    _write(done.dead_letters, sink.of_batch("dead_letters", batch))
-    events = event_rows(outcomes)
-    insert_events(events, sink.path("events"))
-    _write(quarantined(events), sink.of_batch("quarantine", batch))
-    records = done.published.unionByName(done.dead_letter_records)
-    _write(records, sink.of_batch("topics", batch), by="topic")
-    upsert_hourly(outcomes, sink.path("hourly"), batch)
-    prune_versions(spark, sink.path("hourly"), keep=KEPT_VERSIONS)
-    # Last: the admissions make the batch visible to the next one.
-    write_admissions(outcomes, sink.path("admissions"), batch)
+    rows = cut_lineage(check(numbered_lines(decoded), "stream", settings=sink.settings))
+    if rows.isEmpty():
+        return False
+    malformed, good = cut_lineage(malformed_requests(rows)), well_formed(rows)
+
+    def work(run: Run) -> None:
+        run.write("malformed", malformed)
+        write_flow(run, admit(good, stored_admissions(run, rows, sink.settings), sink.settings))
+
+    committed = log.retried(work, sink.writer, batch)
+    tidy(log)
+    return committed
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint; a new checkpoint counts its batches anew."""
+    fs, path = filesystem(spark, f"{checkpoint}/metadata")
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
 
 
 def start_ingest(
@@ -111,5 +140,9 @@ def start_ingest(
     """Start the stream: until the backlog is empty, or forever ``every`` so often."""
     tune_streaming(spark)
     events = stream_events(spark, source, max_files, recorded)
-    writer = events.writeStream.foreachBatch(lambda df, n: ingest_batch(df, n, sink)).option("checkpointLocation", checkpoint)
+
+    def each(df: DataFrame, number: int) -> None:
+        ingest_batch(df, number, replace(sink, writer=f"stream-{stream_id(spark, checkpoint)}"))
+
+    writer = events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
