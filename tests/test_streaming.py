@@ -23,7 +23,7 @@ from weirgate.sources.tables import table
 from weirgate.streaming.ingest import IngestStream, start_ingest
 from weirgate.streaming.patterns import stream_bursts, stream_matches
 from weirgate.streaming.ttl_state import draining, stream_ttl_dedup
-from weirgate.streaming.windows import stream_aggregate, stream_windowed
+from weirgate.streaming.windows import closing_row, stream_aggregate, stream_windowed
 
 SF = "/root/testdata/sf0.001"
 CUTS = ("2024-01-01", "2024-01-10", "2024-01-20", "2024-03-01")
@@ -148,20 +148,49 @@ def test_stream_aggregate(spark, rows, stream_of):
     assert same(got, aggregate_events(rows).select("window_start", "event_type", "events"))
 
 
-def test_stream_patterns(spark, rows):
-    source = scratch_path(spark, "test-p")
-    rows.coalesce(1).write.parquet(source)
+def state_rows(spark, marks, name):
+    return spark.read.format("statestore").option("path", marks).option("stateVarName", name).load().count()
+
+
+def patterns_of(spark, rows, build, batches=4):
+    """Shuffled micro-batches, then two rows that close everything; what came out, and where the state is."""
+    source, out, marks = (scratch_path(spark, f"test-p{x}") for x in "iom")
+    result = None
+    # A closing row moves the watermark past the rows; the second one past what was remembered of them.
+    closing = closing_row(rows, "40 days", "40 days")
+    for part in (rows.repartition(batches), closing, closing_row(closing, "40 days", "40 days")):
+        part.write.mode("append").parquet(source)
+        result = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source))
+        drain(result, out, marks)
+    return spark.read.schema(result.schema).parquet(out), marks
 
-    def stream():
-        return spark.readStream.schema(rows.schema).parquet(source)
 
-    out = scratch_path(spark, "test-po")
-    drain(stream_bursts(stream(), n=2, within=4 * 3600), out, scratch_path(spark, "test-pm"))
-    assert same(spark.read.parquet(out), critical_bursts(rows, n=2, within=4 * 3600).select("user_id", "alert_at"))
-    out = scratch_path(spark, "test-mo")
-    drain(stream_matches(stream(), bound=86400), out, scratch_path(spark, "test-mm"))
+def test_stream_patterns(spark, rows):
+    got, marks = patterns_of(spark, rows, lambda s: stream_bursts(s, n=2, within=4 * 3600, delay="40 days"))
+    assert same(got, critical_bursts(rows, n=2, within=4 * 3600).select("user_id", "alert_at"))
+    assert state_rows(spark, marks, "waiting") == state_rows(spark, marks, "last") == 0
+    got, marks = patterns_of(spark, rows, lambda s: stream_matches(s, bound=86400, delay="40 days"))
+    columns = ("user_id", "closed_id", "opened_id", "closed_at", "opened_at")
+    assert same(got.select(*columns), match_transactions(rows, bound=86400).select(*columns))
+    assert state_rows(spark, marks, "waiting") == state_rows(spark, marks, "last") == 0
+
+
+def test_stream_patterns_of_a_hot_user(spark):
+    """A third of the rows is one user's, many at one instant or in one millisecond."""
+    n = F.col("id")
+    kind = F.when(n % 5 == 0, "transaction.created").when(n % 5 == 1, "transaction.completed").otherwise("fraud.detected")
+    hot = spark.range(3000).select(
+        F.concat(F.lit("e"), n).alias("event_id"), kind.alias("event_type"),
+        F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), n % 40)).alias("user_id"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.pmod(F.xxhash64(n), F.lit(700)) * F.lit(7_000_400) + n % 2 * 100).alias("received_at"),
+    )
+    got, _ = patterns_of(spark, hot, lambda s: stream_bursts(s, n=3, within=60, delay="40 days"), 3)
+    want = critical_bursts(hot, n=3, within=60).select("user_id", "alert_at")
+    assert want.count() > 300 and same(got, want)
+    got, _ = patterns_of(spark, hot, lambda s: stream_matches(s, bound=120, delay="40 days"), 3)
     columns = ("user_id", "closed_id", "opened_id", "closed_at", "opened_at")
-    assert same(spark.read.parquet(out).select(*columns), match_transactions(rows, bound=86400).select(*columns))
+    want = match_transactions(hot, bound=120).select(*columns)
+    assert want.count() >= 200 and same(got.select(*columns), want)
 
 
 def test_stream_static_enrichment(spark):
