@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from weirgate.__main__ import main
 from weirgate.operators.normalise import fill_defaults
+from weirgate.plans.reprocess import reprocess
 from weirgate.session import scratch_path, setting
 from weirgate.sinks.commits import CommitLog
-from weirgate.sinks.tables import current_hourly
-from weirgate.sources.json_events import read_events
+from weirgate.settings import DEFAULTS
+from weirgate.sinks.tables import DEAD_LETTERS, current_hourly, stored_rollups
+from weirgate.sources.json_events import read_batch_files, read_events
 from weirgate.streaming.ingest import IngestStream, ingest_batch
 
 
@@ -134,6 +137,57 @@ def test_all_jobs_share_a_folder(spark, capsys):
     assert IngestStream(out).read(spark, "outcomes").count() == 10
 
 
+def test_aggregates_are_published_once_per_change(spark):
+    """Two runs of the stream, the rollups after each: hours that changed come again, merged."""
+    out, marks, lines = (scratch_path(spark, f"agg-{x}") for x in ("out", "marks", "lines"))
+    values = []
+    for ids in (range(40), range(20, 60)):
+        text = [(event(i, userId=f"u{i % 30}", data={"amount": i}),) for i in ids]
+        spark.createDataFrame(text, "value string").write.mode("append").text(lines)
+        main(["ingest", "--source", lines, "--out", out, "--checkpoint", marks])
+        for _ in range(2):
+            # The second call finds nothing new.
+            main(["aggregate", "--out", out])
+        records = committed(spark, out, "topics").filter("topic = 'analytics.aggregated'")
+        values.append([json.loads(r["value"]) for r in records.collect()])
+    assert sum(v["events"] for v in values[0]) == 40 and len({v["window_start"] for v in values[1]}) <= 2
+    whole = stored_rollups(CommitLog(spark, out), "week").agg(F.sum("events"), F.sum("amount_sum"), F.hll_sketch_estimate(F.hll_union_agg("users"))).first()
+    assert tuple(whole) == (60, sum(range(60)), 30)
+
+
+def test_oversized_request_is_a_row_and_the_job_goes_on(spark):
+    source, out = scratch_path(spark, "size-in"), scratch_path(spark, "size-out")
+    bodies = [f"[{event(1)}]", "[" + " " * 5000 + f"{event(2)}]", "{"]
+    spark.createDataFrame(list(enumerate(bodies)), "i int, value string").write.partitionBy("i").text(source)
+    small = replace(DEFAULTS, max_request_bytes=4000)
+    rows = read_batch_files(spark, f"{source}/*", settings=small)
+    assert {(r["event_id"], r["malformed"]) for r in rows.collect()} == {("g1", None), (None, "size"), (None, "json")}
+    # The length is tested where files are listed, so the body of a long file is not opened.
+    assert "LessThanOrEqual(length,4000)" in rows._jdf.queryExecution().toString()
+    main(["batch", "--source", f"{source}/*", "--out", out, "--max-request-bytes", "4000"])
+    assert sorted(r["cause"] for r in committed(spark, out, "malformed").collect()) == ["json", "size"]
+    assert [r["event_id"] for r in committed(spark, out, "events").collect()] == ["g1"]
+
+
+def test_round_over_letters_applies_the_rules(spark):
+    letter = {"error_reason": "r", "retry_count": 0, "created_at": datetime(2024, 1, 2), "last_retried_at": None}
+    stamp = "2024-01-02T00:00:00.000Z"
+    bodies = {
+        "good": {"userId": "u", "timestamp": stamp}, "user": {"userId": "bad user!", "timestamp": stamp},
+        "blank": {"userId": " ", "timestamp": stamp}, "cut": None,
+    }
+    rows = [
+        (k, "user.login", "u", "{" if b is None else json.dumps({"eventId": k, "eventType": "user.login", "data": {}, **b}), *letter.values())
+        for k, b in bodies.items()
+    ]
+    letters = spark.createDataFrame(rows, DEAD_LETTERS)
+    for mode, fine in {"none": {"good", "user", "blank"}, "annotations": {"good", "user"}, "full": {"good"}}.items():
+        tried = {r["event_id"]: r for r in reprocess(letters, F.current_timestamp(), mode=mode).collect()}
+        assert {k for k, r in tried.items() if r["status"] == "recovered"} == fine
+        assert all(r["retry_count"] == 1 for r in tried.values()) and tried["cut"]["error_reason"] == "r"
+    assert "userId contains invalid" in tried["user"]["error_reason"]
+
+
 def test_made_up_ids_do_not_follow_the_splits(spark):
     path = scratch_path(spark, "splits")
     same = json.dumps({"eventType": "user.login", "userId": "hot", "timestamp": "2024-01-01T00:00:00.000Z"})

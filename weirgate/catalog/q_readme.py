@@ -9,12 +9,14 @@ from weirgate.catalog.sql import outcome_sql, wire_sql
 from weirgate.operators.alerts import critical_bursts
 from weirgate.operators.anomaly import anomalies
 from weirgate.operators.enrich import enrich, match_transactions
+from weirgate.operators.rollups import estimated
 from weirgate.operators.throttle import throttle
 from weirgate.operators.windows import aggregate_events, windowed
 from weirgate.plans.readmodel import materialise, read_model, validated
 from weirgate.plans.reprocess import reprocess, still_waiting
 from weirgate.session import cut_lineage, scratch_path
-from weirgate.sinks.tables import dead_letter_rows
+from weirgate.sinks.commits import CommitLog
+from weirgate.sinks.tables import add_rollup, dead_letter_rows, stored_rollups
 from weirgate.sources.tables import table
 
 
@@ -58,6 +60,37 @@ def r2(spark, sf_dir):
     return a.withColumn("amount_sum", F.round("amount_sum", 2)).withColumn("amount_mean", F.round("amount_mean", 4))
 
 
+@query(
+    "r2_rollups",
+    wire_sql("""SELECT unit, date_trunc(unit, received_at) AS window_start, event_type, count(*) AS events,
+  round(sum(CAST(json_extract_string(data, '$.amount') AS DOUBLE)), 2) AS amount_sum,
+  round(avg(CAST(json_extract_string(data, '$.amount') AS DOUBLE)), 4) AS amount_mean, TRUE AS users_near
+FROM wire, (VALUES ('hour'), ('day'), ('week')) u(unit) GROUP BY 1, 2, 3"""),
+)
+def r2_rollups(spark, sf_dir):
+    """Three increments into the stored rollups, read by hour, day and week; the estimated users stand beside the exact ones."""
+    rows = wire(spark, sf_dir)
+    log = CommitLog(spark, scratch_path(spark, "r2"))
+    for part in range(3):
+        increment = rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)
+        log.retried(lambda run, new=increment: add_rollup(run, new))
+    done = None
+    for unit in ("hour", "day", "week"):
+        exact = rows.groupBy(F.date_trunc(unit, F.col("received_at").cast("timestamp")).alias("window_start"), "event_type").agg(
+            F.count_distinct("user_id").alias("exact")
+        )
+        read = estimated(stored_rollups(log, unit)).withColumn("unit", F.lit(unit))
+        same_type = read["event_type"].eqNullSafe(exact["event_type"]) & (read["window_start"] == exact["window_start"])
+        # Three standard deviations and the rounding of the estimate.
+        near = F.abs(F.col("users") - F.col("exact")) <= 0.05 * F.col("exact") + 1
+        beside = read.join(exact, same_type).select(
+            "unit", read["window_start"], read["event_type"], "events", F.round("amount_sum", 2).alias("amount_sum"),
+            F.round("amount_mean", 4).alias("amount_mean"), near.alias("users_near"),
+        )
+        done = beside if done is None else done.unionByName(beside)
+    return done
+
+
 @query(
     "r3_enrichment",
     """SELECT event_id, event_type, user_id, c_name, c_mktsegment, c_nationkey FROM events LEFT JOIN customer ON user_id = c_custkey""",
@@ -153,6 +186,21 @@ def r6_rounds(spark, sf_dir):
     return done.select("event_id", "status", F.col("retry_count").cast("bigint").alias("retry_count"))
 
 
+@query(
+    "r6_reprocess_rules",
+    outcome_sql("""SELECT event_id, CASE WHEN n % 79 = 0 OR n % 73 = 0 OR n % 61 = 0 THEN 'failed' ELSE 'recovered' END AS status,
+  concat_ws('; ', CASE WHEN n % 79 = 0 THEN 'userId contains invalid characters (allowed: a-z A-Z 0-9 _ @ . -)' END,
+    CASE WHEN n % 73 = 0 THEN 'timestamp drift is 25 hours — maximum allowed is 24 hours' END,
+    CASE WHEN n % 61 = 0 THEN 'data must be a JSON object' END) AS reason FROM outcomes WHERE outcome = 'failed'"""),
+)
+def r6_rules(spark, sf_dir):
+    """All payloads were repaired, but those that break a rule wait on, with the messages as their reason."""
+    repaired = F.expr("replace(raw_payload, '\"userId\"', '\"eventType\":\"user.login\",\"userId\"')")
+    letters = dead_letter_rows(outcomes(spark, sf_dir)).withColumn("raw_payload", repaired)
+    tried = reprocess(letters, as_of(), mode="full")
+    return tried.select("event_id", "status", F.when(F.col("status") == "failed", F.col("error_reason")).otherwise("").alias("reason"))
+
+
 @query(
     "r7_throttle",
     wire_sql("""SELECT event_id, attempt, row_number() OVER (PARTITION BY user_id, date_trunc('day', received_at)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from weirgate.operators.batches import malformed_requests
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.validation import valid_rows, validate
 from weirgate.session import scratch_path, tune_streaming
+from weirgate.settings import DEFAULTS
 from weirgate.sources.json_events import decode_batches, decode_lines, read_batch_files, read_events, stream_events
 
 
@@ -61,6 +64,27 @@ def s02_files(spark, sf_dir):
     return read_batch_files(spark, f"{path}/*", recorded=True).filter("malformed IS NULL").select(*_EVENT, "entry")
 
 
+@query(
+    "s02_request_sizes",
+    wire_sql(f"""SELECT batch_id AS request, CASE WHEN bytes > 40000 THEN 'size' ELSE 'none' END AS cause,
+  CASE WHEN bytes > 40000 THEN 0 ELSE events END AS events FROM (
+  SELECT batch_id, count(*) AS events, 2 + sum(length(line) + 1) AS bytes FROM (SELECT batch_id,
+    '{{"eventId":"' || event_id || '",' || coalesce('"eventType":"' || event_type || '",', '') || '"userId":"' || user_id
+    || '","timestamp":"' || strftime({millis('event_ts')}, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"' || coalesce(',"data":' || {json_text()}, '')
+    || ',"receivedAt":"' || strftime(received_at, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}}' AS line
+    FROM (SELECT *, {BATCH} FROM wire)) GROUP BY batch_id)"""),
+)
+def s02_sizes(spark, sf_dir):
+    """Requests over 40,000 bytes are refused by the length of their file, the others are read."""
+    path = scratch_path(spark, "s02s")
+    lines = wire_json(batched(wire(spark, sf_dir)), ("batch_id",))
+    bodies = lines.groupBy("batch_id").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("value")), F.lit("]")).alias("body"))
+    bodies.write.partitionBy("batch_id").text(path)
+    rows = read_batch_files(spark, f"{path}/*", settings=replace(DEFAULTS, max_request_bytes=40_000))
+    request = F.regexp_extract("batch_id", "batch_id=([^/]*)", 1).alias("request")
+    return rows.groupBy(request, F.coalesce("malformed", F.lit("none")).alias("cause")).agg(F.count("event_id").alias("events"))
+
+
 @query("s03_stream_events", checked_sql(f"SELECT {_EVENT_SQL} FROM checked WHERE len(errors) = 0"))
 def s03(spark, sf_dir):
     """Validated rows of the stream, as written by it."""

@@ -34,6 +34,7 @@ TOPIC_PARTITIONS = {
 RAW_TOPIC = "events.raw"
 CRITICAL_TOPIC = "events.critical"
 DEAD_LETTER_TOPIC = "events.dlq"
+AGGREGATE_TOPIC = "analytics.aggregated"
 CATEGORY_TOPICS = {
     "user": "events.user",
     "transaction": "events.transaction",

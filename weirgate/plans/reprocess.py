@@ -9,15 +9,20 @@ from weirgate.functions.envelope import is_unroutable, topic_for
 from weirgate.functions.timeaxis import instant
 from weirgate.operators.normalise import fill_defaults
 from weirgate.operators.outcome import with_outcome
+from weirgate.operators.validation import validate
 from weirgate.settings import DEFAULTS, Settings
 from weirgate.sources.json_events import decode_lines
 
 
-def reprocess(dead_letters: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
+def reprocess(
+    dead_letters: DataFrame, as_of: Column, settings: Settings = DEFAULTS, mode: str = "annotations"
+) -> DataFrame:
     """Dead letters after one more run of their payload, with ``status`` and ``topic``.
 
     ``recovered`` rows can be routed now, ``failed`` rows wait for another try, ``exhausted``
-    rows had used up their tries and are left as they were.
+    rows had used up their tries and are left as they were. A payload that breaks the rules of
+    ``mode`` (see `validate`; the clock is the letter's own arrival) fails, and its messages become
+    the reason.
     """
     open_rows = F.col("retry_count") < settings.max_retries
     decoded = decode_lines(
@@ -27,10 +32,13 @@ def reprocess(dead_letters: DataFrame, as_of: Column, settings: Settings = DEFAU
         body="raw_payload",
         arrived=F.col("created_at"),
     )
-    works = F.col("malformed").isNull() & ~is_unroutable(F.col("event_type"))
+    decoded = validate(decoded, mode, settings)
+    works = F.col("malformed").isNull() & ~is_unroutable(F.col("event_type")) & (F.size("errors") == 0)
+    broken = open_rows & F.col("malformed").isNull() & (F.size("errors") > 0)
     status = F.when(~open_rows, F.lit("exhausted")).when(works, F.lit("recovered")).otherwise(F.lit("failed"))
     return decoded.select(
-        F.col("letter_id").alias("event_id"), "event_type", "user_id", "raw_payload", "error_reason",
+        F.col("letter_id").alias("event_id"), "event_type", "user_id", "raw_payload",
+        F.when(broken, F.array_join("errors", "; ")).otherwise(F.col("error_reason")).alias("error_reason"),
         F.when(open_rows, F.col("retry_count") + 1).otherwise(F.col("retry_count")).alias("retry_count"),
         "created_at",
         F.when(open_rows, instant(as_of)).otherwise(F.col("last_retried_at")).alias("last_retried_at"),

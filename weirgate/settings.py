@@ -13,6 +13,8 @@ class Settings:
     max_drift_hours: int = fv.MAX_DRIFT_HOURS
     max_event_bytes: int = fv.MAX_EVENT_BYTES
     max_batch_rows: int = fv.MAX_BATCH_ROWS
+    # A request file above this is refused by its length; its body is never read.
+    max_request_bytes: int = 256 * 1024 * 1024
     # Namespace put before an event id when the seen-set is exported to a key-value store.
     dedup_key_prefix: str = "dedup:"
     # Ids with more arrivals than this never reach an array; they take the pointer walk.

@@ -11,6 +11,7 @@ from weirgate.functions.envelope import wire_value
 from weirgate.functions.rules import collected
 from weirgate.operators.normalise import with_optional_columns
 from weirgate.operators.outcome import FAILED, PROCESSED, failure_reason
+from weirgate.operators.rollups import ROLLUP, hourly_rollup, merge_rollups
 from weirgate.operators.totals import hourly_metrics
 from weirgate.session import cut_lineage
 from weirgate.sinks.commits import CommitLog, Run, day_of
@@ -128,6 +129,28 @@ def current_hourly(log: CommitLog) -> DataFrame:
     return log.read("hourly", HOURLY).drop("run")
 
 
+def add_rollup(run: Run, events: DataFrame) -> DataFrame:
+    """Adds events to the stored hourly rollups and returns the hours they touch, as they are now.
+
+    Only the days of the increment are rewritten.
+    """
+    increment = cut_lineage(hourly_rollup(events))
+    days = {r[0].isoformat() for r in increment.select(F.to_date("window_start")).distinct().collect()}
+    run.reads.add("rollups")
+    old = [p for p in run.base.parts.get("rollups", ()) if day_of(p) in days]
+    merged = merge_rollups(run.log.rows("rollups", old, ROLLUP).drop("run").unionByName(increment))
+    path = run.write("rollups", merged.withColumn("rollup_day", F.to_date("window_start")).repartition("rollup_day"), by=("rollup_day",))
+    run.remove("rollups", old)
+    stored = run.log.spark.read.schema(ROLLUP).parquet(path)
+    return stored.join(increment.select("window_start", "event_type"), ["window_start", "event_type"], "left_semi")
+
+
+def stored_rollups(log: CommitLog, unit: str = "hour") -> DataFrame:
+    """The rollups per hour, or merged into days or weeks."""
+    rows = log.read("rollups", ROLLUP).drop("run")
+    return rows if unit == "hour" else merge_rollups(rows, unit)
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     names = T.StructType.fromDDL(schema).names
     return spark.read.schema(schema).parquet(path).select(*names)

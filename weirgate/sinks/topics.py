@@ -9,6 +9,7 @@ from weirgate import fixed_values as fv
 from weirgate.functions.envelope import headers, partition_for, wire_value
 from weirgate.operators.normalise import with_optional_columns
 from weirgate.operators.outcome import FAILED, PROCESSED
+from weirgate.operators.rollups import estimated
 from weirgate.settings import DEFAULTS, Settings
 
 RECORD = "topic string, partition int, key string, value string, headers array<struct<key:string,value:binary>>, received_at timestamp, seq bigint"
@@ -57,6 +58,19 @@ def dead_letter_records(outcomes: DataFrame, settings: Settings = DEFAULTS, orde
     return _records(failed, "event_id", settings, ordered)
 
 
+def aggregated_records(rollups: DataFrame) -> DataFrame:
+    """Rollups as records of the topic of aggregates, keyed by event type; a later record of a window replaces the earlier.
+
+    They are few and carry no order, so the broker's client may choose the partition.
+    """
+    return estimated(rollups).select(
+        F.lit(fv.AGGREGATE_TOPIC).alias("topic"), F.lit(None).cast("int").alias("partition"), F.col("event_type").alias("key"),
+        F.to_json(F.struct("window_start", "event_type", "events", "users", "amount_sum", "amount_mean")).alias("value"),
+        F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
+        F.col("window_start").alias("received_at"), F.lit(0).cast("bigint").alias("seq"),
+    )
+
+
 def publish(records: DataFrame, path: str, mode: str = "append") -> None:
     """Write the records below one folder per topic; returns once they are committed."""
     records.write.mode(mode).partitionBy("topic").parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from weirgate import fixed_values as fv
 from weirgate.operators.normalise import numbered_lines
+from weirgate.settings import DEFAULTS, Settings
 
 CORRUPT = "_corrupt_record"
 
@@ -118,14 +119,22 @@ def read_events(spark: SparkSession, path: str, entry: str = "single", recorded:
     return numbered_lines(_line_events(spark.read.text(path), entry, recorded))
 
 
-def read_batch_files(spark: SparkSession, path: str, recorded: bool = False) -> DataFrame:
-    """One request per file, each a JSON array over any number of lines."""
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("value").alias("body"),
-        F.col("_metadata.file_path").alias("batch_id"),
-        F.col("_metadata.file_modification_time").alias("_arrived"),
-    )
-    return decode_batches(files, arrived=F.col("_arrived"), recorded=recorded).drop("_arrived").withColumns(
+def read_batch_files(
+    spark: SparkSession, path: str, recorded: bool = False, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """One request per file, each a JSON array over any number of lines.
+
+    A file longer than ``max_request_bytes`` is one row that is malformed by ``size``: the length is known
+    from the listing, so such a body is never opened and the other requests go on.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    known = [F.col("_metadata.file_path").alias("batch_id"), F.col("modificationTime").alias("_arrived")]
+    fits = files.filter(F.col("length") <= settings.max_request_bytes).select(F.col("content").cast("string").alias("body"), *known)
+    decoded = decode_batches(fits, arrived=F.col("_arrived"), recorded=recorded).drop("_arrived")
+    refused = files.filter(F.col("length") > settings.max_request_bytes).select(*known)
+    told = {"malformed": F.lit("size"), "received_at": F.col("_arrived")}
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in decoded.schema if f.name not in ("batch_id", *told)}
+    return decoded.unionByName(refused.withColumns({**empty, **told}).drop("_arrived")).withColumns(
         {"entry": F.lit("batch"), "seq": F.col("position").cast("bigint")}
     )
 
