@@ -173,6 +173,97 @@ def test_lm_scores_equal_a_plain_sum(spark, odd, monkeypatch, dictionary):
     assert np.allclose([b for _, b in got], [b for _, b in want], rtol=1e-4, atol=1e-3)
 
 
+def test_the_model_is_trained_on_every_token(spark, monkeypatch):
+    rows = [(i, f"w{i % 7} w{i % 5} w{i % 3}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+
+    def counted(train, model, v, shape, number):
+        # Symbols are stored in two bytes each, four of them a document.
+        seen.append(train.selectExpr("sum(octet_length(symbols)) / 2").first()[0])
+        return model
+
+    monkeypatch.setattr(lm, "train_round", counted)
+    assert lm.lm_scores(docs).count() == 400
+    assert sum(seen) == 4 * sum(not held_out(i) for i, _ in rows)
+
+
+@pytest.mark.parametrize("batch", [1, 7, 1000])
+def test_a_step_follows_the_gradient(batch):
+    """Steps on consecutive tokens against the same sums made token by token."""
+    rng = np.random.default_rng(6)
+    v = vocabulary(30, 2, rng)
+    shape = lm.Shape(width=4, block_noise=3, word_noise=2, batch=batch)
+    texts = [rng.integers(0, v.size, n) for n in (1, 2, 9, 140)]
+    starts = np.cumsum([0] + [len(x) for x in texts[:-1]])
+    sym = np.concatenate(texts)
+    one, two = lm.contexts(sym, starts, v.start)
+    trainer = lm.Trainer(lm.Model.fresh(v, 4), v, shape, 3)
+    moved: list[dict] = []
+
+    def move(table, rows, gradient):
+        if not moved or table in moved[-1]:
+            moved.append({})
+        full = np.zeros(trainer.tables[table].shape)
+        full[rows] = gradient
+        moved[-1][table] = full
+
+    trainer._move = move
+    draws = trainer.rng = Recorded(4)
+    trainer.learn(texts)
+    assert len(moved) == -(-len(sym) // batch)
+    draws.again()
+    t = {k: x.astype(float) for k, x in trainer.tables.items()}
+    width = 4
+    for number, got in enumerate(moved):
+        at = range(number * batch, min(len(sym), (number + 1) * batch))
+        want = {k: np.zeros(x.shape) for k, x in t.items()}
+        block_noise = np.searchsorted(trainer.block_upto, draws.random(3)).clip(0, v.blocks - 1)
+        by_block = {}
+        for i in at:
+            by_block.setdefault(int(v.block[sym[i]]), []).append(i)
+        groups = []
+        for b in sorted(by_block):
+            mine = sorted(by_block[b], key=lambda i: (sym[i], i))
+            groups += [(b, mine[i : i + lm.GROUP]) for i in range(0, len(mine), lm.GROUP)]
+        drawn = draws.random((len(groups), 2))
+        for (b, mine), d in zip(groups, drawn):
+            low, high = v.first[b], v.first[b + 1]
+            noise = (np.searchsorted(v.upto, v.upto[low] + d * (v.upto[high] - v.upto[low]), side="right") - 1).clip(low, high - 1)
+            for i in mine:
+                e = np.concatenate([t["before"][one[i]], t["before"][two[i]]])
+                q = e @ t["places"]
+                back = np.zeros(width)
+                for vectors, bias, word, others, offset in (
+                    ("block", "block_bias", b, block_noise, trainer.block_offset),
+                    ("after", "bias", sym[i], noise, trainer.word_offset),
+                ):
+                    for w, data in [(word, 1), *[(o, 0) for o in others]]:
+                        off = data - 1 / (1 + np.exp(-(q @ t[vectors][w] + t[bias][w, 0] - offset[w])))
+                        want[vectors][w] += off * q
+                        want[bias][w] += off
+                        back += off * t[vectors][w]
+                want["places"] += np.outer(e, back)
+                want["before"][one[i]] += t["places"][:width] @ back
+                want["before"][two[i]] += t["places"][width:] @ back
+        for k in want:
+            assert np.allclose(got[k], want[k], rtol=1e-3, atol=1e-4), k
+
+
+class Recorded:
+    """Random numbers that can be had again."""
+
+    def __init__(self, seed: int) -> None:
+        self.seed = seed
+        self.again()
+
+    def again(self) -> None:
+        self.rng = np.random.default_rng(self.seed)
+
+    def random(self, shape):
+        return self.rng.random(shape)
+
+
 def test_lm_beats_the_base_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = lm.lm_scores(docs, shape=lm.Shape(share=1)).filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()

@@ -14,12 +14,14 @@ for the frequent words, and a word's probability is that of its block times its
 the block: two log-bilinear models, each normalised exactly by batched matrix products, one of all contexts
 with the blocks, one of the contexts of a block's words with that block.
 
+Texts become symbols in one pass that writes them down; training and scoring read those.
+
 Training is numpy with noise-contrastive estimation at both levels, inside the tasks that read the
-training texts. Counts, shares and the vocabulary come from all tokens. The steps are taken on
-``share`` of the training documents, dealt to ``rounds`` rounds by a hash, so draws grow in proportion
-to the corpus. A round has one shard for about ``shard_tokens`` tokens; each trains a copy, and what
-comes back is summed by row of the model: the change of a row is averaged with the weight of the
-gradient it saw.
+symbols. Counts, shares and the vocabulary come from all tokens, and so do the steps: every training
+document is dealt to one of ``rounds`` rounds by a hash, and each of its tokens takes part in one step. A
+round has one shard for about ``shard_tokens`` tokens; each trains a copy, and what comes back is summed
+by row of the model: the change of a row is averaged with the weight of the gradient it saw. A step takes
+``batch`` consecutive tokens, up to four times as many in a large corpus.
 
 Null and empty texts are an end token alone. A null id counts as the empty text when folds are
 made. Repeated documents each get their row; an empty table gives no rows. Other columns are
@@ -28,10 +30,11 @@ ignored.
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import repeat
 
 import numpy as np
@@ -42,7 +45,7 @@ from pyspark.sql import functions as F
 
 from weirgate.llm.common import fold, let_go, map_batches, numbered
 from weirgate.llm.frequencies import DICTIONARY, frequent, word_counts
-from weirgate.session import cut_lineage
+from weirgate.session import CLEAN_SHUFFLES, cut_lineage, setting
 
 #: Stands for the end token among words; no word holds a line end.
 END = b"\n"
@@ -52,6 +55,10 @@ CHUNK = 1 << 16
 #: Multiplications of one matrix product: few enough that the library stays on the task's own core, as
 #: threads of its own would compete with the other tasks.
 PRODUCT = 1 << 18
+#: Scores that are worked on together.
+CACHED = 1 << 17
+#: Tokens of a block that share their noise words in a step.
+GROUP = 64
 
 
 @dataclass(frozen=True)
@@ -63,10 +70,10 @@ class Shape:
     rare: int = 256
     width: int = 16
     block_noise: int = 32
-    word_noise: int = 4
+    word_noise: int = 16
     rounds: int = 2
-    share: float = 1 / 4
-    shard_tokens: int = 2_000_000
+    share: float = 1
+    shard_tokens: int = 4_000_000
     batch: int = 4096
     rate: float = 0.1
 
@@ -98,6 +105,17 @@ class Vocabulary:
         self.upto = np.concatenate([[0.0], np.cumsum(count)])
         self.block_p, self.word_p = total / total.sum(), count / total[self.block]
 
+    def bare(self) -> Vocabulary:
+        """The same without the words, for tasks that work on symbols."""
+        out = copy.copy(self)
+        out.symbol = {}
+        return out
+
+    @property
+    def stored(self) -> str:
+        """How symbols are written down."""
+        return "<u2" if self.size <= 1 << 16 else "<u4"
+
     @property
     def blocks(self) -> int:
         return len(self.block_p)
@@ -179,28 +197,50 @@ def _log_softmax(query: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick:
     # Where no score can get large, exponentials are safe as they are.
     small = longest * float(np.sqrt((vectors * vectors).sum(axis=1).max())) + float(np.abs(bias).max()) < 60
     rows = max(1, PRODUCT // vectors.size)
-    number = np.arange(rows)
-    for i in range(0, len(query), rows):
-        z = query[i : i + rows] @ turned
+    # What is not a product works on all that a core's cache holds.
+    many = rows * max(1, CACHED // (rows * len(vectors)))
+    number, ones = np.arange(many), np.ones(len(vectors), np.float32)
+    scores = np.empty((min(many, len(query)), len(vectors)), np.float32)
+    for i in range(0, len(query), many):
+        some = query[i : i + many]
+        z = scores[: len(some)]
+        for j in range(0, len(some), rows):
+            np.matmul(some[j : j + rows], turned, out=z[j : j + rows])
         z += bias
         if not small:
             z -= z.max(axis=1, keepdims=True)
-        got = z[number[: len(z)], pick[i : i + rows]]
-        out[i : i + rows] = got - np.log(np.exp(z, out=z).sum(axis=1))
+        got = z[number[: len(z)], pick[i : i + many]]
+        np.exp(z, out=z)
+        out[i : i + many] = got - np.log(z @ ones)
     return out
 
 
+def _sorting(index: np.ndarray, size: int) -> np.ndarray:
+    """Order of the numbers below ``size``; sixteen bits are sorted by radix."""
+    return np.argsort(index.astype(np.uint16) if size <= 1 << 16 else index, kind="stable")
+
+
+def _changes(rows: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin."""
+    return np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+
+
 def _by_row(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the values of equal rows."""
-    order = np.argsort(index.astype(np.uint16) if index.max() < 1 << 16 else index, kind="stable")
+    order = _sorting(index, int(index.max()) + 1)
     rows = index[order]
-    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    first = _changes(rows)
     return rows[first], np.add.reduceat(values[order], first, axis=0)
 
 
 def _errors(true: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How far the classifier of data against noise is off: for the words, and for the noise."""
-    return 1 / (1 + np.exp(true.clip(-30, 30))), -1 / (1 + np.exp(-noise.clip(-30, 30)))
+    """How far the classifier of data against noise is off: for the words, and for the noise, in its own place."""
+    with np.errstate(over="ignore"):  # 1 / infinity is what it should be
+        np.negative(noise, out=noise)
+        np.exp(noise, out=noise)
+        noise += 1
+        np.divide(-1, noise, out=noise)
+        return 1 / (1 + np.exp(true)), noise
 
 
 class Trainer:
@@ -216,54 +256,88 @@ class Trainer:
         self.word_offset = np.log(shape.word_noise * v.word_p).astype(np.float32)
 
     def _move(self, table: str, rows, gradient: np.ndarray) -> None:
-        past = self.past[table]
-        past[rows] += gradient * gradient
-        self.tables[table][rows] += self.shape.rate * gradient / np.sqrt(past[rows])
-
-    def step(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> None:
-        t, v, n, k = self.tables, self.v, len(word), self.shape.word_noise
-        e1, e2 = t["before"][one], t["before"][two]
-        query = self.model.query(one, two)
-        # Blocks: one set of noise blocks serves the whole batch, so scores are matrix products.
+        past = self.past[table][rows]
+        past += gradient * gradient
+        self.past[table][rows] = past
+        self.tables[table][rows] += self.shape.rate * gradient / np.sqrt(past)
+
+    def step(self, sym: np.ndarray, starts: np.ndarray, ahead: np.ndarray) -> None:
+        """One step on consecutive tokens; texts begin at ``starts``, and ``ahead`` are the two symbols before them."""
+        t, v, n, k = self.tables, self.v, len(sym), self.shape.word_noise
+        # Each token's context vector is read once and serves the two tokens that follow.
+        row = np.concatenate([ahead, sym])
+        vectors = t["before"][row]
+        width = vectors.shape[1]
+        near = np.hstack([vectors[1:-1], vectors[:-2]])
+        second = np.setdiff1d(starts + 1, np.append(starts, n))  # a text may be one token
+        near[starts, :width] = near[starts, width:] = near[second, width:] = t["before"][v.start]
+        # Sorted by word: tokens of a word and of a block lie together.
+        order = _sorting(sym, v.size)
+        word, near = sym[order], near[order]
+        query = product(near, t["places"])
+        # Blocks: one set of noise blocks serves the whole step, so scores are matrix products.
         block = v.block[word]
+        first_word, first = _changes(word), _changes(block)
+        words, blocks, size = word[first_word], block[first], np.diff(first, append=n)
         drawn = np.searchsorted(self.block_upto, self.rng.random(self.shape.block_noise)).clip(0, v.blocks - 1)
         bias = t["block_bias"][:, 0] - self.block_offset
-        true, noise = _errors((query * t["block"][block]).sum(axis=1) + bias[block], product(query, t["block"][drawn].T) + bias[drawn])
-        back = true[:, None] * t["block"][block] + product(noise, t["block"][drawn])
-        for_blocks = _by_row(
-            np.concatenate([block, drawn]),
-            np.vstack([np.column_stack([true[:, None] * query, true]), np.column_stack([inner(noise, query), noise.sum(axis=0)])]),
-        )
-        # Words: noise words come from the word's own block, by frequency.
-        low, high = v.first[block], v.first[block + 1]
-        at = v.upto[low][:, None] + self.rng.random((n, k)) * (v.upto[high] - v.upto[low])[:, None]
+        vectors = t["block"][block]
+        true, noise = _errors(np.einsum("bd,bd->b", query, vectors) + bias[block], product(query, t["block"][drawn].T) + bias[drawn])
+        back = product(noise, t["block"][drawn])
+        vectors *= true[:, None]
+        back += vectors
+        pulled = np.add.reduceat(np.column_stack([query * true[:, None], true]), first, axis=0)
+        for_blocks = _by_row(np.concatenate([blocks, drawn]), np.vstack([pulled, np.column_stack([inner(noise, query), noise.sum(axis=0)])]))
+        # Words: noise words come from the block, by frequency, and serve ``GROUP`` tokens of it.
+        groups = -(-size // GROUP)
+        place = np.arange(n) + np.repeat((np.cumsum(groups) - groups) * GROUP - first, size)
+        of = np.repeat(blocks, groups)
+        low, high = v.first[of], v.first[of + 1]
+        at = v.upto[low][:, None] + self.rng.random((len(of), k)) * (v.upto[high] - v.upto[low])[:, None]
         others = (np.searchsorted(v.upto, at, side="right") - 1).clip(low[:, None], high[:, None] - 1)
         bias = t["bias"][:, 0] - self.word_offset
-        vectors = t["after"][others]
-        true, noise = _errors((query * t["after"][word]).sum(axis=1) + bias[word], np.einsum("bd,bkd->bk", query, vectors) + bias[others])
-        back += true[:, None] * t["after"][word] + np.einsum("bk,bkd->bd", noise, vectors)
-        pull = np.empty((n, k + 1, query.shape[1] + 1), np.float32)
-        pull[:, 0, :-1], pull[:, 0, -1] = true[:, None] * query, true
-        pull[:, 1:, :-1], pull[:, 1:, -1] = noise[:, :, None] * query[:, None, :], noise
-        for_words = _by_row(np.column_stack([word, others]).ravel(), pull.reshape(n * (k + 1), -1))
-        width = query.shape[1]
-        first, second = t["places"][:width], t["places"][width:]
-        for_contexts = _by_row(np.concatenate([one, two]), np.vstack([product(back, first.T), product(back, second.T)]))
-        self._move("places", slice(None), np.vstack([inner(e1, back), inner(e2, back)]))
+        laid = np.zeros((len(of) * GROUP, width + 1), np.float32)
+        laid[place, :width] = query
+        laid[place, width] = 1  # places that no token takes are zeros and pull nothing
+        laid = laid.reshape(len(of), GROUP, width + 1)
+        against = np.concatenate([t["after"][others], bias[others][:, :, None]], axis=2)
+        vectors = t["after"][word]
+        true, noise = _errors(np.einsum("bd,bd->b", query, vectors) + bias[word], laid @ against.transpose(0, 2, 1))
+        back += (noise @ against[:, :, :width]).reshape(-1, width)[place]
+        vectors *= true[:, None]
+        back += vectors
+        pulled = np.empty((n, 2 * width + 1), np.float32)
+        np.multiply(query, true[:, None], out=pulled[:, :width])
+        pulled[:, width] = true
+        # What a token pulls on its own context vector comes from the two after it.
+        in_text = np.empty_like(back)
+        in_text[order] = back
+        one, two = product(in_text, t["places"][:width].T), product(in_text, t["places"][width:].T)
+        at_start = one[starts].sum(axis=0) + two[starts].sum(axis=0) + two[second].sum(axis=0)
+        one[starts] = two[starts] = two[second] = 0
+        pull = np.zeros((n + 2, width), np.float32)
+        pull[1:-1] += one
+        pull[:-2] += two
+        np.take(pull[2:], order, axis=0, out=pulled[:, width + 1 :])
+        pulled = np.add.reduceat(pulled, first_word, axis=0)
+        for_contexts = _by_row(np.concatenate([words, ahead, [v.start]]), np.vstack([pulled[:, width + 1 :], pull[:2], at_start]))
+        for_words = _by_row(
+            np.concatenate([words, others.ravel()]), np.vstack([pulled[:, : width + 1], (noise.transpose(0, 2, 1) @ laid).reshape(-1, width + 1)])
+        )
+        self._move("places", slice(None), inner(near, back))
         for table, (rows, gradient) in (("block", for_blocks), ("after", for_words)):
             self._move(table, rows, gradient[:, :-1])
             self._move("bias" if table == "after" else "block_bias", rows, gradient[:, -1:])
         self._move("before", *for_contexts)
 
     def learn(self, texts: list[np.ndarray]) -> None:
-        """One pass over the tokens of some texts, in random order."""
+        """One pass over some texts, laid end to end."""
         starts = np.cumsum([0] + [len(x) for x in texts[:-1]])
-        sym = np.concatenate(texts)
+        sym = np.concatenate(texts).astype(np.int64, copy=False)
         one, two = contexts(sym, starts, self.v.start)
-        order = self.rng.permutation(len(sym))
         for i in range(0, len(sym), self.shape.batch):
-            some = order[i : i + self.shape.batch]
-            self.step(one[some], two[some], sym[some])
+            mine = starts[np.searchsorted(starts, i) : np.searchsorted(starts, i + self.shape.batch)] - i
+            self.step(sym[i : i + self.shape.batch], mine, np.array([two[i], one[i]]))
 
     def changes(self, model: Model) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each table: the rows that moved, the gradient they saw, and their change times that."""
@@ -274,19 +348,10 @@ class Trainer:
             yield number, rows, seen[rows], change * seen[rows, None]
 
 
-def symbols_of(words: list[bytes], v: Vocabulary) -> np.ndarray:
-    """Symbols of a text's words and its end."""
-    rare = len(v.rare_symbol)
-    out = np.fromiter(map(v.symbol.get, words, repeat(-1)), np.int64, len(words))
-    places = np.flatnonzero(out < 0)
-    if len(places):
-        out[places] = v.rare_symbol[[ending(words[i], rare) for i in places.tolist()]]
-    return np.append(out, v.end)
-
-
 def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, number: int) -> Model:
     """The model after each shard trained a copy on its texts; what comes back has one row for each row of the model."""
-    shared = train.sparkSession.sparkContext.broadcast((model, v))
+    spark = train.sparkSession
+    shared = spark.sparkContext.broadcast((model, v.bare()))
     width = shape.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +360,8 @@ def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, num
         trainer = Trainer(model, v, shape, 1000 * number + TaskContext.get().partitionId())
         held, total = [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.append(symbols_of(text.lower().split(), v))
+            for symbols in batch.column("symbols").to_pylist():
+                held.append(np.frombuffer(symbols, v.stored))
                 total += len(held[-1])
                 if total >= CHUNK:
                     trainer.learn(held)
@@ -304,16 +369,17 @@ def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, num
         if held:
             trainer.learn(held)
         for kind, rows, seen, change in trainer.changes(model):
-            full = np.zeros((len(rows), width))
+            full = np.zeros((len(rows), width), np.float32)
             full[:, : change.shape[1]] = change
             arrays = [np.full(len(rows), kind, np.int32), rows.astype(np.int32), seen, *full.T]
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in arrays], names)
 
     names = ["kind", "row", "seen", *[f"d{i}" for i in range(width)]]
-    schema = ", ".join(["kind int", "row int", "seen double", *[f"d{i} double" for i in range(width)]])
-    sums = train.select("text").mapInArrow(run, schema).groupBy("kind", "row").agg(*[F.sum(c).alias(c) for c in names[2:]])
+    schema = ", ".join(["kind int", "row int", "seen double", *[f"d{i} float" for i in range(width)]])
+    sums = train.select("symbols").mapInArrow(run, schema).groupBy("kind", "row").agg(*[F.sum(c).alias(c) for c in names[2:]])
     # Bounded by the vocabulary, which the dictionary bounds.
-    got = sums.toArrow()
+    with setting(spark, CLEAN_SHUFFLES, "true"):
+        got = sums.toArrow()
     kind, row, seen = (got.column(c).to_numpy() for c in names[:3])
     change = np.column_stack([got.column(c).to_numpy() for c in names[3:]]) / seen[:, None] if len(seen) else np.zeros((0, width))
     tables = {}
@@ -321,14 +387,17 @@ def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, num
         tables[name] = model.tables[name].copy()
         mine = kind == i
         tables[name][row[mine]] += change[mine][:, : tables[name].shape[1]].astype(np.float32)
+    shared.destroy()
     return Model(tables)
 
 
 def train_model(train: DataFrame, tokens: int, v: Vocabulary, shape: Shape) -> Model:
-    """``train`` has ``part``, a number below a million dealt by hash, and ``text``."""
+    """``train`` has ``part``, a number below a million dealt by hash, and ``symbols`` of each training text."""
     model = Model.fresh(v, shape.width)
     step = shape.share / shape.rounds
     shards = max(1, int(tokens * step) // shape.shard_tokens)
+    # The number of steps stops growing at some thousands, their size goes on.
+    shape = replace(shape, batch=min(4 * shape.batch, max(shape.batch, tokens >> 12)))
     for number in range(shape.rounds):
         mine = F.col("part").between(int(1e6 * step * number), int(1e6 * step * (number + 1)) - 1)
         model = train_round(train.filter(mine).coalesce(shards), model, v, shape, number)
@@ -343,12 +412,11 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
         "doc_id",
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
         (fold("doc_id", fold_parts) == 0).alias("held_out"),
-    )
+    ).withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)).cast("int"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    train = docs.filter(~F.col("held_out")).select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)).alias("part"))
 
     # Every training text adds its words and one end.
-    counts = cut_lineage(word_counts(train, _with_end))
+    counts = cut_lineage(word_counts(docs.filter(~F.col("held_out")).select("text"), _with_end))
     ends = F.sum(F.when(F.col("word") == F.lit(bytearray(END)), F.col("n")))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), ends).first()
     common = {bytes(r["word"]): r["n"] for r in frequent(counts, dictionary).toLocalIterator()}
@@ -361,7 +429,6 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
     # Tokens and distinct words of each rare symbol.
     rare_n, rare_v = _rare_totals(counts, sc.broadcast(chosen), shape)
     v = Vocabulary({w: n or SMOOTHING for w, n in chosen.items()}, rare_n)
-    model = train_model(train, total, v, shape) if total else Model.fresh(v, shape.width)
     floor = total + SMOOTHING * (distinct + 1)
     rare_floor = rare_n + SMOOTHING * (rare_v + 1)
     order = sorted(common)
@@ -375,33 +442,16 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
     if len(n):
         symbol[is_rare] = v.rare_symbol[rare_of[is_rare]]
         share[is_rare] = np.log10((n[is_rare] + SMOOTHING) / rare_floor[rare_of[is_rare]])
-    v.symbol = {}  # the index has every word's symbol
-    given = sc.broadcast((index, symbol, base, share, model, v))
+    given = sc.broadcast((index, symbol, base, share, v.bare()))
     end_base = float(np.log10((common.get(END, 0) + SMOOTHING) / floor))
     end_known = END in common
 
     def work(batch: pa.RecordBatch):
-        index, symbol, base, share, model, v = given.value
+        index, symbol, base, share, v = given.value
         get = index.get
         texts, rows = batch.column("text").to_pylist(), batch.column("row").to_pylist()
-        n_tokens, n_known, base_sum, score_sum = [], [], [], []
+        symbols, n_tokens, n_known, base_sum, score_sum = [], [], [], [], []
         word, row, freq, ends = [], [], [], []
-        held: list[np.ndarray] = []
-
-        def scored() -> None:
-            """Adds the model's log-probabilities of the texts at hand."""
-            starts = np.cumsum([0] + [len(x) for x in held[:-1]])
-            sym = np.concatenate(held)
-            one, two = contexts(sym, starts, v.start)
-            # A very long text goes through in pieces, its contexts known.
-            log = [model.log_probability(v, one[i : i + CHUNK], two[i : i + CHUNK], sym[i : i + CHUNK]) for i in range(0, len(sym), CHUNK)]
-            sums = np.add.reduceat(np.concatenate(log).astype(np.float64), starts) / np.log(10)
-            at = len(score_sum) - len(held)
-            for i, x in enumerate(sums.tolist()):
-                score_sum[at + i] += x
-            held.clear()
-
-        total = 0
         for r, text in zip(rows, texts):
             words = text.lower().split()
             at = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
@@ -418,40 +468,41 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
                     row.append(r)
                     freq.append(f)
                     ends.append(ending(w, shape.rare))
+            symbols.append(sym.astype(v.stored).tobytes())
             n_tokens.append(len(sym))
             n_known.append(int(known.sum()) + end_known)
             base_sum.append(float(base[at[known]].sum()) + end_base)
             score_sum.append(float(share[at[known]].sum()))
-            held.append(sym)
-            total += len(sym)
-            if total >= CHUNK:
-                scored()
-                total = 0
-        if held:
-            scored()
         k, m = len(rows), len(word)
         yield pa.RecordBatch.from_arrays(
-            # A document's own row has a word that no text holds, so it joins with nothing.
-            [pa.array([b" %d" % r for r in rows]), batch.column("row"), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), batch.column("doc_id"), batch.column("held_out"),
-             pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_sum), pa.array(score_sum)], names)
+            [pa.nulls(k, pa.binary()), batch.column("row"), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), batch.column("doc_id"), batch.column("held_out"), batch.column("part"),
+             pa.array(symbols, pa.binary()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_sum), pa.array(score_sum)], names)
         yield pa.RecordBatch.from_arrays(
             [pa.array(word, pa.binary()), pa.array(row, pa.int64()), pa.array(freq, pa.int64()), pa.array(ends, pa.int32()), pa.nulls(m, batch.column("doc_id").type), pa.nulls(m, pa.bool_()),
-             pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
+             pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
 
-    names = ["word", "row", "freq", "ending", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
-    parts = map_batches(
+    # Rows of documents with their symbols, and rows of the words that the dictionary lacks.
+    names = ["word", "row", "freq", "ending", "doc_id", "held_out", "part", "symbols", "n_tokens", "n_known", "base", "score"]
+    parts = cut_lineage(map_batches(
         numbered(docs), work,
-        f"word binary, row long, freq long, ending int, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double",
-    )
+        f"word binary, row long, freq long, ending int, doc_id {kind}, held_out boolean, part int, symbols binary, n_tokens long, n_known long, base double, score double",
+    ))
+    read = parts.filter(F.col("symbols").isNotNull())
+    train = read.filter(~F.col("held_out")).select("part", "symbols")
+    model = train_model(train, total, v, shape) if total else Model.fresh(v, shape.width)
+    scored = _model_scores(read.select(*SCORED, "symbols"), model, v)
     c = F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTHING)
     floors = F.array(*[F.lit(float(x)) for x in rare_floor])
-    joined = parts.join(counts, "word", "left").select(
-        "row", "doc_id", "held_out", "n_tokens",
-        F.when(F.col("freq").isNull(), F.col("n_known")).when(F.col("n").isNotNull(), F.col("freq")).otherwise(0).alias("n_known"),
-        F.coalesce("base", F.col("freq") * F.log10(c / F.lit(float(floor)))).alias("base"),
-        F.coalesce("score", F.col("freq") * F.log10(c / F.get(floors, F.col("ending")))).alias("score"),
+    looked_up = parts.filter(F.col("word").isNotNull()).select("word", "row", "freq", "ending").join(counts, "word", "left").select(
+        "row",
+        F.lit(None).cast(kind).alias("doc_id"),
+        F.lit(None).cast("boolean").alias("held_out"),
+        F.lit(None).cast("long").alias("n_tokens"),
+        F.when(F.col("n").isNotNull(), F.col("freq")).otherwise(0).alias("n_known"),
+        (F.col("freq") * F.log10(c / F.lit(float(floor)))).alias("base"),
+        (F.col("freq") * F.log10(c / F.get(floors, F.col("ending")))).alias("score"),
     )
-    return joined.groupBy("row").agg(
+    return scored.union(looked_up).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
@@ -462,6 +513,36 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
     ).drop("row")
 
 
+#: What is known of a document before the model's own part is added to its score.
+SCORED = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
+
+
+def _model_scores(read: DataFrame, model: Model, v: Vocabulary) -> DataFrame:
+    """Adds the model's log-probabilities of the ``symbols`` to ``score``."""
+    given = read.sparkSession.sparkContext.broadcast((model, v.bare()))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        model, v = given.value
+        texts = [np.frombuffer(x, v.stored) for x in batch.column("symbols").to_pylist()]
+        sums: list[float] = []
+        while len(sums) < len(texts):
+            low, total = len(sums), 0
+            high = low
+            while high < len(texts) and total < CHUNK:
+                total += len(texts[high])
+                high += 1
+            starts = np.cumsum([0] + [len(x) for x in texts[low : high - 1]])
+            sym = np.concatenate(texts[low:high]).astype(np.int64)
+            one, two = contexts(sym, starts, v.start)
+            # A very long text goes through in pieces, its contexts known.
+            log = [model.log_probability(v, one[i : i + CHUNK], two[i : i + CHUNK], sym[i : i + CHUNK]) for i in range(0, len(sym), CHUNK)]
+            sums += (np.add.reduceat(np.concatenate(log).astype(np.float64), starts) / np.log(10)).tolist()
+        score = pa.array(np.array(sums) + batch.column("score").to_numpy(zero_copy_only=False))
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in SCORED[:-1]], score], SCORED)
+
+    return map_batches(read, work, read.select(*SCORED).schema)
+
+
 def _with_end(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
