@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weirgate.llm import language_model as lm
+from weirgate.llm import token_output as token_files
 from weirgate.llm.token_counts import load, pretokens, token_counts
 from weirgate.llm.token_output import Encoder, encode, token_output, write_orc
 
@@ -35,6 +36,20 @@ def test_encoder_equals_the_library():
     assert e.ids(texts) == [array("I", x.ids).tobytes() for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_rare_words_are_remembered_within_the_bound(monkeypatch):
+    e, calls = Encoder(), []
+    tokenize = e.known.tokenize
+    e.known.tokenize = lambda piece: calls.append(piece) or tokenize(piece)
+    texts = [" ".join(f"{k:x}".translate({i + 48: 103 + i for i in range(10)}) for k in range(i, i + 500)) for i in range(16**4, 16**4 + 200_000, 500)]
+    e.ids(texts)
+    once = len(calls)
+    e.ids(texts)
+    assert once > 190_000 and len(calls) == once
+    monkeypatch.setattr(token_files, "REMEMBERED", 2000 * token_files.ENTRY)
+    e.ids(texts[:20])
+    assert len(e.known) + len(e.known.older) <= 2000 + 2 * 500
+
+
 def test_pretokens_add_up_to_the_library():
     tokenizer, special = load("word_bpe_49k.json")
     for text in odd_texts(4000):

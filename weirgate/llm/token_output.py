@@ -27,8 +27,10 @@ from weirgate.session import cut_lineage, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Remembered pre-tokens per worker, in two halves: the older one goes when the newer one is full.
-REMEMBERED = 300_000
+#: Bytes of remembered pre-tokens per worker, in two halves: the older one goes when the newer one is full.
+REMEMBERED = 160 << 20
+#: Bytes that an entry takes besides its characters and ids.
+ENTRY = 160
 #: Characters of the longest pre-token that is remembered.
 LONGEST = 64
 # White space among the characters of SIMPLE.
@@ -67,6 +69,7 @@ class _Known(dict):
         super().__init__()
         self.tokenize = tokenizer.model.tokenize
         self.older: dict[str, bytes] = {}
+        self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
@@ -74,12 +77,14 @@ class _Known(dict):
             ids = array("I", [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]).tobytes()
         if len(piece) <= LONGEST:
             self[piece] = ids
+            self.bytes += len(piece) + len(ids) + ENTRY
         return ids
 
     def age(self) -> None:
         """What was not asked for since the last time is forgotten; frequent pieces stay."""
         self.older = dict(self)
         self.clear()
+        self.bytes = 0
 
 
 class Encoder:
@@ -101,7 +106,7 @@ class Encoder:
                 out.append(b"".join(map(get, PIECE.findall(t))))
             else:
                 out += self.whole([t])
-            if len(self.known) > REMEMBERED // 2:
+            if self.known.bytes > REMEMBERED // 2:
                 self.known.age()
         return out
 
