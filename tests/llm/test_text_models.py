@@ -103,6 +103,30 @@ def test_languages(spark, odd):
     assert {r["lang_pred"] for r in li.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_the_language_model_is_fitted_in_tasks(spark, monkeypatch):
+    rows = [(i, f"the house of {chr(97 + i % 26)}{i} été", "en") for i in range(60)] + [(100 + i, f"la maison {i} d'été", "fr") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    bags = Counter((w, lang) for _, text, lang in rows for w in li.letter_words(text))
+    words, pieces = sorted({w for w, _ in bags}), li.Pieces()
+    weights = np.array([[bags[w, lang] for lang in ("en", "fr")] for w in words], float)
+    want = li._smoothed(np.array([[2.0 ** -len(p)] * 2 for p in pieces.pieces]))
+    for _ in range(3):
+        into = np.zeros((len(pieces.pieces), 2))
+        for at, chars in li.grouped(words):
+            li.expected(li.found(pieces, chars), want, chars.shape[1], weights[at], into)
+        want = li._smoothed(into)
+
+    def refused(*_):
+        raise AssertionError("pieces belong to the tasks")
+
+    monkeypatch.setattr(li, "Pieces", refused)
+    got = li.fit(docs, F.lit(True))
+    assert got.names == ["en", "fr"] and np.allclose(got.probability, want)
+    monkeypatch.undo()
+    none = docs.withColumn("text", F.lit("12"))
+    assert li.fit(none, F.lit(True)).probability.shape == want.shape
+
+
 def test_quality_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

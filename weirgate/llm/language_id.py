@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import fold, held, map_batches
+from weirgate.llm.common import fold, held, let_go, map_batches
+from weirgate.session import CLEAN_SHUFFLES, cut_lineage, setting
 
 VOCABULARY = "piece_bpe_32k.model"
 PER_LANGUAGE = 500
@@ -211,8 +213,45 @@ def _smoothed(counts: np.ndarray) -> np.ndarray:
     return np.vstack([p, np.zeros(p.shape[1])])
 
 
+def _expectation(counts: DataFrame, probability: np.ndarray | None, languages: int, vocabulary: str) -> np.ndarray:
+    """Expected piece counts by language over all words; without ``probability`` shorter pieces start likelier.
+
+    The driver gets one number for each piece and language, never words.
+    """
+    spark = counts.sparkSession
+    shared = spark.sparkContext.broadcast(probability)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(but="pieces")
+        yield _expected_rows(batches, shared.value, languages, vocabulary)
+
+    sums = counts.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
+    with setting(spark, CLEAN_SHUFFLES, "true"):
+        got = sums.toArrow()
+    shared.destroy()
+    piece, lang, n = (got.column(c).to_numpy() for c in ("piece", "lang", "n"))
+    # Each task names the number of pieces by a row of its own.
+    into = np.zeros(((int(piece.max()) if len(piece) else len(Pieces(vocabulary).pieces)) + 1, languages))
+    into[piece, lang] = n
+    return into[:-1]
+
+
+def _expected_rows(batches: Iterator[pa.RecordBatch], probability: np.ndarray | None, languages: int, vocabulary: str) -> pa.RecordBatch:
+    pieces = held("pieces", vocabulary, lambda: Pieces(vocabulary))
+    if probability is None:
+        probability = _smoothed(np.array([[2.0 ** -len(p)] * languages for p in pieces.pieces]))
+    into = np.zeros((len(pieces.pieces), languages))
+    for batch in batches:
+        weights = np.asarray(batch.column("weights").flatten()).reshape(-1, languages)
+        for at, chars in grouped(batch.column("word").to_pylist()) if batch.num_rows else ():
+            expected(found(pieces, chars), probability, chars.shape[1], weights[at], into)
+    piece, lang = np.nonzero(into)
+    rows = [np.append(piece, len(into)).astype(np.int32), np.append(lang, 0).astype(np.int32), np.append(into[piece, lang], 0.0)]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["piece", "lang", "n"])
+
+
 def fit(docs: DataFrame, train: F.Column, per_language: int = PER_LANGUAGE, rounds: int = 3, vocabulary: str = VOCABULARY) -> Languages:
-    """Piece probabilities from the word counts of a bounded sample of the training rows."""
+    """Piece probabilities from the word counts of a bounded sample of the training rows, fitted in tasks."""
     known = docs.filter(train & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(sizes)
@@ -228,19 +267,14 @@ def fit(docs: DataFrame, train: F.Column, per_language: int = PER_LANGUAGE, roun
         langs, words = zip(*total) if total else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(total.values(), pa.int64())], ["lang", "word", "n"])
 
-    counts = map_batches(known.filter(drawn), work, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
-    words, at = np.unique(counts["word"].to_numpy(str), return_inverse=True) if len(counts) else (np.zeros(0, str), np.zeros(0, int))
-    weights = np.zeros((len(words), len(names)))
-    weights[at, [names.index(x) for x in counts["lang"]]] = counts["n"].to_numpy(float)
-    pieces = Pieces(vocabulary)
-    groups = [(weights[i], found(pieces, chars), chars.shape[1]) for i, chars in grouped(words.tolist())]
-    # Shorter pieces start likelier than longer ones, alike in all languages.
-    start = np.array([[2.0 ** -len(p)] * len(names) for p in pieces.pieces])
-    probability = _smoothed(start)
+    spark = docs.sparkSession
+    by_lang = [F.sum(F.when(F.col("lang") == F.lit(x), F.col("n")).otherwise(F.lit(0))).cast("double") for x in names]
+    rows = map_batches(known.filter(drawn), work, "lang string, word string, n long").groupBy("word").agg(F.array(*by_lang).alias("weights"))
+    # As many parts as there are cores: each round's sums are worked out where the words are.
+    counts = cut_lineage(rows.repartition(spark.sparkContext.defaultParallelism, "word"))
+    probability = None
     for _ in range(rounds):
-        into = np.zeros((len(pieces.pieces), len(names)))
-        for w, spans, n in groups:
-            expected(spans, probability, n, w, into)
+        into = _expectation(counts, probability, len(names), vocabulary)
         probability = _smoothed(into)
     prior = np.array([sizes[n] for n in names], float)
     return Languages(names, np.log(prior / prior.sum()), probability, vocabulary)
