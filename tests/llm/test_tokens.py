@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from odd import frame, odd_rows, text_of
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from weirgate.llm import language_model as lm
 from weirgate.llm import token_output as token_files
+from weirgate.llm.common import slices
 from weirgate.llm.token_counts import load, pretokens, token_counts
 from weirgate.llm.token_output import Encoder, encode, token_output, write_orc
 
@@ -203,6 +205,59 @@ def test_the_model_is_trained_on_every_token(spark, monkeypatch):
     assert sum(seen) == 4 * sum(not held_out(i) for i, _ in rows)
 
 
+def test_tasks_of_a_round_read_more_than_they_return(spark, monkeypatch):
+    """What is shuffled follows the tokens, though shards and symbols both grow with the corpus."""
+    v = vocabulary(5000, 2, np.random.default_rng(2))
+    shape = lm.Shape(width=4, shard_tokens=100_000)
+    tasks = []
+
+    def counted(train, model, v, shape, number):
+        tasks.append(train.rdd.getNumPartitions())
+        return model
+
+    monkeypatch.setattr(lm, "train_round", counted)
+    train = spark.createDataFrame([(0, b"")], "part int, symbols binary").repartition(64)
+    for tokens in (100_000, 400_000, 12_000_000):
+        lm.train_model(train, tokens, v, shape)
+    assert tasks[:2] == [1, 1] and tasks[2:4] == [2, 2]
+    assert all(8 <= n <= 6_000_000 / (100 * v.size) for n in tasks[4:])
+
+
+def test_a_task_adds_up_its_shards(spark):
+    """A round in one task of three shards against the same shards trained alone."""
+    rng = np.random.default_rng(4)
+    v = vocabulary(30, 2, rng)
+    model = lm.Model.fresh(v, 4)
+    shape = lm.Shape(width=4, batch=500, shard_tokens=lm.CHUNK, task_shards=3)
+    texts = [rng.integers(0, v.size, 10_000).astype(v.stored) for _ in range(25)]
+    train = spark.createDataFrame([(0, x.tobytes()) for x in texts], "part int, symbols binary").coalesce(1)
+    got = lm.train_round(train, model, v, shape, 1)
+    # A shard ends with the chunk that fills it, seven texts here; the last one takes what is left.
+    change, seen = dict.fromkeys(lm.TABLES, 0), dict.fromkeys(lm.TABLES, 1e-30)
+    for shard, mine in enumerate([[texts[:7]], [texts[7:14]], [texts[14:21], texts[21:]]]):
+        trainer = lm.Trainer(model, v, shape, [1, 0, shard])
+        for chunk in mine:
+            trainer.learn(chunk)
+        for k in lm.TABLES:
+            weight = (trainer.past[k] - 1e-3).sum(axis=1, keepdims=True)
+            change[k], seen[k] = change[k] + weight * (trainer.tables[k] - model.tables[k]), seen[k] + weight
+    for k in lm.TABLES:
+        assert np.allclose(got.tables[k], model.tables[k] + change[k] / seen[k], rtol=1e-3, atol=1e-4), k
+
+
+def test_words_are_cut_at_ascii_white_space():
+    texts = [b"", b" ", b"\t A\x0bb  B\xc3\x89\x1c\xff \r\n", None, bytes(range(1, 256)), b"a a", "a\u2003B\x85 \u0130".encode(), b"\x00 x"]
+    want = [(i, w) for i, t in enumerate(texts) for w in (t or b"").lower().split()]
+    for column in (pa.array(texts, pa.binary()), pa.array([b"q", *texts], pa.binary()).slice(1)):
+        text, code, distinct = lm.lower_words(column)
+        words = distinct.to_pylist()
+        assert [(int(i), words[c]) for i, c in zip(text, code)] == want
+    for most in (1, 10, 1000):
+        cut = list(slices(column, most))
+        assert pa.concat_arrays([x for _, x in cut]).equals(column) and [len(texts[:low]) for low, _ in cut] == [low for low, _ in cut]
+        assert all(len(x) == 1 or sum(len(t or b"") for t in x.to_pylist()) <= most for _, x in cut)
+
+
 @pytest.mark.parametrize("batch", [1, 7, 1000])
 def test_a_step_follows_the_gradient(batch):
     """Steps on consecutive tokens against the same sums made token by token."""

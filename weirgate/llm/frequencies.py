@@ -9,7 +9,7 @@ word's rows can pile up in one task.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +25,15 @@ HELD = 400_000
 
 def word_counts(texts: DataFrame, words: Callable[[str], Iterable]) -> DataFrame:
     """``word`` and ``n`` over all texts: counted within each task, then combined by one shuffle."""
+
+    def tally(column: pa.Array) -> Iterator[Iterable]:
+        return (words(text) for text in column.to_pylist() if text is not None)
+
+    return tallied(texts, tally)
+
+
+def tallied(texts: DataFrame, tally: Callable[[pa.Array], Iterator[Mapping | Iterable]]) -> DataFrame:
+    """``word`` and ``n`` over all texts; ``tally`` gives words or their counts, of some texts of a batch at a time."""
     kind = texts.schema["text"].dataType.simpleString()
     arrow = pa.binary() if kind == "binary" else pa.string()
 
@@ -37,9 +46,8 @@ def word_counts(texts: DataFrame, words: Callable[[str], Iterable]) -> DataFrame
             return out
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                if text is not None:
-                    total.update(words(text))
+            for some in tally(batch.column("text")):
+                total.update(some)
                 if len(total) > HELD:
                     yield handed()
         yield handed()

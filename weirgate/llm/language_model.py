@@ -20,7 +20,8 @@ Training is numpy with noise-contrastive estimation at both levels, inside the t
 symbols. Counts, shares and the vocabulary come from all tokens, and so do the steps: every training
 document is dealt to one of ``rounds`` rounds by a hash, and each of its tokens takes part in one step. A
 round has one shard for about ``shard_tokens`` tokens; each trains a copy, and what comes back is summed
-by row of the model: the change of a row is averaged with the weight of the gradient it saw. A step takes
+by row of the model: the change of a row is averaged with the weight of the gradient it saw. A task takes so
+many shards, one after the other, that their sums are small beside the tokens it read. A step takes
 ``batch`` consecutive tokens, up to four times as many in a large corpus.
 
 Null and empty texts are an end token alone. A null id counts as the empty text when folds are
@@ -32,19 +33,19 @@ from __future__ import annotations
 
 import copy
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import fold, let_go, map_batches, numbered
-from weirgate.llm.frequencies import DICTIONARY, frequent, word_counts
+from weirgate.llm.common import fold, let_go, map_batches, numbered, slices
+from weirgate.llm.frequencies import DICTIONARY, frequent, tallied
 from weirgate.session import CLEAN_SHUFFLES, cut_lineage, setting
 
 #: Stands for the end token among words; no word holds a line end.
@@ -59,6 +60,12 @@ PRODUCT = 1 << 18
 CACHED = 1 << 17
 #: Tokens of a block that share their noise words in a step.
 GROUP = 64
+#: Bytes of texts that are cut into words together.
+CUT = 4 << 20
+#: A task trains shards until it has read as many tokens as this for each symbol, of which it returns three rows.
+READ = 160
+#: Tasks of a round, where it has as many shards.
+TASKS = 8
 
 
 @dataclass(frozen=True)
@@ -74,6 +81,7 @@ class Shape:
     rounds: int = 2
     share: float = 1
     shard_tokens: int = 4_000_000
+    task_shards: int = 1
     batch: int = 4096
     rate: float = 0.1
 
@@ -168,9 +176,10 @@ class Model:
         """Natural log-probability of each word after its context."""
         t, block = self.tables, v.block[word]
         query = self.query(one, two)
-        longest = float(np.sqrt((query * query).sum(axis=1).max()))
+        longest = float(np.sqrt(np.einsum("bd,bd->b", query, query).max()))
+        query = np.column_stack([query, np.ones(len(query), np.float32)])  # for the bias
         out = _log_softmax(query, t["block"], t["block_bias"][:, 0], block, longest)
-        order = np.argsort(block, kind="stable")
+        order = _sorting(block, v.blocks)
         edge = np.searchsorted(block[order], np.arange(v.blocks + 1))
         for b in np.flatnonzero(np.diff(edge)).tolist():
             at, low, high = order[edge[b] : edge[b + 1]], v.first[b], v.first[b + 1]
@@ -191,12 +200,12 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _log_softmax(query: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick: np.ndarray, longest: float) -> np.ndarray:
-    """Log-probability of one target for each query; ``longest``: no query has a larger norm."""
+    """Log-probability of one target for each query, which ends in a one; ``longest``: no query has a larger norm without it."""
     out = np.empty(len(query), np.float32)
-    turned = np.ascontiguousarray(vectors.T)
+    turned = np.vstack([vectors.T, bias])
     # Where no score can get large, exponentials are safe as they are.
     small = longest * float(np.sqrt((vectors * vectors).sum(axis=1).max())) + float(np.abs(bias).max()) < 60
-    rows = max(1, PRODUCT // vectors.size)
+    rows = max(1, PRODUCT // turned.size)
     # What is not a product works on all that a core's cache holds.
     many = rows * max(1, CACHED // (rows * len(vectors)))
     number, ones = np.arange(many), np.ones(len(vectors), np.float32)
@@ -206,7 +215,6 @@ def _log_softmax(query: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick:
         z = scores[: len(some)]
         for j in range(0, len(some), rows):
             np.matmul(some[j : j + rows], turned, out=z[j : j + rows])
-        z += bias
         if not small:
             z -= z.max(axis=1, keepdims=True)
         got = z[number[: len(z)], pick[i : i + many]]
@@ -225,12 +233,23 @@ def _changes(rows: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
 
 
+def _run_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows that begin at ``first``; most have one row, which is not summed."""
+    size = np.diff(first, append=len(values))
+    out = values[first]
+    longer = size > 1
+    if longer.any():
+        size_of = size[longer]
+        out[longer] = np.add.reduceat(values[np.repeat(longer, size)], np.cumsum(size_of) - size_of, axis=0)
+    return out
+
+
 def _by_row(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the values of equal rows."""
     order = _sorting(index, int(index.max()) + 1)
     rows = index[order]
     first = _changes(rows)
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    return rows[first], _run_sums(values[order], first)
 
 
 def _errors(true: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,7 +338,7 @@ class Trainer:
         pull[1:-1] += one
         pull[:-2] += two
         np.take(pull[2:], order, axis=0, out=pulled[:, width + 1 :])
-        pulled = np.add.reduceat(pulled, first_word, axis=0)
+        pulled = _run_sums(pulled, first_word)
         for_contexts = _by_row(np.concatenate([words, ahead, [v.start]]), np.vstack([pulled[:, width + 1 :], pull[:2], at_start]))
         for_words = _by_row(
             np.concatenate([words, others.ravel()]), np.vstack([pulled[:, : width + 1], (noise.transpose(0, 2, 1) @ laid).reshape(-1, width + 1)])
@@ -348,6 +367,33 @@ class Trainer:
             yield number, rows, seen[rows], change * seen[rows, None]
 
 
+class Sums:
+    """What the shards of a task change, added up: by table, the gradient each row saw and its change times that."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.seen = [np.zeros(len(model.tables[k])) for k in TABLES]
+        self.change = [np.zeros(model.tables[k].shape) for k in TABLES]
+
+    def add(self, trainer: Trainer) -> None:
+        for number, rows, seen, change in trainer.changes(self.model):
+            self.seen[number][rows] += seen
+            self.change[number][rows] += change
+
+    def rows(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        for number, (seen, change) in enumerate(zip(self.seen, self.change)):
+            rows = np.flatnonzero(seen > 0)
+            yield number, rows, seen[rows], change[rows]
+
+
+def dealt(tokens: float, v: Vocabulary, shape: Shape) -> tuple[int, int]:
+    """Tasks of a round of so many tokens, and the shards of each."""
+    shards = max(1, int(tokens) // shape.shard_tokens)
+    together = -(-READ * v.size // shape.shard_tokens)
+    tasks = max(-(-shards // together), min(shards, TASKS))
+    return tasks, -(-shards // tasks)
+
+
 def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, number: int) -> Model:
     """The model after each shard trained a copy on its texts; what comes back has one row for each row of the model."""
     spark = train.sparkSession
@@ -357,18 +403,13 @@ def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, num
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         model, v = shared.value
-        trainer = Trainer(model, v, shape, 1000 * number + TaskContext.get().partitionId())
-        held, total = [], 0
-        for batch in batches:
-            for symbols in batch.column("symbols").to_pylist():
-                held.append(np.frombuffer(symbols, v.stored))
-                total += len(held[-1])
-                if total >= CHUNK:
-                    trainer.learn(held)
-                    held, total = [], 0
-        if held:
-            trainer.learn(held)
-        for kind, rows, seen, change in trainer.changes(model):
+        sums, part = Sums(model), TaskContext.get().partitionId()
+        for shard, texts in enumerate(_shards(batches, v, shape)):
+            trainer = Trainer(model, v, shape, [number, part, shard])
+            for held in texts:
+                trainer.learn(held)
+            sums.add(trainer)
+        for kind, rows, seen, change in sums.rows():
             full = np.zeros((len(rows), width), np.float32)
             full[:, : change.shape[1]] = change
             arrays = [np.full(len(rows), kind, np.int32), rows.astype(np.int32), seen, *full.T]
@@ -391,16 +432,47 @@ def train_round(train: DataFrame, model: Model, v: Vocabulary, shape: Shape, num
     return Model(tables)
 
 
+def _shards(batches: Iterator[pa.RecordBatch], v: Vocabulary, shape: Shape) -> Iterator[Iterator[list[np.ndarray]]]:
+    """The texts of a task, ``CHUNK`` tokens at a time, by shard; the last of its ``task_shards`` has what is left."""
+
+    def chunks() -> Iterator[list[np.ndarray]]:
+        held, total = [], 0
+        for batch in batches:
+            for symbols in batch.column("symbols").to_pylist():
+                held.append(np.frombuffer(symbols, v.stored))
+                total += len(held[-1])
+                if total >= CHUNK:
+                    yield held
+                    held, total = [], 0
+        if held:
+            yield held
+
+    left = chunks()
+
+    def shard(held: list[np.ndarray], last: bool) -> Iterator[list[np.ndarray]]:
+        total = 0
+        while held:
+            yield held
+            total += sum(map(len, held))
+            held = None if total >= shape.shard_tokens and not last else next(left, None)
+
+    for number in range(shape.task_shards):
+        held = next(left, None)
+        if held is None:
+            return
+        yield shard(held, number == shape.task_shards - 1)
+
+
 def train_model(train: DataFrame, tokens: int, v: Vocabulary, shape: Shape) -> Model:
     """``train`` has ``part``, a number below a million dealt by hash, and ``symbols`` of each training text."""
     model = Model.fresh(v, shape.width)
     step = shape.share / shape.rounds
-    shards = max(1, int(tokens * step) // shape.shard_tokens)
+    tasks, each = dealt(tokens * step, v, shape)
     # The number of steps stops growing at some thousands, their size goes on.
-    shape = replace(shape, batch=min(4 * shape.batch, max(shape.batch, tokens >> 12)))
+    shape = replace(shape, batch=min(4 * shape.batch, max(shape.batch, tokens >> 12)), task_shards=each)
     for number in range(shape.rounds):
         mine = F.col("part").between(int(1e6 * step * number), int(1e6 * step * (number + 1)) - 1)
-        model = train_round(train.filter(mine).coalesce(shards), model, v, shape, number)
+        model = train_round(train.filter(mine).coalesce(tasks), model, v, shape, number)
     return model
 
 
@@ -416,7 +488,7 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     # Every training text adds its words and one end.
-    counts = cut_lineage(word_counts(docs.filter(~F.col("held_out")).select("text"), _with_end))
+    counts = cut_lineage(tallied(docs.filter(~F.col("held_out")).select("text"), _with_ends))
     ends = F.sum(F.when(F.col("word") == F.lit(bytearray(END)), F.col("n")))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), ends).first()
     common = {bytes(r["word"]): r["n"] for r in frequent(counts, dictionary).toLocalIterator()}
@@ -442,44 +514,39 @@ def lm_scores(docs: DataFrame, fold_parts: int = 10, shape: Shape = Shape(), dic
     if len(n):
         symbol[is_rare] = v.rare_symbol[rare_of[is_rare]]
         share[is_rare] = np.log10((n[is_rare] + SMOOTHING) / rare_floor[rare_of[is_rare]])
+    # The last place is for words that the dictionary lacks.
+    symbol, base, share = (np.append(x, 0) for x in (symbol, base, share))
     given = sc.broadcast((index, symbol, base, share, v.bare()))
     end_base = float(np.log10((common.get(END, 0) + SMOOTHING) / floor))
     end_known = END in common
 
     def work(batch: pa.RecordBatch):
         index, symbol, base, share, v = given.value
-        get = index.get
-        texts, rows = batch.column("text").to_pylist(), batch.column("row").to_pylist()
-        symbols, n_tokens, n_known, base_sum, score_sum = [], [], [], [], []
-        word, row, freq, ends = [], [], [], []
-        for r, text in zip(rows, texts):
-            words = text.lower().split()
-            at = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
-            known = at >= 0
-            sym = np.empty(len(words) + 1, np.int64)
-            sym[-1] = v.end
-            sym[:-1][known] = symbol[at[known]]
-            if not known.all():
-                places = np.flatnonzero(~known)
-                rest = [words[i] for i in places.tolist()]
-                sym[places] = v.rare_symbol[[ending(w, shape.rare) for w in rest]]
-                for w, f in Counter(rest).items():
-                    word.append(w)
-                    row.append(r)
-                    freq.append(f)
-                    ends.append(ending(w, shape.rare))
-            symbols.append(sym.astype(v.stored).tobytes())
-            n_tokens.append(len(sym))
-            n_known.append(int(known.sum()) + end_known)
-            base_sum.append(float(base[at[known]].sum()) + end_base)
-            score_sum.append(float(share[at[known]].sum()))
-        k, m = len(rows), len(word)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, pa.binary()), batch.column("row"), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), batch.column("doc_id"), batch.column("held_out"), batch.column("part"),
-             pa.array(symbols, pa.binary()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_sum), pa.array(score_sum)], names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(word, pa.binary()), pa.array(row, pa.int64()), pa.array(freq, pa.int64()), pa.array(ends, pa.int32()), pa.nulls(m, batch.column("doc_id").type), pa.nulls(m, pa.bool_()),
-             pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
+        for low, texts in slices(batch.column("text"), CUT):
+            some, k = batch.slice(low, len(texts)), len(texts)
+            text, code, distinct = lower_words(texts)
+            words = distinct.to_numpy(zero_copy_only=False).tolist()
+            at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+            lacking = np.flatnonzero(at < 0)
+            end_of = np.zeros(len(words), np.int32)
+            end_of[lacking] = [ending(words[i], shape.rare) for i in lacking.tolist()]
+            sym = symbol[at]
+            sym[lacking] = v.rare_symbol[end_of[lacking]]
+            n_words = np.bincount(text, minlength=k)
+            upto = np.cumsum(n_words)
+            symbols = np.insert(sym[code].astype(v.stored), upto, v.end)
+            edges = np.concatenate([[0], upto + np.arange(1, k + 1)]) * symbols.itemsize
+            known = (at >= 0)[code]
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(k, pa.binary()), some.column("row"), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), some.column("doc_id"), some.column("held_out"), some.column("part"),
+                 pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(symbols)]), pa.array(n_words + 1),
+                 pa.array(np.bincount(text[known], minlength=k) + int(end_known)), pa.array(np.bincount(text, base[at][code], k) + end_base), pa.array(np.bincount(text, share[at][code], k))], names)
+            # Each word that the dictionary lacks, once for a text.
+            pair, freq = np.unique(text[~known] * len(words) + code[~known], return_counts=True)
+            of, m = pair % max(1, len(words)), len(pair)
+            yield pa.RecordBatch.from_arrays(
+                [distinct.take(pa.array(of)), some.column("row").take(pa.array(pair // max(1, len(words)))), pa.array(freq), pa.array(end_of[of]), pa.nulls(m, batch.column("doc_id").type), pa.nulls(m, pa.bool_()),
+                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
 
     # Rows of documents with their symbols, and rows of the words that the dictionary lacks.
     names = ["word", "row", "freq", "ending", "doc_id", "held_out", "part", "symbols", "n_tokens", "n_known", "base", "score"]
@@ -543,8 +610,25 @@ def _model_scores(read: DataFrame, model: Model, v: Vocabulary) -> DataFrame:
     return map_batches(read, work, read.select(*SCORED).schema)
 
 
-def _with_end(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The lower-cased words of all texts in order: the text of each, its number, and the distinct words by number."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words = cut.flatten().cast(pa.binary()).dictionary_encode()
+    text = np.repeat(np.arange(len(texts)), pc.fill_null(cut.value_lengths(), 0).to_numpy(zero_copy_only=False))
+    code, distinct = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+    # White space at either side of a text leaves an empty piece.
+    empty = pc.index(distinct, pa.scalar(b"", pa.binary())).as_py()
+    if empty >= 0:
+        there = code != empty
+        text, code = text[there], code[there]
+    return text, code, distinct
+
+
+def _with_ends(texts: pa.Array) -> Iterator[dict[bytes, int]]:
+    for _, some in slices(texts, CUT):
+        _, code, distinct = lower_words(some)
+        n = np.bincount(code, minlength=len(distinct))
+        yield {w: c for w, c in zip(distinct.to_numpy(zero_copy_only=False).tolist(), n.tolist()) if c} | {END: len(some)}
 
 
 def _rare_totals(counts: DataFrame, top, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
