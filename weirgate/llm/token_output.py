@@ -17,12 +17,13 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from weirgate.llm.common import held, map_batches
+from weirgate.llm.common import held, map_batches, slices
 from weirgate.session import cut_lineage, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -33,8 +34,12 @@ REMEMBERED = 160 << 20
 ENTRY = 160
 #: Characters of the longest pre-token that is remembered.
 LONGEST = 64
+#: Bytes of texts that are encoded together.
+CUT = 8 << 20
 # White space among the characters of SIMPLE.
 _SPACE = r"\t-\r "
+_BLANK = "\t\n\v\f\r "
+_BLANKS = pa.array(["", *_BLANK])
 #: Texts of these characters only (Latin, without odd white space) are cut here; others go whole.
 SIMPLE = re.compile("[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f]*")
 
@@ -52,6 +57,11 @@ PIECE = re.compile(
 )
 
 
+#: Characters of words and numbers, and those of signs: a sign behind the former is a pre-token of its own.
+_ALNUM = pa.array([c for c in map(chr, range(0x250)) if SIMPLE.fullmatch(c) and re.fullmatch(r"[^\W_]", c)])
+_SIGN = pa.array([c for c in map(chr, range(0x250)) if SIMPLE.fullmatch(c) and re.fullmatch(rf"[^\w{_SPACE}]|_", c)])
+
+
 def _byte_signs() -> dict[int, str]:
     """The sign that a byte-level model has for each byte: printable ones stand for themselves."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -74,12 +84,25 @@ class _Known(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = array("I", [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]).tobytes()
+            word = piece[1:]
+            plain = piece[0] == " " and word.isascii() and word.isalnum()
+            signs = _SIGNS[0x20] + word if plain else piece.encode().decode("latin-1").translate(_SIGNS)
+            ids = array("I", [t.id for t in self.tokenize(signs)]).tobytes()
         if len(piece) <= LONGEST:
+            if self.bytes > REMEMBERED // 2:
+                self.age()
             self[piece] = ids
             self.bytes += len(piece) + len(ids) + ENTRY
         return ids
 
+    def several(self, text: str) -> bytes:
+        """Ids of a text that is cut at its pre-tokens."""
+        return b"".join(map(self.__getitem__, PIECE.findall(text)))
+
+    def spaced(self, text: str) -> bytes:
+        """The same of a space and what follows, without the pattern for a word."""
+        return self[text] if text[1:].isalpha() else self.several(text)
+
     def age(self) -> None:
         """What was not asked for since the last time is forgotten; frequent pieces stay."""
         self.older = dict(self)
@@ -100,16 +123,73 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        get, out = self.known.__getitem__, []
-        for t in texts:
-            if SIMPLE.fullmatch(t) and not any(s in t for s in self.special):
-                out.append(b"".join(map(get, PIECE.findall(t))))
-            else:
-                out += self.whole([t])
-            if self.known.bytes > REMEMBERED // 2:
-                self.known.age()
+        out = []
+        for _, some in slices(pa.array(texts, pa.string()), CUT):
+            size, values = self.lists(some)
+            out += [x.tobytes() for x in np.split(values, np.cumsum(size)[:-1])]
         return out
 
+    def lists(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each text, and all ids in order.
+
+        No pre-token goes on over a space unless white space stands on both sides of it, so texts are cut
+        at spaces, signs are taken off the words before them, and each distinct piece is looked up once.
+        """
+        if self.known.bytes > REMEMBERED // 2:
+            self.known.age()
+        plain = [bool(SIMPLE.fullmatch(t)) and not any(s in t for s in self.special) for t in texts.to_pylist()]
+        cut = pc.split_pattern(texts if all(plain) else pc.if_else(pa.array(plain), texts, ""), " ")
+        coded = cut.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        size = cut.value_lengths().to_numpy().astype(np.int64)
+        first = np.cumsum(size) - size
+        # Texts with such spaces are cut by the pattern, those with other characters go to the library.
+        alone = ~np.array(plain)
+        last = pc.utf8_slice_codeunits(words, -1)
+        opens, closes = _among(pc.utf8_slice_codeunits(words, 0, 1), _BLANKS), _among(last, _BLANKS)
+        if opens.any():
+            meets = np.concatenate([[False], opens[code[1:]] & closes[code[:-1]]])
+            meets[first] = False
+            alone |= np.logical_or.reduceat(meets, first)
+        # A text's first piece has no space before it; a text that goes whole is its first piece.
+        firsts = [
+            self.whole([t.as_py()])[0] if not ok else self.known.several(t.as_py() if by_pattern else w.as_py())
+            for t, ok, by_pattern, w in zip(texts, plain, alone.tolist(), words.take(pa.array(code[first])))
+        ]
+        signed = _among(last, _SIGN) & _among(pc.utf8_slice_codeunits(words, -2, -1), _ALNUM)
+        bare = pc.if_else(pa.array(signed), pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        sign = pc.if_else(pa.array(signed), last, "").dictionary_encode()
+        get, several = self.known.get, self.known.several
+        ids = [get(p) or self.known.spaced(p) for p in [" " + w for w in bare.dictionary.to_numpy(zero_copy_only=False).tolist()]]
+        pair = np.column_stack([bare.indices.to_numpy(), sign.indices.to_numpy() + len(ids)]).ravel()
+        ids += map(several, sign.dictionary.to_pylist())
+        values, length = _joined(ids, pair)
+        length = length[::2] + length[1::2]
+        code[first] = np.arange(len(words), len(words) + len(texts))
+        if alone.any():
+            kept = np.repeat(~alone, size)
+            kept[first] = True
+            code, size = code[kept], np.where(alone, 1, size)
+            first = np.cumsum(size) - size
+        values = np.concatenate([values, np.frombuffer(b"".join(firsts), "<u4")])
+        length = np.concatenate([length, np.fromiter(map(len, firsts), np.int64, len(firsts)) // 4])
+        values, length = _picked(values, length, code)
+        return np.add.reduceat(length, first), values
+
+
+def _among(column: pa.Array, these: pa.Array) -> np.ndarray:
+    return pc.is_in(column, these).to_numpy(zero_copy_only=False)
+
+
+def _picked(values: np.ndarray, length: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of values laid end to end, those numbered ``code``, and their lengths."""
+    n, begin = length[code], (np.cumsum(length) - length)[code]
+    return values[np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)], n
+
+
+def _joined(ids: list[bytes], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _picked(np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4, code)
+
 
 def encoder(name: str) -> Encoder:
     """One per worker process."""
@@ -118,17 +198,15 @@ def encoder(name: str) -> Encoder:
 
 def encode(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
     """``doc_id`` and ``ids`` (array<int>, the end id last), in the order of the rows."""
-    end = array("I", [end_id]).tobytes()
 
     def work(batch: pa.RecordBatch):
-        ids, texts = batch.column("doc_id"), ["" if t is None else t for t in batch.column("text").to_pylist()]
-        step = 200
-        for i in range(0, len(texts), step):
-            out = [x + end for x in encoder(tokenizer).ids(texts[i : i + step])]
-            ends = np.cumsum([0] + [len(x) // 4 for x in out], dtype=np.int64)
-            values = pa.array(np.frombuffer(b"".join(out), "<u4").astype(np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([ids.slice(i, step), lists], ["doc_id", "ids"])
+        for low, texts in slices(pc.fill_null(batch.column("text"), ""), CUT):
+            size, values = encoder(tokenizer).lists(texts)
+            upto = np.cumsum(size)
+            values = np.insert(values, upto, end_id)
+            ends = np.concatenate([[0], upto + np.arange(1, len(size) + 1)])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, len(texts)), lists], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")), work, f"doc_id {kind}, ids array<int>", keeps="encoder")
