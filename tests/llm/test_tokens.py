@@ -52,6 +52,38 @@ def test_rare_words_are_remembered_within_the_bound(monkeypatch):
     assert len(e.known) + len(e.known.older) <= 2000 + 2 * 500
 
 
+def test_distinct_words_are_looked_up_once_and_encoded_together(monkeypatch):
+    """Texts are cut at spaces and before line feeds, signs come off the words before them; the pattern gets what is odd."""
+    e, cut, lines = Encoder(), [], []
+    pattern, bare = token_files.PIECE, e.known.bare
+
+    class Pattern:
+        def findall(self, text):
+            cut.append(text)
+            return pattern.findall(text)
+
+    class Bare:
+        def encode_batch_fast(self, texts, **k):
+            lines.extend(texts)
+            return bare.encode_batch_fast(texts, **k)
+
+    monkeypatch.setattr(token_files, "PIECE", Pattern())
+    e.known.bare = Bare()
+    odd = ["The heon, of nd. é²  à\tb it's\n", " a ", "  \n x", "\n", "\na", "a \nb\n c", "a\n\nb \n", "", " ", "a \n  b", "中 a, b", " <|endoftext|>"]
+    odd += ["a\r\n\r\nb\n \n\n\n c\n\n", "\n\nx \n\n y", "x_ y__ 12, ½! (z) 'd 'tis \n", "a'\n's 's", "\x00 a\x1c b\x00", "é, à. ÿ"]
+    texts = odd * 100 + ["one two, three.\nFour five.\n\nsix\n\n\nseven\n"] * 2000 + [f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100]} end" for k in range(1000)]
+    want = [array("I", x.ids).tobytes() for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert e.ids(texts) == want
+    assert not any(t.startswith("one two") or t in (" two", " two,") for t in cut) and len(lines) < 40
+    # A sign that merges or is unknown keeps nothing apart: each pre-token then goes alone.
+    e.known.clear()
+    e.known.apart = None
+    assert e.ids(texts) == want
+    for most in (1, 50, 1 << 20):
+        monkeypatch.setattr(token_files, "CUT", most)
+        assert e.ids(texts[:40]) == want[:40]
+
+
 def test_pretokens_add_up_to_the_library():
     tokenizer, special = load("word_bpe_49k.json")
     for text in odd_texts(4000):
