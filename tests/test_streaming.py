@@ -65,6 +65,103 @@ def test_ttl_state_over_restarts(spark, rows):
     assert same(spark.read.parquet(out), mark_admitted(slim).select("event_id", "attempt", "admitted"))
 
 
+def arrivals(spark):
+    """Ids with one arrival, some and a hundred; equal instants, repeated rows, an id that is null, and other columns of many kinds."""
+    n = F.col("id")
+    hours = F.when(n % 3 == 0, F.pmod(F.xxhash64(n), F.lit(200))).otherwise(n % 70)
+    return spark.range(1200).select(
+        F.when(n % 12 == 0, "hot").when(n % 50 != 7, F.concat(F.lit("e"), n % 400)).alias("event_id"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_001) + hours * F.lit(3_600_000_000)).alias("received_at"),
+        (n % 9).alias("seq"), F.when(n % 4 != 0, n).alias("no"), (n / 7).alias("share"),
+        F.to_date(F.lit("2024-01-01")).alias("day"), F.create_map(F.lit("k"), n.cast("string")).alias("pairs"),
+        F.struct(n.cast("decimal(12,2)").alias("cents"), F.array(n).alias("list")).alias("more"),
+        F.lit("2024-05-01 10:00:00").cast("timestamp").alias("sent_at"),
+    ).unionByName(
+        spark.range(1).select(
+            F.lit("twice").alias("event_id"), F.lit("2024-01-02").cast("timestamp").alias("received_at"), F.lit(0).cast("bigint").alias("seq"),
+            *[F.lit(None).cast(t).alias(c) for c, t in KINDS],
+        ).withColumn("x", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).drop("x")
+    )
+
+
+KINDS = [
+    ("no", "bigint"), ("share", "double"), ("day", "date"), ("pairs", "map<string,string>"),
+    ("more", "struct<cents:decimal(12,2),list:array<bigint>>"), ("sent_at", "timestamp"),
+]
+
+
+def judged(batches, ttl=timedelta(hours=24)):
+    """(event_id, received_at, seq, admitted) by a plain loop over the micro-batches."""
+    last, out = {}, Counter()
+    for batch in batches:
+        for r in sorted(batch, key=lambda r: (r["received_at"], r["seq"])):
+            won = r["event_id"] not in last or r["received_at"] >= last[r["event_id"]] + ttl
+            if won:
+                last[r["event_id"]] = r["received_at"]
+            out[r["event_id"], r["received_at"], r["seq"], won] += 1
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_ttl_state_by_buckets(spark, monkeypatch, small):
+    """Few states for many ids, whatever the size of packs and chunks; nothing else about the rows changes."""
+    from weirgate.streaming import ttl_state
+
+    if small:
+        for name, value in {"GATHERED_ROWS": 100, "PACK_ROWS": 3, "CHUNKS": 2}.items():
+            monkeypatch.setattr(ttl_state, name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64" if small else "10000")
+    source, out, marks = (scratch_path(spark, f"test-b{x}") for x in "iom")
+    every = arrivals(spark).withColumn("batch", F.pmod(F.xxhash64("received_at"), F.lit(5)))
+    batches = []
+    try:
+        for b in range(5):
+            part = every.filter(F.col("batch") == b).drop("batch")
+            batches.append(part.select("event_id", "received_at", "seq").collect())
+            part.repartition(2).write.mode("append").parquet(source)
+            with draining(spark):
+                drain(stream_ttl_dedup(spark.readStream.schema(part.schema).parquet(source), buckets=7), out, marks)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = spark.read.parquet(out)
+    assert got.columns == [*every.drop("batch").columns, "admitted"]
+    assert Counter(map(tuple, got.select("event_id", "received_at", "seq", "admitted").collect())) == judged(batches)
+    assert same(got.drop("admitted"), every.drop("batch"))
+    chunks = spark.read.format("statestore").option("path", marks).option("stateVarName", "admitted").load()
+    assert chunks.select("key").distinct().count() == 7
+    assert chunks.count() <= 7 * (2 if small else 5)
+
+
+def test_ttl_state_of_an_id_is_not_kept_by_its_bucket():
+    """Merging the chunks of a bucket does not put off when the states of its ids go away."""
+    from pyspark.sql import Row
+    from weirgate.streaming.ttl_state import CHUNKS, TtlDedup
+
+    class State(list):
+        get = list.__iter__
+        appendValue = list.append
+
+        def put(self, chunks):
+            self[:] = chunks
+
+    class Clock:
+        def __init__(self, now):
+            self.getCurrentProcessingTimeInMs = lambda: now
+
+    dedup = TtlDedup(["event_id", "_at", "seq"], "string", 100, 1000)
+    dedup.admitted = State()
+
+    def admitted(now, one, at):
+        pack = Row(event_id=[one], _at=[at], seq=[0])
+        return [r["admitted"] for r in dedup.handleInputRows((0,), iter([pack]), Clock(now))] == [[True]]
+
+    assert admitted(0, "old", 500)
+    assert [admitted(1 + i, f"e{i}", 500) for i in range(2 * CHUNKS)] == [True] * (2 * CHUNKS)
+    assert len(dedup.admitted) <= CHUNKS
+    assert not admitted(999, "old", 550)
+    assert admitted(1000, "old", 550) and not admitted(1000, "e5", 550)
+
+
 def test_ingest_over_restarts(spark, rows):
     source, marks = scratch_path(spark, "test-in"), scratch_path(spark, "test-marks")
     sink = IngestStream(scratch_path(spark, "test-out"))

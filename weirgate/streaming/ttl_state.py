@@ -5,6 +5,11 @@ late row is judged by the state like any other, and is a repeat of an admission
 The state of an id goes away some time after its last admission, by the clock of the machine;
 that time has to cover the window and how far processing may lag behind arrival. For ids that may hold a large part
 of one micro-batch use `streaming.ingest`, which runs the batch operator per micro-batch.
+
+A call of a Python processor, its look-ups and its output cost far more than judging a row, and so does a
+row on its way to Python and back. So ids are called by buckets of their hash, and the rows of a bucket that
+one task reads travel as one row of arrays. The state of a bucket is a list of chunks, one for each micro-batch
+that admitted something; it is only ever added to, until there are many chunks, which then become one.
 """
 
 from __future__ import annotations
@@ -13,6 +18,8 @@ import sys
 from contextlib import contextmanager
 from typing import Any, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -27,50 +34,113 @@ from weirgate.settings import DEFAULTS, Settings
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Buckets of ids that have a state of their own. A touched bucket is read as a whole.
+BUCKETS = 1 << 14
+
+#: A bucket with that many chunks gets them merged.
+CHUNKS = 64
+
+#: Rows, and bytes of rows, that a task gathers before it packs them.
+GATHERED_ROWS, GATHERED_BYTES = 1 << 20, 64 << 20
+
+#: Rows, and about so many bytes, of one pack at most; Spark sends packs to Python ten thousand at a time.
+PACK_ROWS, PACK_BYTES = 256, 16 << 10
+
+
+def _packed(rows: pa.Table) -> pa.RecordBatch:
+    """One row of arrays for each bucket, or some where it has many rows. The last column is the bucket."""
+    rows = rows.take(np.argsort(rows.column(-1).to_numpy(), kind="stable")).combine_chunks()
+    most = max(1, min(PACK_ROWS, PACK_BYTES * rows.num_rows // max(1, rows.nbytes)))
+    buckets = rows.column(-1).to_numpy()
+    starts = np.flatnonzero(np.diff(buckets, prepend=-1))
+    lengths = np.diff(starts, append=len(buckets))
+    cuts = -(-lengths // most)
+    # The number of each cut within its bucket.
+    nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    begins = np.repeat(starts, cuts) + nth * most
+    offsets = pa.array(np.append(begins, len(buckets)), pa.int32())
+    arrays = [pa.ListArray.from_arrays(offsets, c.chunk(0)) for c in rows.columns[:-1]]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(buckets[begins])], rows.column_names)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    n = size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n, size = n + batch.num_rows, size + batch.nbytes
+        if n >= GATHERED_ROWS or size >= GATHERED_BYTES:
+            yield _packed(pa.Table.from_batches(held))
+            held, n, size = [], 0, 0
+    if held:
+        yield _packed(pa.Table.from_batches(held))
+
+
 class TtlDedup(StatefulProcessor):
-    def __init__(self, columns: list[str], ttl_micros: int, kept_millis: int):
+    """Packs of one bucket in, the same packs and ``admitted`` out."""
+
+    def __init__(self, columns: list[str], kind: str, ttl_micros: int, kept_millis: int):
         self.columns = columns
+        self.kind = kind
         self.ttl = ttl_micros
         self.kept_millis = kept_millis
         self.result = Row(*columns, "admitted")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.admitted = handle.getValueState("admitted", "at bigint", self.kept_millis)
-
-    def _emit(self, row: Row, won: bool) -> Row:
-        return self.result(*[row[c] for c in self.columns], won)
+        # ``untils``: when the state of each id goes away; merging chunks does not put it off.
+        chunk = f"ids array<{self.kind}>, ats array<bigint>, untils array<bigint>"
+        self.admitted = handle.getListState("admitted", chunk, self.kept_millis)
+
+    def _stored(self, now: int) -> tuple[dict[Any, tuple[int, int]], int]:
+        """The last admission of each id that is still kept, with its end, and the number of chunks."""
+        stored: dict[Any, tuple[int, int]] = {}
+        chunks = 0
+        for ids, ats, untils in self.admitted.get():
+            chunks += 1
+            # Chunks come in the order they were added in, and a later admission of an id lies ahead.
+            stored.update((one, (at, until)) for one, at, until in zip(ids, ats, untils) if until > now)
+        return stored, chunks
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        stored = self.admitted.get()
-        due = stored[0] + self.ttl if stored is not None else None
-        waiting: dict[int, Row] = {}
-        for row in rows:
-            at = row["_at"]
-            if due is not None and at < due:
-                yield self._emit(row, False)
-                continue
-            # Of several arrivals at one instant only the first can win.
-            other = waiting.get(at)
-            if other is None:
-                waiting[at] = row
-            elif row["seq"] < other["seq"]:
-                waiting[at] = row
-                yield self._emit(other, False)
-            else:
-                yield self._emit(row, False)
-        last = None
-        for at in sorted(waiting):
-            won = due is None or at >= due
-            if won:
-                due, last = at + self.ttl, at
-            yield self._emit(waiting[at], won)
-        if last is not None:
-            self.admitted.update((last,))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        stored, chunks = self._stored(now)
+        packs = list(rows)
+        won = [[False] * len(pack["_at"]) for pack in packs]
+        # By id: its arrivals, as (instant, number, pack, place).
+        arrivals: dict[Any, list[tuple[int, int, int, int]]] = {}
+        for p, pack in enumerate(packs):
+            for i, (one, at, seq) in enumerate(zip(pack["event_id"], pack["_at"], pack["seq"])):
+                arrivals.setdefault(one, []).append((at, seq, p, i))
+        fresh = {}
+        for one, line in arrivals.items():
+            last = due = None
+            if one in stored:
+                due = stored[one][0] + self.ttl
+            if len(line) > 1:
+                line.sort()
+            for at, _, p, i in line:
+                # Of several arrivals at one instant only the first can win.
+                if at != last and (due is None or at >= due):
+                    won[p][i] = True
+                    last, due = at, at + self.ttl
+            if last is not None:
+                fresh[one] = last, now + self.kept_millis
+        if fresh and chunks >= CHUNKS:
+            self.admitted.put([_chunk(stored | fresh)])
+        elif fresh:
+            self.admitted.appendValue(_chunk(fresh))
+        for pack, marks in zip(packs, won):
+            yield self.result(*[pack[c] for c in self.columns], marks)
 
     def close(self) -> None:
         pass
 
 
+def _chunk(admissions: dict[Any, tuple[int, int]]) -> tuple[list, list[int], list[int]]:
+    return list(admissions), [at for at, _ in admissions.values()], [until for _, until in admissions.values()]
+
+
 @contextmanager
 def draining(spark: SparkSession) -> Iterator[None]:
     """State that expires by the clock would otherwise ask for empty micro-batches for ever."""
@@ -84,22 +154,36 @@ def draining(spark: SparkSession) -> Iterator[None]:
 
 
 def stream_ttl_dedup(
-    events: DataFrame, lag_hours: int = 7 * 24, settings: Settings = DEFAULTS, at: str = "received_at"
+    events: DataFrame, lag_hours: int = 7 * 24, settings: Settings = DEFAULTS, at: str = "received_at", buckets: int = BUCKETS
 ) -> DataFrame:
     """All streaming rows plus ``admitted``. Needs columns event_id, seq and ``at``.
 
     ``lag_hours``: how long after its arrival a row may be processed and still find the state.
+    ``buckets`` stays the same for the life of a checkpoint; with far more than 50 million ids at a time
+    there should be more.
     A run that drains a backlog and stops is started inside `draining`.
     """
-    columns = events.columns
-    schema = T.StructType([*events.schema.fields, T.StructField("admitted", T.BooleanType())])
-    return (
+    # The instant travels once, as a number.
+    stamped = isinstance(events.schema[at].dataType, T.TimestampType)
+    sent = [f for f in events.schema.fields if not (stamped and f.name == at)] + [T.StructField("_at", T.LongType())]
+    names = [f.name for f in sent]
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int").alias("_bucket")
+    packs = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in sent])
+    marked = (
         events.withColumn("_at", micros(F.col(at)))
-        .groupBy("event_id")
+        .select(*[F.col(f"`{c}`") for c in names], bucket)
+        .mapInArrow(_pack, T.StructType([*packs.fields, T.StructField("_bucket", T.IntegerType())]))
+        .groupBy("_bucket")
         .transformWithState(
-            statefulProcessor=TtlDedup(columns, settings.ttl_micros, (settings.ttl_hours + lag_hours) * 3_600_000),
-            outputStructType=schema,
+            statefulProcessor=TtlDedup(
+                names, events.schema["event_id"].dataType.simpleString(),
+                settings.ttl_micros, (settings.ttl_hours + lag_hours) * 3_600_000,
+            ),
+            outputStructType=T.StructType([*packs.fields, T.StructField("admitted", T.ArrayType(T.BooleanType()))]),
             outputMode="Append",
             timeMode="ProcessingTime",
         )
     )
+    rows = marked.select(F.inline(F.arrays_zip(*[F.col(f"`{c}`") for c in names], "admitted")))
+    back = F.timestamp_micros("_at").alias(at)
+    return rows.select(*[back if stamped and c == at else F.col(f"`{c}`") for c in events.columns], "admitted")
