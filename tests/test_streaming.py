@@ -162,6 +162,26 @@ def test_ttl_state_of_an_id_is_not_kept_by_its_bucket():
     assert admitted(1000, "old", 550) and not admitted(1000, "e5", 550)
 
 
+def test_late_half_is_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    """Neither half of the month goes through one task, and every row of both comes out."""
+    from weirgate.catalog import q_streaming as q
+
+    n = F.col("id")
+    events = spark.range(0, 4000, 1, 4).select(
+        n.alias("event_id"), F.timestamp_seconds(F.lit(1_704_067_200) + n * 640).cast("timestamp_ntz").alias("ts"),
+        (n % 50).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    paths = {}
+    monkeypatch.setattr(q, "scratch_path", lambda spark, label: paths.setdefault(label, scratch_path(spark, label)))
+    got = q.t2_late(spark, str(tmp_path))
+    want = wire(spark, str(tmp_path))
+    assert same(got, want.join(want.groupBy("event_id").agg(F.count(F.lit(1)).alias("arrivals")), "event_id").select(*got.columns))
+    files = spark.read.parquet(paths["t2-in"]).select(F.col("_metadata.file_name").alias("file"), (F.col("received_at") < "2024-01-16").alias("late"))
+    written = files.groupBy("late").agg(F.countDistinct("file").alias("files")).collect()
+    assert len(written) == 2 and all(r["files"] > 1 for r in written)
+
+
 def test_ingest_over_restarts(spark, rows):
     source, marks = scratch_path(spark, "test-in"), scratch_path(spark, "test-marks")
     sink = IngestStream(scratch_path(spark, "test-out"))
