@@ -160,6 +160,9 @@ def test_ttl_state_of_an_id_is_not_kept_by_its_bucket():
     assert len(dedup.admitted) <= CHUNKS
     assert not admitted(999, "old", 550)
     assert admitted(1000, "old", 550) and not admitted(1000, "e5", 550)
+    # As before, a row without an instant ends the stream; it is not taken for a repeat.
+    with pytest.raises(ValueError, match="without an instant"):
+        admitted(1000, "none", None)
 
 
 def test_late_half_is_written_by_all_tasks(spark, tmp_path, monkeypatch):

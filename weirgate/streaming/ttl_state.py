@@ -106,6 +106,8 @@ class TtlDedup(StatefulProcessor):
         now = timerValues.getCurrentProcessingTimeInMs()
         stored, chunks = self._stored(now)
         packs = list(rows)
+        if any(None in pack["_at"] for pack in packs):
+            raise ValueError("a row without an instant of arrival cannot be judged")
         won = [[False] * len(pack["_at"]) for pack in packs]
         # By id: its arrivals, as (instant, number, pack, place).
         arrivals: dict[Any, list[tuple[int, int, int, int]]] = {}
