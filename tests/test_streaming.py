@@ -148,7 +148,7 @@ def test_ttl_state_of_an_id_is_not_kept_by_its_bucket():
         def __init__(self, now):
             self.getCurrentProcessingTimeInMs = lambda: now
 
-    dedup = TtlDedup(["event_id", "_at", "seq"], "string", 100, 1000)
+    dedup = TtlDedup(["event_id", "_at", "seq"], 100, 1000)
     dedup.admitted = State()
 
     def admitted(now, one, at):

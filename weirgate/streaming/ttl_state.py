@@ -14,6 +14,7 @@ that admitted something; it is only ever added to, until there are many chunks,
 
 from __future__ import annotations
 
+import pickle
 import sys
 from contextlib import contextmanager
 from typing import Any, Iterator
@@ -80,24 +81,22 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class TtlDedup(StatefulProcessor):
     """Packs of one bucket in, the same packs and ``admitted`` out."""
 
-    def __init__(self, columns: list[str], kind: str, ttl_micros: int, kept_millis: int):
+    def __init__(self, columns: list[str], ttl_micros: int, kept_millis: int):
         self.columns = columns
-        self.kind = kind
         self.ttl = ttl_micros
         self.kept_millis = kept_millis
         self.result = Row(*columns, "admitted")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # ``untils``: when the state of each id goes away; merging chunks does not put it off.
-        chunk = f"ids array<{self.kind}>, ats array<bigint>, untils array<bigint>"
-        self.admitted = handle.getListState("admitted", chunk, self.kept_millis)
+        self.admitted = handle.getListState("admitted", "chunk binary", self.kept_millis)
 
     def _stored(self, now: int) -> tuple[dict[Any, tuple[int, int]], int]:
         """The last admission of each id that is still kept, with its end, and the number of chunks."""
         stored: dict[Any, tuple[int, int]] = {}
         chunks = 0
-        for ids, ats, untils in self.admitted.get():
+        for (chunk,) in self.admitted.get():
             chunks += 1
+            ids, ats, untils = pickle.loads(chunk)
             # Chunks come in the order they were added in, and a later admission of an id lies ahead.
             stored.update((one, (at, until)) for one, at, until in zip(ids, ats, untils) if until > now)
         return stored, chunks
@@ -139,8 +138,13 @@ class TtlDedup(StatefulProcessor):
         pass
 
 
-def _chunk(admissions: dict[Any, tuple[int, int]]) -> tuple[list, list[int], list[int]]:
-    return list(admissions), [at for at, _ in admissions.values()], [until for _, until in admissions.values()]
+def _chunk(admissions: dict[Any, tuple[int, int]]) -> tuple[bytes]:
+    """Ids, their last admissions and when the state of each goes away; merging chunks does not put that off.
+
+    As bytes, because arrays are turned into the state's rows and back value by value.
+    """
+    ats, untils = [at for at, _ in admissions.values()], [until for _, until in admissions.values()]
+    return (pickle.dumps((list(admissions), ats, untils), protocol=4),)
 
 
 @contextmanager
@@ -177,10 +181,7 @@ def stream_ttl_dedup(
         .mapInArrow(_pack, T.StructType([*packs.fields, T.StructField("_bucket", T.IntegerType())]))
         .groupBy("_bucket")
         .transformWithState(
-            statefulProcessor=TtlDedup(
-                names, events.schema["event_id"].dataType.simpleString(),
-                settings.ttl_micros, (settings.ttl_hours + lag_hours) * 3_600_000,
-            ),
+            statefulProcessor=TtlDedup(names, settings.ttl_micros, (settings.ttl_hours + lag_hours) * 3_600_000),
             outputStructType=T.StructType([*packs.fields, T.StructField("admitted", T.ArrayType(T.BooleanType()))]),
             outputMode="Append",
             timeMode="ProcessingTime",
